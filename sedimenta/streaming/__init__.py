@@ -1,0 +1 @@
+"""Nothing here: monthly files are picked up by batch reruns, not by a stream."""
