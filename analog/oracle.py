@@ -44,7 +44,7 @@ FROM silver {where} GROUP BY hour(start_ts)
 
 
 SQL: dict[str, str] = {
-    "landing_scan": f"SELECT {_LINEITEM} FROM lineitem",
+    "landing_scan": f"SELECT {_LINEITEM}, {_PERIOD} FROM lineitem",
     "period_from_path": _ROWS_PER_MONTH,
     "coerce_casts": """
 SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS DOUBLE) AS l_linenumber,

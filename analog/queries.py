@@ -52,8 +52,8 @@ def _rows_per_month(df: DataFrame) -> DataFrame:
 
 def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = lake(spark, sf_dir)
-    staged = scan(spark, at.lineitem_landing, lineitem_contract("lineitem"))
-    return conform_all(staged.groups, lineitem_contract("lineitem")).rows.drop(*PERIOD)
+    contract = lineitem_contract("lineitem")
+    return conform_all(scan(spark, at.lineitem_landing, contract).groups, contract).rows
 
 
 def period_from_path(spark: SparkSession, sf_dir: str) -> DataFrame:

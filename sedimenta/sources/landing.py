@@ -115,7 +115,7 @@ def _summarise(spark: SparkSession, files: DataFrame, root: str) -> LandingSumma
         ),
     )
     if not months:
-        raise EmptyLanding(f"no Parquet file under {root}")
+        raise EmptyLanding(f"no Parquet file under {root} for the months asked for")
     dated = [m for m in months if m["year"] is not None and m["month"] is not None]
     bytes_of: dict[tuple[int, int], int] = {}
     for m in dated:
@@ -154,14 +154,14 @@ def _files_under(spark: SparkSession, path: str) -> list[str]:
 
 
 def _agreeing(left: T.StructType, right: T.StructType) -> T.StructType | None:
-    """Both schemas in one, or None if a shared column differs in type."""
-    types = {f.name.lower(): f.dataType for f in left.fields}
+    """Both schemas in one, or None if a shared column differs in type or letter case."""
+    fields = {f.name.lower(): f for f in left.fields}
     extra = []
     for field in right.fields:
-        have = types.get(field.name.lower())
+        have = fields.get(field.name.lower())
         if have is None:
             extra.append(field)
-        elif have != field.dataType:
+        elif (have.name, have.dataType) != (field.name, field.dataType):
             return None
     return T.StructType([*left.fields, *extra])
 

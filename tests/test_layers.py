@@ -1,0 +1,246 @@
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sedimenta.contracts import ContractError, TableContract
+from sedimenta.functions.period import PeriodRange
+from sedimenta.operators.layers import (
+    compacted,
+    distinct_locations,
+    export_csv,
+    reprocess_partition,
+    write_layer,
+)
+from sedimenta.operators.materialize import materialize
+from sedimenta.operators.validate import validate_table
+from sedimenta.session import session_conf, shared_folder
+from sedimenta.sources.catalog import (
+    ensure_database,
+    ensure_table,
+    read_table,
+    recover,
+    table_ddl,
+)
+from tests.conftest import plan_of, rows_of
+
+PERIOD = ("ano", "mes")
+
+
+def batch(spark, *rows):
+    return spark.createDataFrame(rows, "v bigint, ano int, mes int")
+
+
+def stored(spark, location):
+    return rows_of(spark.read.parquet(location))
+
+
+def contract(name):
+    return TableContract(name, T.StructType([T.StructField("v", T.LongType())]))
+
+
+def test_replace_partitions(spark, tmp_path):
+    location = str(tmp_path / "t")
+    write_layer(batch(spark, (1, 2023, 1), (2, 2023, 2)), location, PERIOD)
+    write_layer(batch(spark, (3, 2023, 2), (4, 2023, 3)), location, PERIOD)
+    expected = [(2023, 1, 1), (2023, 2, 3), (2023, 3, 4)]
+    assert stored(spark, location) == expected
+    write_layer(batch(spark, (3, 2023, 2), (4, 2023, 3)), location, PERIOD)
+    assert stored(spark, location) == expected
+
+
+def test_replace_all(spark, tmp_path):
+    location = str(tmp_path / "t")
+    for _ in range(2):
+        write_layer(batch(spark, (1, 2023, 1)), location, PERIOD, "replace_all")
+        write_layer(batch(spark, (2, 2023, 2)), location, PERIOD, "replace_all")
+    assert stored(spark, location) == [(2023, 2, 2)]
+
+
+def test_append_doubles_on_rerun(spark, tmp_path):
+    location = str(tmp_path / "t")
+    for _ in range(2):
+        write_layer(batch(spark, (1, 2023, 1)), location, PERIOD, "append")
+    assert stored(spark, location) == [(2023, 1, 1)] * 2
+
+
+def test_unknown_mode(spark, tmp_path):
+    with pytest.raises(ValueError, match="replace_partitions"):
+        write_layer(batch(spark, (1, 2023, 1)), str(tmp_path / "t"), PERIOD, "overwrite")
+
+
+def test_snappy_and_settings_restored(spark, tmp_path):
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    write_layer(batch(spark, (1, 2023, 1)), str(tmp_path / "t"), PERIOD)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    assert list(tmp_path.glob("t/ano=2023/mes=1/*.snappy.parquet"))
+
+
+def test_more_partitions_than_open_files(spark, tmp_path):
+    location = str(tmp_path / "t")
+    df = spark.range(6000).selectExpr("id AS v", "int(2000 + id % 50) AS ano", "1 AS mes")
+    write_layer(df.coalesce(1), location, PERIOD)
+    back = spark.read.parquet(location)
+    assert back.count() == 6000
+    assert back.groupBy("ano").count().where("count <> 120").count() == 0
+
+
+def test_compaction_keeps_rows_and_bounds_files(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 8).selectExpr("id AS v", "2023 AS ano", "int(id % 5) + 1 AS mes")
+    plain, packed = tmp_path / "plain", tmp_path / "packed"
+    write_layer(df, str(plain), PERIOD)
+    write_layer(compacted(df, PERIOD), str(packed), PERIOD)
+    assert stored(spark, str(plain)) == stored(spark, str(packed))
+    assert len(list(plain.rglob("*.parquet"))) == 40
+    assert len(list(packed.rglob("*.parquet"))) == 5
+
+
+def test_compaction_splits_a_hot_month(spark, tmp_path):
+    df = spark.range(0, 200_000, 1, 8).selectExpr(
+        "id AS v", "uuid() AS filler", "2023 AS ano", "if(id % 3 = 0, int(id % 11) + 1, 12) AS mes"
+    )
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "512k",
+    }
+    with session_conf(spark, small):
+        write_layer(compacted(df, PERIOD), str(tmp_path / "t"), PERIOD)
+    assert len(list(tmp_path.glob("t/ano=2023/mes=12/*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 200_000
+
+
+def test_overlapping_locations():
+    distinct_locations("s3://a/bronze", "s3://a/bronze2/", "s3://a/silver")
+    for a, b in (("x/y", "x/y/"), ("x/y", "x/y/z"), ("x/y/z/", "x/y")):
+        with pytest.raises(ValueError, match="overlap"):
+            distinct_locations(a, b)
+
+
+def test_table_shows_partitions_after_recovery(spark, tmp_path, name):
+    location = str(tmp_path / "t")
+    ensure_database(spark, name.split(".")[0])
+    ensure_database(spark, name.split(".")[0])
+    write_layer(batch(spark, (1, 2023, 1), (2, 2023, 2)), location, PERIOD)
+    ensure_table(spark, contract(name), location)
+    assert spark.table(name).count() == 0
+    recover(spark, name)
+    assert rows_of(spark.table(name)) == [(2023, 1, 1), (2023, 2, 2)]
+    ensure_table(spark, contract(name), location)
+    recover(spark, name)
+    assert spark.table(name).count() == 2
+    write_layer(batch(spark, (3, 2023, 3)), location, PERIOD, "replace_all")
+    recover(spark, name, drop_missing=True)
+    assert rows_of(spark.table(name)) == [(2023, 3, 3)]
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 1
+
+
+def test_ddl_names_everything_the_table_needs(name):
+    text = table_ddl(
+        TableContract("a.b", contract(name).columns, loaded_at="ingestion_ts"), "/x/it's"
+    )
+    for part in ("IF NOT EXISTS `a`.`b`", "USING parquet", "snappy", "`ano`, `mes`", "/x/it\\'s"):
+        assert part in text
+
+
+def table(spark, tmp_path, name, *rows):
+    location = str(tmp_path / "t")
+    ensure_database(spark, name.split(".")[0])
+    write_layer(batch(spark, *rows), location, PERIOD)
+    ensure_table(spark, contract(name), location)
+    recover(spark, name)
+
+
+def test_range_of_months_prunes_partitions(spark, tmp_path, name):
+    table(spark, tmp_path, name, *((m, 2023, m) for m in range(1, 7)))
+    df = read_table(spark, name, PeriodRange((2023, 2), (2023, 3)))
+    assert rows_of(df) == [(2023, 2, 2), (2023, 3, 3)]
+    assert len(df.inputFiles()) == 2
+    one = read_table(spark, name).where("mes = 5")
+    assert "PartitionFilters: [isnotnull(mes" in plan_of(one)
+
+
+def test_reprocess_replaces_one_partition(spark, tmp_path, name):
+    table(spark, tmp_path, name, (1, 2023, 1), (2, 2023, 2), (3, 2024, 2))
+    again = spark.createDataFrame([("x", 9)], "note string, v bigint")
+    for _ in range(2):
+        reprocess_partition(spark, name, {"ano": 2023, "mes": 2}, again)
+        assert rows_of(spark.table(name)) == [(2023, 1, 1), (2023, 2, 9), (2024, 2, 3)]
+
+
+def test_materialize_once_and_refresh(spark, tmp_path, name):
+    ensure_database(spark, name.split(".")[0])
+    location = str(tmp_path / "gold")
+    first = spark.range(3).selectExpr("id AS mes", "id * 1.0D AS media")
+    second = spark.range(2).selectExpr("id * 2.0D AS media", "id AS mes")
+    assert materialize(first, name, location, "once").count() == 3
+    assert rows_of(materialize(second, name, location, "once")) == [(0.0, 0), (1.0, 1), (2.0, 2)]
+    assert rows_of(materialize(second, name, location, "refresh")) == [(0.0, 0), (2.0, 1)]
+    assert list(Path(location).glob("*.snappy.parquet"))
+    with pytest.raises(ValueError, match="once"):
+        materialize(first, name, location, "again")
+
+
+@pytest.mark.parametrize("mode", ["once", "refresh"])
+def test_materialize_refuses_leftover_files(spark, tmp_path, name, mode):
+    ensure_database(spark, name.split(".")[0])
+    location = tmp_path / "gold"
+    location.mkdir()
+    (location / "left.parquet").write_bytes(b"x")
+    with pytest.raises(FileExistsError):
+        materialize(spark.range(1), name, str(location), mode)
+    assert (location / "left.parquet").exists()
+
+
+def test_csv_is_ordered_with_header_in_one_file(spark, tmp_path):
+    df = spark.range(0, 24, 1, 6).selectExpr("int(23 - id) AS hora", "(23 - id) / 2 AS media")
+    location = tmp_path / "csv"
+    export_csv(df, str(location), ["hora"])
+    (file,) = location.glob("*.csv")
+    lines = file.read_text().splitlines()
+    assert lines[0] == "hora,media"
+    assert [int(line.split(",")[0]) for line in lines[1:]] == list(range(24))
+
+
+def test_large_csv_is_several_files_in_order(spark, tmp_path):
+    df = spark.range(0, 400_000, 1, 8).selectExpr("399999 - id AS k", "uuid() AS filler")
+    location = tmp_path / "csv"
+    export_csv(df, str(location), ["k"])
+    files = sorted(location.glob("*.csv"))
+    keys = [int(x.split(",")[0]) for f in files for x in f.read_text().splitlines()[1:]]
+    assert len(files) > 1
+    assert keys == list(range(400_000))
+
+
+def test_validation_counts_per_partition(spark):
+    schema = T.StructType(
+        [T.StructField("v", T.LongType()), T.StructField("at", T.TimestampNTZType())]
+    )
+    df = spark.createDataFrame(
+        [(1, "2023-01-05", 2023, 1), (None, "2023-02-01", 2023, 1), (3, None, 2023, 2)],
+        "v bigint, at string, ano int, mes int",
+    ).withColumn("at", F.col("at").cast("timestamp_ntz"))
+    checked = TableContract("t", schema, event_time="at")
+    report = validate_table(df, checked)
+    assert rows_of(report.select("ano", "mes", "rows", "rows_out_of_period")) == [
+        (2023, 1, 2, 1),
+        (2023, 2, 1, 0),
+    ]
+    assert rows_of(report.select("mes", "v_count", "at_count")) == [(0, 2, 1), (2, 1, 1)]
+    assert plan_of(report).count("Exchange hashpartitioning") == 1
+
+
+def test_validation_refuses_another_schema(spark):
+    df = spark.createDataFrame([("x", 2023)], "v string, ano int")
+    with pytest.raises(ContractError, match="v is string, declared bigint; mes is missing"):
+        validate_table(df, contract("t"))
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    folder = shared_folder(spark, "x")
+    assert folder != shared_folder(spark, "x")
+    if named:
+        assert folder.startswith(named)
