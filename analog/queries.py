@@ -22,11 +22,11 @@ from sedimenta.operators.layers import export_csv, reprocess_partition, write_la
 from sedimenta.operators.materialize import materialize
 from sedimenta.operators.means import mean_by_hour, mean_by_period
 from sedimenta.operators.validate import validate_table as validate
-from sedimenta.plans.bronze import Dataset, ingest, report_frame, run_bronze
+from sedimenta.plans.bronze import ingest, report_frame, run_bronze
 from sedimenta.plans.gold import GoldResult
 from sedimenta.plans.pipeline import Pipeline, run_pipeline
 from sedimenta.plans.silver import unified
-from sedimenta.sources.catalog import ensure_database, ensure_table, read_table, recover
+from sedimenta.sources.catalog import ensure_table, read_table, recover
 from sedimenta.sources.landing import scan
 
 # Two batches that together hold every month of lineitem.
@@ -165,7 +165,6 @@ def catalog_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract = lineitem_contract(table)
     rows = conform_all(scan(spark, at.lineitem_landing, contract).groups, contract).rows
     write_layer(rows, location, PERIOD)
-    ensure_database(spark, table.split(".")[0])
     ensure_table(spark, contract, location)
     recover(spark, table)
     return _rows_per_month(read_table(spark, table))
@@ -195,7 +194,6 @@ def hourly_mean_all_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _materialize_twice(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     at = lake(spark, sf_dir)
     location, table = at.fresh(f"means_{mode}")
-    ensure_database(spark, table.split(".")[0])
     materialize(_monthly(at.silver_table(), "lineitem"), table, location, mode)
     return materialize(_monthly(at.silver_table(), "events"), table, location, mode)
 
@@ -272,13 +270,7 @@ def validate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = lake(spark, sf_dir)
-    lineitem = at.lineitem_dataset("lineitem")
-    location, table = at.fresh("events")
-    events = at.datasets[1]
-    contract = type(events.contract)(
-        table, events.contract.columns, PERIOD, "ingestion_ts", events.contract.event_time
-    )
-    datasets = (lineitem, Dataset(contract, events.landing, location))
+    datasets = (at.lineitem_dataset("lineitem"), at.events_dataset("events"))
     location, table = at.fresh("monthly_mean")
     result = GoldResult(table, location, _monthly, PERIOD)
     run = run_pipeline(spark, Pipeline(datasets, at.silver_layer(datasets), (result,)))

@@ -14,6 +14,7 @@ from sedimenta.operators.unify import SourceMapping
 from sedimenta.plans.bronze import Dataset, ingest
 from sedimenta.plans.silver import SilverLayer, run_silver
 from sedimenta.session import shared_folder
+from sedimenta.sources.catalog import ensure_database
 
 PERIOD = ("year", "month")
 
@@ -102,7 +103,8 @@ class Lake:
         self.spark = spark
         self.sf_dir = sf_dir
         self.root = shared_folder(spark, "lake")
-        self.tag = uuid.uuid4().hex[:8]
+        self.database = f"lake_{uuid.uuid4().hex[:8]}"
+        ensure_database(spark, self.database, f"{self.root}/database")
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -110,7 +112,7 @@ class Lake:
     def fresh(self, label: str) -> tuple[str, str]:
         """A new folder and a new table name."""
         mark = uuid.uuid4().hex[:8]
-        return f"{self.root}/{label}_{mark}", f"lake_{self.tag}.{label}_{mark}"
+        return f"{self.root}/{label}_{mark}", f"{self.database}.{label}_{mark}"
 
     def lineitem_dataset(self, label: str, landing: str | None = None) -> Dataset:
         """Staged lineitem on its way to a new Bronze table."""
@@ -129,14 +131,11 @@ class Lake:
         stage(self.table("events"), landing, monthly_drop("events", "ts"))
         return landing
 
-    @cached_property
-    def datasets(self) -> tuple[Dataset, Dataset]:
-        location, table = self.fresh("events")
-        events = TableContract(table, EVENTS_COLUMNS, PERIOD, "ingestion_ts", "ts")
-        return (
-            self.lineitem_dataset("lineitem"),
-            Dataset(events, self.events_landing, location),
-        )
+    def events_dataset(self, label: str) -> Dataset:
+        """Staged events on their way to a new Bronze table."""
+        location, table = self.fresh(label)
+        contract = TableContract(table, EVENTS_COLUMNS, PERIOD, "ingestion_ts", "ts")
+        return Dataset(contract, self.events_landing, location)
 
     def silver_layer(self, datasets: tuple[Dataset, Dataset]) -> SilverLayer:
         location, table = self.fresh("trips")
@@ -152,9 +151,10 @@ class Lake:
 
     @cached_property
     def bronze(self) -> tuple[Dataset, Dataset]:
-        for dataset in self.datasets:
+        datasets = (self.lineitem_dataset("lineitem"), self.events_dataset("events"))
+        for dataset in datasets:
             ingest(self.spark, dataset)
-        return self.datasets
+        return datasets
 
     @cached_property
     def silver(self) -> SilverLayer:

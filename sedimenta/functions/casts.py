@@ -10,6 +10,12 @@ _FLOATING = (T.FloatType, T.DoubleType)
 _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
+def castable(source: T.DataType, target: T.DataType) -> bool:
+    """Whether a column of one type can be turned into the other at all."""
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    return source == target or not isinstance(source, nested) or isinstance(target, T.StringType)
+
+
 def convert(column: Column, source: T.DataType, target: T.DataType) -> Column:
     """``column`` as ``target``; a value that does not fit becomes NULL."""
     return column if source == target else column.try_cast(target)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.contracts import ContractError, TableContract, quoted_column
-from sedimenta.functions.casts import convert, may_lose
+from sedimenta.functions.casts import castable, convert, may_lose
 
 Extras = Literal["keep", "drop"]
 
@@ -40,6 +40,11 @@ def _projection(
             out.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
         source = F.col(quoted_column(have.name))
+        if not castable(have.dataType, field.dataType):
+            raise ContractError(
+                f"{field.name} comes as {have.dataType.simpleString()}, "
+                f"declared {field.dataType.simpleString()}"
+            )
         value = convert(source, have.dataType, field.dataType)
         out.append(value.alias(field.name))
         if with_lost and may_lose(have.dataType, field.dataType):

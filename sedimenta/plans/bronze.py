@@ -25,13 +25,18 @@ from sedimenta.sources.landing import EmptyLanding, scan
 
 @dataclass(frozen=True)
 class Dataset:
-    """One landing file set and the Bronze table it feeds."""
+    """One landing file set and the Bronze table it feeds.
+
+    ``compact`` asks for the compacting shuffle or rules it out; None decides by the number
+    and size of the landing files.
+    """
 
     contract: TableContract
     landing: str
     location: str
     extras: Extras = "keep"
     pattern: str = PERIOD_IN_PATH
+    compact: bool | None = None
 
 
 @dataclass(frozen=True)
@@ -93,7 +98,8 @@ def ingest(
     if staged.groups:
         conformed = conform_all(staged.groups, contract, dataset.extras)
         rows = conformed.rows
-        if staged.summary.fragmented:
+        fragmented = staged.summary.fragmented
+        if fragmented if dataset.compact is None else dataset.compact:
             rows = compacted(rows, contract.partition_by)
         # Observed behind the shuffle, if there is one: a rerun of its tasks counts once.
         seen = Observation()

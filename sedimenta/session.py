@@ -21,6 +21,7 @@ def local_session(cores: int = 8, name: str = "sedimenta", **conf: str) -> Spark
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", f"{tempfile.gettempdir()}/sedimenta-warehouse")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -10,8 +10,15 @@ from sedimenta.functions.period import PeriodRange
 from sedimenta.operators.layers import COMPRESSION
 
 
-def ensure_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}")
+def _location(place: str) -> str:
+    text = place.replace("\\", "\\\\").replace("'", "\\'")
+    return f"LOCATION '{text}'"
+
+
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create a database if it is not there, at the default place of the catalog or a given one."""
+    place = f" {_location(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{place}")
 
 
 def table_ddl(contract: TableContract, location: str) -> str:
@@ -21,11 +28,10 @@ def table_ddl(contract: TableContract, location: str) -> str:
         for f in contract.table_schema.fields
     )
     partitions = ", ".join(quoted_column(c) for c in contract.partition_by)
-    place = location.replace("\\", "\\\\").replace("'", "\\'")
     return (
         f"CREATE TABLE IF NOT EXISTS {quoted(contract.name)} (\n  {columns}\n)\n"
         f"USING parquet\nOPTIONS (compression '{COMPRESSION}')\n"
-        f"PARTITIONED BY ({partitions})\nLOCATION '{place}'"
+        f"PARTITIONED BY ({partitions})\n{_location(location)}"
     )
 
 

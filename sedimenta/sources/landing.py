@@ -53,8 +53,8 @@ class LandingSummary:
 
     @property
     def fragmented(self) -> bool:
-        """Many more files than their bytes call for: worth a compacting shuffle."""
-        return self.files - self.files_without_period > 4 * self.files_worth
+        """Files far below a useful size (16 MB on average): worth a compacting shuffle."""
+        return self.files - self.files_without_period > 8 * self.files_worth
 
 
 @dataclass(frozen=True)
@@ -166,22 +166,30 @@ def _agreeing(left: T.StructType, right: T.StructType) -> T.StructType | None:
     return T.StructType([*left.fields, *extra])
 
 
-def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+def _pieces(paths: list[str]) -> list[list[str]]:
+    size = ceil(len(paths) / _PROBES_AT_ONCE)
+    return [paths[i : i + size] for i in range(0, len(paths), size)]
+
+
+def schema_groups(
+    spark: SparkSession, paths: Sequence[str], disagree: bool = False
+) -> list[tuple[T.StructType, list[str]]]:
     """Paths grouped so that each group reads under one schema.
 
-    Paths in order are halved until their footers merge: producers change a type at some
-    date, so sorted drops fall into a few runs and the number of probes follows the number
-    of changes. Runs that agree are put together again, so the number of scans is the
-    number of distinct schemas.
+    Paths in order are cut into pieces until the footers of a piece merge: producers change
+    a type at some date, so sorted drops fall into a few runs and the number of probes
+    follows the number of changes. Runs that agree are put together again, so the number of
+    scans is the number of distinct schemas. ``disagree`` says that the paths are known not
+    to merge as a whole.
     """
-    pending = [sorted(paths)]
+    pending = _pieces(sorted(paths)) if disagree and len(paths) > 1 else [sorted(paths)]
     settled: list[tuple[list[str], T.StructType]] = []
     with ThreadPoolExecutor(_PROBES_AT_ONCE) as pool:
         while pending:
             probes = pool.map(
                 lambda run: _merged(spark, [_literal_path(p) for p in run]), pending
             )
-            split: list[list[str]] = []
+            conflicting: list[list[str]] = []
             for run, merged in zip(pending, probes):
                 if merged is not None:
                     settled.append((run, merged.schema))
@@ -189,9 +197,8 @@ def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.Str
                 parts = run if len(run) > 1 else _files_under(spark, run[0])
                 if len(parts) == 1:
                     raise ContractError(f"{parts[0]}: footer does not merge with itself")
-                half = len(parts) // 2
-                split += [parts[:half], parts[half:]]
-            pending = split
+                conflicting.append(parts)
+            pending = [piece for parts in conflicting for piece in _pieces(parts)]
 
     groups: list[tuple[T.StructType, list[str]]] = []
     for run, schema in sorted(settled, key=lambda s: s[0][0]):
@@ -227,7 +234,8 @@ def scan(
     if whole is not None and summary.files_without_period == 0 and len(summary.slices) == 1:
         frames = [(whole, next(iter(summary.slices)))]
     else:
-        frames = _scan_drops(spark, files, summary)
+        disagree = period is None and whole is None and summary.files_without_period == 0
+        frames = _scan_drops(spark, files, summary, disagree)
 
     without_period = None
     if summary.files_without_period:
@@ -243,7 +251,7 @@ def scan(
 
 
 def _scan_drops(
-    spark: SparkSession, files: DataFrame, summary: LandingSummary
+    spark: SparkSession, files: DataFrame, summary: LandingSummary, disagree: bool
 ) -> list[tuple[DataFrame, PeriodSlice | None]]:
     """One scan per distinct schema and period position, over named drops."""
     dated = files.where("year IS NOT NULL AND month IS NOT NULL").select("drop", "slice").distinct()
@@ -254,7 +262,7 @@ def _scan_drops(
     return [
         (_reader(spark).schema(schema).parquet(*[_literal_path(p) for p in members]), at)
         for at, paths in drops.items()
-        for schema, members in schema_groups(spark, paths)
+        for schema, members in schema_groups(spark, paths, disagree and len(drops) == 1)
     ]
 
 

@@ -111,6 +111,13 @@ def test_groups_go_together_and_conflicting_extras_are_refused(spark):
     assert conform_all([first, third], contract, "drop").rows.count() == 2
 
 
+def test_nested_source_for_a_plain_column_is_refused(spark):
+    df = spark.createDataFrame([([1.5],)], "v array<double>")
+    with pytest.raises(ContractError, match="v comes as array<double>, declared double"):
+        conform(df, struct(v=DOUBLE))
+    assert conform(df, struct(v=STRING)).collect() == [("[1.5]",)]
+
+
 def test_conform_is_one_projection(spark):
     df = spark.range(5).selectExpr("id AS a", "CAST(id AS STRING) AS b")
     plan = plan_of(conform(df, struct(a=DOUBLE, b=LONG, c=STRING)))

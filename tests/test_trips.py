@@ -233,10 +233,13 @@ def test_many_small_files_are_compacted_and_counted_once(spark, lake, tmp_path):
             pa.table({"VendorID": pa.array([str(i), "x"])}), folder / f"{i}.parquet"
         )
     out = tmp_path / "out"
-    (report,) = run_bronze(spark, [Dataset(yellow.contract, str(folder.parent), str(out))])
-    assert (report.status, report.rows_written) == ("ok", 24)
-    assert report.values_lost == {"VendorID": 12}
-    assert len(list(out.rglob("*.parquet"))) == 1
+    for compact, files in ((None, 1), (True, 1), (False, None)):
+        dataset = Dataset(yellow.contract, str(folder.parent), str(out), compact=compact)
+        (report,) = run_bronze(spark, [dataset])
+        assert (report.status, report.rows_written) == ("ok", 24)
+        assert report.values_lost == {"VendorID": 12}
+        written = len(list(out.rglob("*.parquet")))
+        assert written == files if files else 1 < written <= 12
 
 
 def test_landing_may_not_be_overwritten(spark, lake):
