@@ -107,6 +107,12 @@ def _listing(spark: SparkSession, files: DataFrame) -> list[Row]:
         return files.collect()
 
 
+def _listing_tasks(spark: SparkSession) -> dict[str, str]:
+    """Named paths are listed by a few tasks per core; Spark's own choice is one per path."""
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    return {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(min(tasks, 10000))}
+
+
 def _summarise(spark: SparkSession, files: DataFrame, root: str) -> LandingSummary:
     months = _listing(
         spark,
@@ -225,23 +231,24 @@ def scan(
     created before the listing that checks it, so a file arriving in between is listed but
     not read, never read unchecked.
     """
-    whole = _merged(spark, [root]) if period is None else None
-    files = landing_files(spark, root, pattern)
-    if period is not None:
-        undated = F.col("year").isNull() | F.col("month").isNull()
-        files = files.where(undated | period.holds(F.col("year"), F.col("month")))
-    summary = _summarise(spark, files, root)
-    if whole is not None and summary.files_without_period == 0 and len(summary.slices) == 1:
-        frames = [(whole, next(iter(summary.slices)))]
-    else:
-        disagree = period is None and whole is None and summary.files_without_period == 0
-        frames = _scan_drops(spark, files, summary, disagree)
-
-    without_period = None
-    if summary.files_without_period:
-        undated_drops = files.where("year IS NULL OR month IS NULL").select("drop")
-        paths = [_literal_path(r["drop"]) for r in _listing(spark, undated_drops)]
-        without_period = _reader(spark).parquet(*paths)
+    with session_conf(spark, _listing_tasks(spark)):
+        whole = _merged(spark, [root]) if period is None else None
+        files = landing_files(spark, root, pattern)
+        if period is not None:
+            undated = F.col("year").isNull() | F.col("month").isNull()
+            files = files.where(undated | period.holds(F.col("year"), F.col("month")))
+        summary = _summarise(spark, files, root)
+        if whole is not None and summary.files_without_period == 0 and len(summary.slices) == 1:
+            frames = [(whole, next(iter(summary.slices)))]
+        else:
+            disagree = period is None and whole is None and summary.files_without_period == 0
+            frames = _scan_drops(spark, files, summary, disagree)
+
+        without_period = None
+        if summary.files_without_period:
+            undated_drops = files.where("year IS NULL OR month IS NULL").select("drop")
+            paths = [_literal_path(r["drop"]) for r in _listing(spark, undated_drops)]
+            without_period = _reader(spark).parquet(*paths)
 
     return LandingScan(
         groups=tuple(_with_period(df, contract, pattern, at) for df, at in frames),
