@@ -97,23 +97,23 @@ def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(partial, LINEITEM_COLUMNS, "keep")
 
 
-def schema_drift_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = lake(spark, sf_dir)
-    landing, _ = at.fresh("drift")
-    whole = at.table("lineitem")
+def _stage_drift(whole: DataFrame, landing: str) -> None:
+    """Three spans of years: line number as bigint, as double, as int without a tax column."""
     drop = monthly_drop("lineitem", "l_shipdate")
     year = F.year("l_shipdate")
     number = F.col("l_linenumber")
-    stage(
-        whole.where(year <= 1996).withColumn("l_linenumber", number.cast("bigint")), landing, drop
+    first = whole.where(year <= 1996).withColumn("l_linenumber", number.cast("bigint"))
+    second = whole.where(year.between(1997, 1998)).withColumn(
+        "l_linenumber", number.cast("double")
     )
-    stage(
-        whole.where(year.between(1997, 1998)).withColumn("l_linenumber", number.cast("double")),
-        landing,
-        drop,
-        "append",
-    )
-    stage(whole.where(year >= 1999).drop("l_tax"), landing, drop, "append")
+    third = whole.where(year >= 1999).drop("l_tax")
+    for span in (first, second, third):
+        stage(span, landing, drop, "append")
+
+
+def schema_drift_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = lake(spark, sf_dir)
+    landing = at.landing("drift", lambda to: _stage_drift(at.table("lineitem"), to))
     dataset = at.lineitem_dataset("drifted", landing)
     ingest(spark, dataset)
     return spark.table(dataset.contract.name).drop("ingestion_ts")
@@ -215,28 +215,30 @@ def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dataset_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = lake(spark, sf_dir)
-    whole = at.table("lineitem")
-    drop = monthly_drop("lineitem", "l_shipdate")
-    dirty, _ = at.fresh("dirty")
+def _stage_dirty(whole: DataFrame, landing: str) -> None:
+    """Tax as text, unreadable in returned lines; finished lines under a name without a month."""
+    tax = F.when(F.col("l_returnflag") == "R", "n/a").otherwise(F.col("l_tax").cast("string"))
     stage(
-        whole.withColumn(
-            "l_tax",
-            F.when(F.col("l_returnflag") == "R", "n/a").otherwise(F.col("l_tax").cast("string")),
+        whole.withColumn("l_tax", tax),
+        landing,
+        F.when(F.col("l_linestatus") == "F", "lineitem_undated.parquet").otherwise(
+            monthly_drop("lineitem", "l_shipdate")
         ),
-        dirty,
-        F.when(F.col("l_linestatus") == "F", "lineitem_undated.parquet").otherwise(drop),
     )
-    mistyped, _ = at.fresh("mistyped")
-    stage(whole.withColumn("l_tax", F.array("l_tax")), mistyped, drop)
-    nothing, _ = at.fresh("nothing")
 
+
+def _stage_mistyped(whole: DataFrame, landing: str) -> None:
+    drop = monthly_drop("lineitem", "l_shipdate")
+    stage(whole.withColumn("l_tax", F.array("l_tax")), landing, drop)
+
+
+def dataset_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = lake(spark, sf_dir)
     datasets = {
         "clean": at.lineitem_landing,
-        "dirty": dirty,
-        "mistyped": mistyped,
-        "nothing": nothing,
+        "dirty": at.landing("dirty", lambda to: _stage_dirty(at.table("lineitem"), to)),
+        "mistyped": at.landing("mistyped", lambda to: _stage_mistyped(at.table("lineitem"), to)),
+        "nothing": at.landing("nothing", lambda to: None),
     }
     reports = run_bronze(
         spark, [at.lineitem_dataset(label, landing) for label, landing in datasets.items()]
@@ -251,18 +253,22 @@ def dataset_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def validate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = lake(spark, sf_dir)
-    landing, _ = at.fresh("misfiled")
+def _stage_misfiled(whole: DataFrame, landing: str) -> None:
+    """Rows of February 1996 filed under March; no tax in returned lines."""
     shipped = F.col("l_shipdate")
     february = (F.year(shipped) == 1996) & (F.month(shipped) == 2)
     stage(
-        at.table("lineitem").withColumn("l_tax", F.when(F.col("l_returnflag") != "R", F.col("l_tax"))),
+        whole.withColumn("l_tax", F.when(F.col("l_returnflag") != "R", F.col("l_tax"))),
         landing,
         F.when(february, "lineitem_1996-03.parquet").otherwise(
             monthly_drop("lineitem", "l_shipdate")
         ),
     )
+
+
+def validate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = lake(spark, sf_dir)
+    landing = at.landing("misfiled", lambda to: _stage_misfiled(at.table("lineitem"), to))
     dataset = at.lineitem_dataset("misfiled", landing)
     ingest(spark, dataset)
     return validate(spark.table(dataset.contract.name), dataset.contract)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -103,6 +104,7 @@ class Lake:
         self.spark = spark
         self.sf_dir = sf_dir
         self.root = shared_folder(spark, "lake")
+        self._landings: dict[str, str] = {}
         self.database = f"lake_{uuid.uuid4().hex[:8]}"
         ensure_database(spark, self.database, f"{self.root}/database")
 
@@ -119,17 +121,26 @@ class Lake:
         location, table = self.fresh(label)
         return Dataset(lineitem_contract(table), landing or self.lineitem_landing, location)
 
-    @cached_property
+    def landing(self, label: str, write: Callable[[str], None]) -> str:
+        """Folder of landing drops; ``write`` fills it on the first call for the label."""
+        if label not in self._landings:
+            folder = f"{self.root}/landing/{label}"
+            write(folder)
+            self._landings[label] = folder
+        return self._landings[label]
+
+    @property
     def lineitem_landing(self) -> str:
-        landing = f"{self.root}/landing/lineitem"
-        stage(self.table("lineitem"), landing, monthly_drop("lineitem", "l_shipdate"))
-        return landing
+        return self.landing(
+            "lineitem",
+            lambda to: stage(self.table("lineitem"), to, monthly_drop("lineitem", "l_shipdate")),
+        )
 
-    @cached_property
+    @property
     def events_landing(self) -> str:
-        landing = f"{self.root}/landing/events"
-        stage(self.table("events"), landing, monthly_drop("events", "ts"))
-        return landing
+        return self.landing(
+            "events", lambda to: stage(self.table("events"), to, monthly_drop("events", "ts"))
+        )
 
     def events_dataset(self, label: str) -> Dataset:
         """Staged events on their way to a new Bronze table."""

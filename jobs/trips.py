@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import argparse
+from typing import get_args
 
 from pyspark.sql import SparkSession
 
 from sedimenta.functions.period import PeriodRange
-from sedimenta.operators.layers import export_csv
+from sedimenta.operators.layers import WriteMode, export_csv
+from sedimenta.operators.materialize import MaterializeMode
 from sedimenta.plans.bronze import report_frame, run_bronze
 from sedimenta.plans.gold import run_gold
 from sedimenta.plans.pipeline import require_loaded
@@ -24,16 +26,20 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     for root in ("landing", "bronze", "silver", "gold"):
         parser.add_argument(f"--{root}", required=True, help=f"root folder of {root}")
-    parser.add_argument("--steps", default="bronze,silver,gold")
-    parser.add_argument("--bronze-mode", default="replace_partitions")
-    parser.add_argument("--silver-mode", default="replace_all")
-    parser.add_argument("--gold-mode", default="refresh", choices=["once", "refresh"])
+    parser.add_argument("--steps", default="bronze,silver,gold", help="any of these, with commas")
+    modes = get_args(WriteMode)
+    parser.add_argument("--bronze-mode", default="replace_partitions", choices=modes)
+    parser.add_argument("--silver-mode", default="replace_all", choices=modes)
+    parser.add_argument("--gold-mode", default="refresh", choices=get_args(MaterializeMode))
     parser.add_argument("--first", type=_month, help="first month to load, YYYY-MM")
     parser.add_argument("--last", type=_month, help="last month to load, YYYY-MM")
     parser.add_argument("--csv", help="folder for CSV copies of the gold results")
     args = parser.parse_args(argv)
     if (args.first is None) != (args.last is None):
         parser.error("--first and --last go together")
+    steps = args.steps.split(",")
+    if set(steps) - {"bronze", "silver", "gold"}:
+        parser.error(f"unknown step in {args.steps}")
 
     # Trip times carry no zone; a fixed session zone keeps every cast the same everywhere.
     spark = (
@@ -43,7 +49,6 @@ def main(argv: list[str] | None = None) -> None:
     )
     pipeline = trips_pipeline(args.landing, args.bronze, args.silver, args.gold)
     period = PeriodRange(args.first, args.last) if args.first else None
-    steps = args.steps.split(",")
     if "bronze" in steps:
         reports = run_bronze(spark, pipeline.bronze, args.bronze_mode, period)
         report_frame(spark, reports).show(truncate=False)

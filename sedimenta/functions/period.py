@@ -77,6 +77,11 @@ class PeriodRange:
     first: tuple[int, int]
     last: tuple[int, int]
 
+    def __post_init__(self) -> None:
+        months_fit = all(1 <= month <= 12 for _, month in (self.first, self.last))
+        if self.first > self.last or not months_fit:
+            raise ValueError(f"no range of months: {self.first} to {self.last}")
+
     def holds(self, year: Column, month: Column) -> Column:
         """Row test built from plain comparisons, so it prunes partitions."""
         (y0, m0), (y1, m1) = self.first, self.last

@@ -53,6 +53,12 @@ def test_range_of_months(spark):
     assert sorted(map(tuple, held)) == [(2022, 11), (2022, 12), (2023, 1), (2023, 2)]
 
 
+@pytest.mark.parametrize("bounds", [((2023, 5), (2023, 4)), ((2023, 0), (2023, 4)), ((1, 1), (1, 13))])
+def test_no_range_of_months(bounds):
+    with pytest.raises(ValueError, match="no range"):
+        PeriodRange(*bounds)
+
+
 _NAME = st.text(st.sampled_from("ab01_ é-"), max_size=8)
 
 

@@ -242,6 +242,27 @@ def test_many_small_files_are_compacted_and_counted_once(spark, lake, tmp_path):
         assert written == files if files else 1 < written <= 12
 
 
+def test_files_of_one_month_in_one_batch_all_survive(spark, lake, tmp_path):
+    yellow = lake[0].bronze[0]
+    for mark in "abc":
+        (tmp_path / "same").mkdir(exist_ok=True)
+        pq.write_table(
+            pa.table({"VendorID": pa.array([1, 2])}), tmp_path / "same" / f"{mark}_2023-01.parquet"
+        )
+    dataset = Dataset(yellow.contract, str(tmp_path / "same"), str(tmp_path / "out"))
+    for _ in range(2):
+        (report,) = run_bronze(spark, [dataset])
+        assert report.rows_written == 6
+        assert spark.read.parquet(str(tmp_path / "out")).count() == 6
+
+
+def test_job_script_refuses_unknown_arguments(tmp_path):
+    roots = [x for n in ("landing", "bronze", "silver", "gold") for x in (f"--{n}", n)]
+    for wrong in (["--steps", "bronze,lead"], ["--first", "2023-01"], ["--bronze-mode", "x"]):
+        with pytest.raises(SystemExit):
+            job.main([*roots, *wrong])
+
+
 def test_landing_may_not_be_overwritten(spark, lake):
     yellow = lake[0].bronze[0]
     (report,) = run_bronze(spark, [Dataset(yellow.contract, yellow.landing, yellow.landing)])
