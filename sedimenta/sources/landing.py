@@ -34,7 +34,7 @@ FILE_SET = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 _PROBES_AT_ONCE = 8
 # Distinct period positions up to which drops are scanned apart to keep the cheap slicing.
-_MAX_SLICES = 16
+_MAX_SLICES = 64
 
 
 class EmptyLanding(Exception):
@@ -156,7 +156,13 @@ def _merged(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
 
 def _files_under(spark: SparkSession, path: str) -> list[str]:
     files = _reader(spark).format("binaryFile").load(_literal_path(path)).select("path")
-    return sorted(r["path"] for r in files.collect())
+    return sorted((r["path"] for r in _listing(spark, files)), key=_by_writer)
+
+
+def _by_writer(path: str) -> tuple[str, str]:
+    """Order by the form of a name, then by its numbers: ``part-00000-<job id>`` of one job
+    stand together, and drops of one form stand in order of their dates."""
+    return re.sub(r"\d+", "#", path), path
 
 
 def _agreeing(left: T.StructType, right: T.StructType) -> T.StructType | None:
@@ -182,13 +188,14 @@ def schema_groups(
 ) -> list[tuple[T.StructType, list[str]]]:
     """Paths grouped so that each group reads under one schema.
 
-    Paths in order are cut into pieces until the footers of a piece merge: producers change
-    a type at some date, so sorted drops fall into a few runs and the number of probes
-    follows the number of changes. Runs that agree are put together again, so the number of
+    Paths in order are cut into pieces until the footers of a piece merge: each writer
+    changes a type at some date, so ordered paths fall into a few runs and the number of
+    probes follows the number of changes. Runs that agree are put together again, so the number of
     scans is the number of distinct schemas. ``disagree`` says that the paths are known not
     to merge as a whole.
     """
-    pending = _pieces(sorted(paths)) if disagree and len(paths) > 1 else [sorted(paths)]
+    ordered = sorted(paths, key=_by_writer)
+    pending = _pieces(ordered) if disagree and len(ordered) > 1 else [ordered]
     settled: list[tuple[list[str], T.StructType]] = []
     with ThreadPoolExecutor(_PROBES_AT_ONCE) as pool:
         while pending:

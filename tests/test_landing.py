@@ -101,6 +101,20 @@ def test_number_of_probes_follows_number_of_changes(spark, drop, monkeypatch):
     assert len(probes) <= 15
 
 
+def test_files_of_two_writers_in_one_month(spark, drop, monkeypatch):
+    writers = {"00ab12cd-1": longs, "77fe30aa-2": doubles}
+    for part in range(40):
+        for job, kind in writers.items():
+            root = drop(f"a_2023-01.parquet/part-{part:05d}-{job}.parquet", VendorID=kind(part))
+    probes = []
+    merged = landing._merged
+    monkeypatch.setattr(landing, "_merged", lambda s, p: probes.append(p) or merged(s, p))
+    groups = schema_groups(spark, [f"{root}/a_2023-01.parquet"])
+    assert sorted(len(members) for _, members in groups) == [40, 40]
+    assert len(probes) <= 20
+    assert landed(spark, root).agg(F.sum("VendorID")).first()[0] == 2 * sum(range(40))
+
+
 def test_case_change_between_files(spark, drop):
     drop("a_2023-01.parquet", VendorID=longs(1), RATECODEID=doubles(1.5))
     root = drop("a_2023-02.parquet", vendorid=longs(2), RatecodeID=doubles(2.5))

@@ -33,8 +33,8 @@ def test_equals_oracle(spark, duck, query):
     columns = sorted(df.columns)
     ours = df.select(*columns).toArrow().to_pylist()
     quoted = ", ".join(f'"{c}"' for c in columns)
-    theirs = duck.execute(f"SELECT {quoted} FROM ({driver.oracle_sql()[query]})")
-    assert [d[0] for d in theirs.description] == columns
+    theirs = duck.sql(f"SELECT {quoted} FROM ({driver.oracle_sql()[query]})")
+    assert theirs.columns == columns
     theirs = theirs.to_arrow_table().to_pylist()
     assert len(ours) == len(theirs) > 0
     key = lambda row: repr(list(row.values()))
