@@ -154,8 +154,9 @@ def _merged(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
         raise
 
 
-def _files_under(spark: SparkSession, path: str) -> list[str]:
-    files = _reader(spark).format("binaryFile").load(_literal_path(path)).select("path")
+def _files_under(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    files = _reader(spark).format("binaryFile").load([_literal_path(p) for p in paths])
+    files = files.select("path")
     return sorted((r["path"] for r in _listing(spark, files)), key=_by_writer)
 
 
@@ -197,20 +198,26 @@ def schema_groups(
     ordered = sorted(paths, key=_by_writer)
     pending = _pieces(ordered) if disagree and len(ordered) > 1 else [ordered]
     settled: list[tuple[list[str], T.StructType]] = []
+    single_files: set[str] = set()
     with ThreadPoolExecutor(_PROBES_AT_ONCE) as pool:
         while pending:
             probes = pool.map(
                 lambda run: _merged(spark, [_literal_path(p) for p in run]), pending
             )
             conflicting: list[list[str]] = []
+            mixed_drops: list[str] = []
             for run, merged in zip(pending, probes):
                 if merged is not None:
                     settled.append((run, merged.schema))
-                    continue
-                parts = run if len(run) > 1 else _files_under(spark, run[0])
-                if len(parts) == 1:
-                    raise ContractError(f"{parts[0]}: footer does not merge with itself")
-                conflicting.append(parts)
+                elif len(run) > 1:
+                    conflicting.append(run)
+                elif run[0] in single_files:
+                    raise ContractError(f"{run[0]}: footer does not merge with itself")
+                else:
+                    mixed_drops += run
+            if mixed_drops:
+                conflicting.append(_files_under(spark, mixed_drops))
+                single_files.update(conflicting[-1])
             pending = [piece for parts in conflicting for piece in _pieces(parts)]
 
     groups: list[tuple[T.StructType, list[str]]] = []

@@ -46,7 +46,9 @@ def make_trips(root, kind, prefix, files, seed):
             rows.append((year, month, at, passengers, rng.randrange(300, 9000) / 100))
         made += rows
         columns = {
-            "VendorID": pa.array([1 + i % 2 for i in range(200)], pa.int64()),
+            "VendorID": pa.array(
+                [1 + i % 2 for i in range(200)], pa.int64() if year == 2022 else pa.int32()
+            ),
             f"{prefix}_pickup_datetime": pa.array([r[2] for r in rows], pa.timestamp("us")),
             f"{prefix}_dropoff_datetime": pa.array(
                 [r[2] + dt.timedelta(minutes=9) for r in rows], pa.timestamp("us")
@@ -58,7 +60,10 @@ def make_trips(root, kind, prefix, files, seed):
             "total_amount": pa.array([r[4] for r in rows], pa.float64()),
         }
         if kind == "yellow":
-            columns["Airport_fee"] = pa.array([1.25] * 200, pa.float64())
+            fee = "airport_fee" if month == 1 else "Airport_fee"
+            columns[fee] = pa.array([1.25] * 200, pa.float64())
+        else:  # a column that is empty throughout has no type of its own
+            columns["ehail_fee"] = pa.nulls(200) if month == 1 else pa.array([0.5] * 200)
         folder = root / "landing" / kind
         folder.mkdir(parents=True, exist_ok=True)
         pq.write_table(
@@ -120,6 +125,8 @@ def test_all_layers_and_rerun(spark, lake):
     bronze = spark.table(trips.YELLOW_TABLE)
     assert bronze.where("airport_fee = 1.25 AND ingestion_ts IS NOT NULL").count() == 600
     assert bronze.select("ingestion_ts").distinct().count() == 1
+    green = spark.table(trips.GREEN_TABLE).groupBy("mes", "ehail_fee").count()
+    assert rows_of(green) == [(200, "0.5", 5), (200, None, 1)]
 
 
 def test_append_doubles_bronze(spark, lake):
