@@ -32,7 +32,10 @@ def local_session(cores: int = 8, name: str = "sedimenta", **conf: str) -> Spark
 
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    """Session settings for the actions inside the block; the old values come back after."""
+    """Session settings for the actions inside the block; the old values come back after.
+
+    The settings belong to the session, so blocks of one session must not run in parallel.
+    """
     before = {key: spark.conf.get(key, None) for key in settings}
     try:
         for key, value in settings.items():
