@@ -98,8 +98,8 @@ def ingest(
     if staged.groups:
         conformed = conform_all(staged.groups, contract, dataset.extras)
         rows = conformed.rows
-        fragmented = staged.summary.fragmented
-        if fragmented if dataset.compact is None else dataset.compact:
+        compact = staged.summary.fragmented if dataset.compact is None else dataset.compact
+        if compact:
             rows = compacted(rows, contract.partition_by)
         # Observed behind the shuffle, if there is one: a rerun of its tasks counts once.
         seen = Observation()

@@ -7,8 +7,9 @@ or a directory of part files.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from math import ceil
 
@@ -80,14 +81,21 @@ def _literal_path(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def landing_files(spark: SparkSession, root: str, pattern: str = PERIOD_IN_PATH) -> DataFrame:
-    """One row per file: drop, bytes, year, month, slice. No file content is read."""
+@contextmanager
+def _empty_if_missing(root: str) -> Iterator[None]:
+    """Turn Spark's "no such path" and "no file to take a schema from" into EmptyLanding."""
     try:
-        files = _reader(spark).format("binaryFile").load(root)
+        yield
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise EmptyLanding(f"no Parquet file under {root}") from error
         raise
+
+
+def landing_files(spark: SparkSession, root: str, pattern: str = PERIOD_IN_PATH) -> DataFrame:
+    """One row per file: drop, bytes, year, month, slice. No file content is read."""
+    with _empty_if_missing(root):
+        files = _reader(spark).format("binaryFile").load(root)
     uri = F.col("_metadata.file_path")
     year, month = period_of(uri, pattern)
     drop = F.regexp_extract("path", f"^(.*?(?:{pattern})[^/]*)", 1)
@@ -144,10 +152,6 @@ def _merged(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
     """
     try:
         return _reader(spark).option("mergeSchema", "true").parquet(*paths)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise EmptyLanding(f"no Parquet file under {', '.join(paths[:3])}") from error
-        raise
     except Exception as error:
         if "CANNOT_MERGE_SCHEMAS" in str(error):
             return None
@@ -246,7 +250,10 @@ def scan(
     not read, never read unchecked.
     """
     with session_conf(spark, _listing_tasks(spark)):
-        whole = _merged(spark, [root]) if period is None else None
+        whole = None
+        if period is None:
+            with _empty_if_missing(root):
+                whole = _merged(spark, [root])
         files = landing_files(spark, root, pattern)
         if period is not None:
             undated = F.col("year").isNull() | F.col("month").isNull()

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pyarrow as pa
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -205,6 +206,12 @@ def test_nothing_to_read(spark, tmp_path):
                 scan(spark, str(tmp_path / root), CONTRACT, period=period)
 
 
+def test_drop_that_vanishes_is_a_failure_not_an_empty_landing(spark, drop):
+    root = drop("a_2023-01.parquet", VendorID=longs(1))
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        schema_groups(spark, [f"{root}/a_2023-01.parquet", f"{root}/a_2023-02.parquet"])
+
+
 def test_unreadable_file_raises(spark, drop, tmp_path):
     root = drop("a_2023-01.parquet", VendorID=longs(1))
     (tmp_path / "landing" / "a_2023-02.parquet").write_bytes(b"no parquet file at all")
