@@ -14,9 +14,15 @@ WriteMode = Literal["replace_partitions", "replace_all", "append"]
 
 COMPRESSION = "snappy"
 
-# Up to this many partitions a task keeps one open file each and needs no sort; beyond, it
-# sorts the rest by partition. What a task buffers is bounded by its input split.
-_OPEN_FILES_PER_TASK = "16"
+MB = 1024 * 1024
+
+# Settings of a layer write, each only where the session has no value of its own.
+# Up to 16 partitions a task keeps one open file each and needs no sort; beyond, it sorts the
+# rest by partition. What a task buffers is bounded by its input split.
+_WRITE_SETTINGS = {
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB),
+}
 
 
 def check_mode(mode: str) -> None:
@@ -42,17 +48,28 @@ def compacted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
+def split_bytes(total: int, cores: int) -> int:
+    """Input per task: 128 MB, and up to 512 MB where each core still gets eight tasks.
+
+    A task writes one file per month it reads, so larger splits make larger files.
+    """
+    return min(512 * MB, max(128 * MB, total // (8 * cores)))
+
+
 def write_layer(
     df: DataFrame,
     location: str,
     partition_by: Sequence[str],
     mode: WriteMode = "replace_partitions",
+    split: int | None = None,
 ) -> None:
     """Write a layer without a shuffle.
 
     ``replace_partitions``  replaces the partitions present in ``df``, leaves the others
     ``replace_all``         replaces the whole location
     ``append``              adds files; a rerun doubles its rows
+
+    ``split`` sets the input per task in bytes, unless the session sets it.
     """
     check_mode(mode)
     writer = (
@@ -61,9 +78,12 @@ def write_layer(
         .option("partitionOverwriteMode", "dynamic" if mode == "replace_partitions" else "static")
         .mode("append" if mode == "append" else "overwrite")
     )
-    with session_conf(
-        df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": _OPEN_FILES_PER_TASK}
-    ):
+    settings = dict(_WRITE_SETTINGS)
+    if split is not None:
+        settings["spark.sql.files.maxPartitionBytes"] = str(split)
+    spark = df.sparkSession
+    unset = {key: value for key, value in settings.items() if spark.conf.get(key, None) is None}
+    with session_conf(spark, unset):
         writer.parquet(location)
 
 

@@ -17,6 +17,7 @@ from sedimenta.operators.layers import (
     check_mode,
     compacted,
     distinct_locations,
+    split_bytes,
     write_layer,
 )
 from sedimenta.sources.catalog import ensure_database, ensure_table, recover
@@ -107,7 +108,8 @@ def ingest(
         rows = rows.drop(*conformed.lost_flags)
         if contract.loaded_at:
             rows = rows.withColumn(contract.loaded_at, F.current_timestamp())
-        write_layer(rows, dataset.location, contract.partition_by, mode)
+        split = split_bytes(staged.summary.bytes, spark.sparkContext.defaultParallelism)
+        write_layer(rows, dataset.location, contract.partition_by, mode, split)
         counts = dict(seen.get)
         written = counts.pop("__rows")
         lost = {name: n for name, n in counts.items() if n}

@@ -8,15 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sedimenta.contracts import TableContract, quoted
 from sedimenta.functions.period import PeriodRange
-from sedimenta.operators.layers import WriteMode, write_layer
+from sedimenta.operators.layers import MB, WriteMode, write_layer
 from sedimenta.operators.unify import SourceMapping, map_source, unify
 from sedimenta.plans.bronze import register
-from sedimenta.session import session_conf
 from sedimenta.sources.catalog import read_table
 
-# Silver reads about a third of a Bronze file's columns, so a task takes three times the
-# usual 128 MB of file to write files of a useful size.
-_SCAN_BYTES = str(3 * 128 * 1024 * 1024)
+# Silver reads about a third of a Bronze file's columns; a task takes a whole large file, to
+# write one of 128 MB or more.
+_SPLIT = 512 * MB
 
 
 class PipelineError(RuntimeError):
@@ -64,6 +63,5 @@ def run_silver(
     if period is not None and mode == "replace_all":
         raise ValueError("a range of months with replace_all would drop all other months")
     rows = unified(spark, layer, period)
-    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": _SCAN_BYTES}):
-        write_layer(rows, layer.location, layer.contract.partition_by, mode)
+    write_layer(rows, layer.location, layer.contract.partition_by, mode, _SPLIT)
     register(spark, layer.contract, layer.location, replaced_all=mode == "replace_all")

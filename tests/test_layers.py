@@ -8,11 +8,14 @@ from pyspark.sql import types as T
 
 from sedimenta.contracts import ContractError, TableContract
 from sedimenta.functions.period import PeriodRange
+from sedimenta.operators import layers
 from sedimenta.operators.layers import (
+    MB,
     compacted,
     distinct_locations,
     export_csv,
     reprocess_partition,
+    split_bytes,
     write_layer,
 )
 from sedimenta.operators.materialize import materialize
@@ -79,6 +82,30 @@ def test_snappy_and_settings_restored(spark, tmp_path):
     assert list(tmp_path.glob("t/ano=2023/mes=1/*.snappy.parquet"))
 
 
+def test_input_per_task_grows_with_the_input_and_keeps_cores_busy():
+    assert split_bytes(0, 8) == split_bytes(8 * 1024**3, 8) == 128 * MB
+    assert split_bytes(100 * 1024**4, 8000) == 512 * MB
+    assert split_bytes(20 * 1024**3, 8) == 320 * MB
+
+
+def test_split_is_used_unless_the_session_sets_it(spark, tmp_path, monkeypatch):
+    key = "spark.sql.files.maxPartitionBytes"
+    seen = []
+    original = layers.session_conf
+
+    def recording(session, settings):
+        seen.append(settings)
+        return original(session, settings)
+
+    monkeypatch.setattr(layers, "session_conf", recording)
+    df = batch(spark, (1, 2023, 1))
+    write_layer(df, str(tmp_path / "t"), PERIOD, split=512 * MB)
+    assert seen[-1][key] == str(512 * MB)
+    with session_conf(spark, {key: str(MB)}):
+        write_layer(df, str(tmp_path / "t"), PERIOD, split=512 * MB)
+    assert key not in seen[-1]
+
+
 def test_more_partitions_than_open_files(spark, tmp_path):
     location = str(tmp_path / "t")
     df = spark.range(6000).selectExpr("id AS v", "int(2000 + id % 50) AS ano", "1 AS mes")
