@@ -7,7 +7,7 @@ from typing import Literal
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.contracts import quoted
+from sedimenta.contracts import quoted, quoted_column
 from sedimenta.operators.layers import COMPRESSION
 
 MaterializeMode = Literal["once", "refresh"]
@@ -47,5 +47,5 @@ def materialize(
         )
     elif mode == "refresh":
         columns = spark.table(quoted(table)).columns
-        df.select(*columns).write.insertInto(quoted(table), overwrite=True)
+        df.select(*map(quoted_column, columns)).write.insertInto(quoted(table), overwrite=True)
     return spark.table(quoted(table))

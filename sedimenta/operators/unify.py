@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.contracts import TableContract
+from sedimenta.contracts import ContractError, TableContract
 
 
 @dataclass(frozen=True)
@@ -23,6 +23,9 @@ class SourceMapping:
 def map_source(df: DataFrame, mapping: SourceMapping, contract: TableContract) -> DataFrame:
     """Select, rename and tag the columns of one source; types must equal the contract."""
     names = [f.name for f in contract.table_schema.fields]
+    unmapped = [n for n in names if n not in mapping.columns]
+    if unmapped:
+        raise ContractError(f"{mapping.source}: no expression for {', '.join(unmapped)}")
     out = df.select(*(F.expr(mapping.columns[n]).alias(n) for n in names))
     contract.check(out.schema)
     return out

@@ -3,7 +3,10 @@ from __future__ import annotations
 import datetime as dt
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,6 +105,38 @@ def test_number_of_probes_follows_number_of_changes(spark, drop, monkeypatch):
     assert len(probes) <= 15
 
 
+_ARROW = {"int32": pa.int32(), "int64": pa.int64(), "double": pa.float64(), "text": pa.string()}
+
+
+@settings(
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    files=st.lists(
+        st.dictionaries(
+            st.sampled_from(["VendorID", "RatecodeID"]), st.sampled_from(sorted(_ARROW)), min_size=1
+        ),
+        min_size=1,
+        max_size=9,
+    )
+)
+def test_any_mix_of_files_gives_every_value_at_the_contract(spark, tmp_path_factory, files):
+    folder = tmp_path_factory.mktemp("mix")
+    expected = []
+    for month, file in enumerate(files, 1):
+        columns = {
+            c: pa.array([str(month) if kind == "text" else month] * 2, _ARROW[kind])
+            for c, kind in file.items()
+        }
+        pq.write_table(pa.table(columns), folder / f"a_2023-{month:02d}.parquet")
+        row = (month if "RatecodeID" in file else None, month if "VendorID" in file else None)
+        expected += [(*row, 2023, month)] * 2
+    rows = landed(spark, str(folder))
+    CONTRACT.check(rows.schema)
+    found = rows.select("RatecodeID", "VendorID", "ano", "mes").collect()
+    assert sorted(map(tuple, found), key=lambda r: r[3]) == expected
+
+
 def test_files_of_two_writers_in_one_month(spark, drop, monkeypatch):
     writers = {"00ab12cd-1": longs, "77fe30aa-2": doubles}
     for part in range(40):

@@ -342,6 +342,9 @@ def test_three_sources_go_together_and_types_are_checked(spark):
     with pytest.raises(ValueError, match="quantidade_passageiros is bigint"):
         wrong = {**mapping, "quantidade_passageiros": "id"}
         map_source(df, SourceMapping("x", wrong), contract)
+    with pytest.raises(ValueError, match="no expression for ano, mes"):
+        partial = {k: v for k, v in mapping.items() if k not in ("ano", "mes")}
+        map_source(df, SourceMapping("x", partial), contract)
     with pytest.raises(ValueError):
         unify([])
 
