@@ -190,8 +190,8 @@ def _pieces(paths: list[str]) -> list[list[str]]:
 
 def schema_groups(
     spark: SparkSession, paths: Sequence[str], disagree: bool = False
-) -> list[tuple[T.StructType, list[str]]]:
-    """Paths grouped so that each group reads under one schema.
+) -> list[tuple[DataFrame, list[str]]]:
+    """Paths grouped so that each group reads under one schema: the scan of each group.
 
     Paths in order are cut into pieces until the footers of a piece merge: each writer
     changes a type at some date, so ordered paths fall into a few runs and the number of
@@ -201,7 +201,7 @@ def schema_groups(
     """
     ordered = sorted(paths, key=_by_writer)
     pending = _pieces(ordered) if disagree and len(ordered) > 1 else [ordered]
-    settled: list[tuple[list[str], T.StructType]] = []
+    settled: list[tuple[list[str], DataFrame]] = []
     single_files: set[str] = set()
     with ThreadPoolExecutor(_PROBES_AT_ONCE) as pool:
         while pending:
@@ -212,7 +212,7 @@ def schema_groups(
             mixed_drops: list[str] = []
             for run, merged in zip(pending, probes):
                 if merged is not None:
-                    settled.append((run, merged.schema))
+                    settled.append((run, merged))
                 elif len(run) > 1:
                     conflicting.append(run)
                 elif run[0] in single_files:
@@ -224,16 +224,25 @@ def schema_groups(
                 single_files.update(conflicting[-1])
             pending = [piece for parts in conflicting for piece in _pieces(parts)]
 
-    groups: list[tuple[T.StructType, list[str]]] = []
-    for run, schema in sorted(settled, key=lambda s: s[0][0]):
+    groups: list[tuple[T.StructType, list[tuple[list[str], DataFrame]]]] = []
+    for run in sorted(settled, key=lambda s: s[0][0]):
         for i, (have, members) in enumerate(groups):
-            both = _agreeing(have, schema)
+            both = _agreeing(have, run[1].schema)
             if both is not None:
-                groups[i] = (both, members + run)
+                groups[i] = (both, [*members, run])
                 break
         else:
-            groups.append((schema, list(run)))
-    return groups
+            groups.append((run[1].schema, [run]))
+
+    scans = []
+    for schema, members in groups:
+        paths = [path for run, _ in members for path in run]
+        if len(members) == 1:  # the probe is the scan, no second listing
+            scans.append((members[0][1], paths))
+        else:
+            named = [_literal_path(p) for p in paths]
+            scans.append((_reader(spark).schema(schema).parquet(*named), paths))
+    return scans
 
 
 def scan(
@@ -288,9 +297,9 @@ def _scan_drops(
         at = PeriodSlice(**row["slice"].asDict()) if len(summary.slices) <= _MAX_SLICES else None
         drops.setdefault(at, []).append(row["drop"])
     return [
-        (_reader(spark).schema(schema).parquet(*[_literal_path(p) for p in members]), at)
+        (frame, at)
         for at, paths in drops.items()
-        for schema, members in schema_groups(spark, paths, disagree and len(drops) == 1)
+        for frame, _ in schema_groups(spark, paths, disagree and len(drops) == 1)
     ]
 
 
