@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from analog import oracle
+from analog import queries as layers
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
@@ -23,11 +25,11 @@ def duck():
     return connection
 
 
-def test_every_query_has_an_oracle():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+def test_every_layer_query_has_an_oracle():
+    assert set(layers.ALL) == set(oracle.SQL)
 
 
-@pytest.mark.parametrize("query", list(driver.queries()))
+@pytest.mark.parametrize("query", list(layers.ALL))
 def test_equals_oracle(spark, duck, query):
     df = driver.queries()[query](spark, SF_DIR)
     columns = sorted(df.columns)
