@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sedimenta.llm import quality
+from sedimenta.llm import decontaminate, mixing, neardup, quality, sharding
 from sedimenta.llm.queries import table
 from sedimenta.session import shared_folder
 
@@ -14,14 +15,41 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep; the raw model counts the given ones."""
     rules = quality.QualityRules()
     model = quality.fit(docs, table(spark, sf_dir, "labels"), rules)
-    judged = quality.quality_rules(docs, model, rules)
-    return judged.where("kept").select(*docs.columns)
+    return quality.quality_rules(docs, model, rules).where("kept").select(*docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8."""
+    found = neardup.near_duplicates(docs, neardup.NearDuplicates())
+    return found.where("kept").select(*docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than one word in twenty is in a window of a benchmark item."""
+    judged = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return judged.where("NOT contaminated").select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture takes them."""
+    return mixing.repeated(mixing.mix(docs, mixing.word_count(F.col("text"))), docs.columns)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their shard and their place in it."""
+    return sharding.random_shards(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_stage),
+    ("near duplicates", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("mixing to target weights", mixing_stage),
+    ("sharding", sharding_stage),
+]
 
 #: Scores of hashed n-grams and random draws are not to be had in SQL.
 ORACLE_SQL: str | None = None
