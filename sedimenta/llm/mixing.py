@@ -65,8 +65,8 @@ def source_targets(sizes: DataFrame, mixture: Mixture) -> DataFrame:
         mixture.share * F.sum("source_size").over(everything)
         - F.coalesce(F.sum("limit").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     ) / F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
-    levels = weighed.withColumn("level", level)
-    free = F.when(F.col("limit") > F.col("level") * F.col("weight"), F.struct(F.col("limit") / F.col("weight"), F.col("level").alias("level")))
+    levels = weighed.select("*", level.alias("level"), F.row_number().over(order).alias("place"))
+    free = F.when(F.col("limit") > F.col("level") * F.col("weight"), F.struct("place", "level"))
     shared = F.min(free).over(everything)["level"]
     target = F.coalesce(F.least(F.col("limit"), shared * F.col("weight")), F.col("limit"))
     return levels.select("source", "source_size", target.alias("target"))

@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from sedimenta.llm.sharding import Shuffle, communication_matrix, hypergeometric, random_shards
+from tests.llm.cases import dicts, empty_documents, odd_documents
+
+
+@pytest.mark.parametrize(("total", "marked", "drawn"), [(10, 4, 5), (7, 7, 3), (50, 1, 49), (30, 20, 25), (9, 0, 4), (1, 1, 1), (5, 3, 5)])
+def test_inversion_gives_every_value_its_share(spark, total, marked, drawn):
+    n = 4000
+    u = (F.col("id") + 0.5) / n
+    col = lambda x: F.lit(x).cast("long")
+    got = Counter(r["x"] for r in spark.range(n).select(hypergeometric(col(total), col(marked), col(drawn), u).alias("x")).collect())
+    for x in range(max(0, drawn + marked - total), min(marked, drawn) + 1):
+        p = math.comb(marked, x) * math.comb(total - marked, drawn - x) / math.comb(total, drawn)
+        assert abs(got.pop(x, 0) / n - p) <= 2 / n
+    assert not got
+
+
+def test_large_counts(spark):
+    col = lambda x: F.lit(x).cast("long")
+    total, marked, drawn = 10**7, 400_000, 3 * 10**6
+    u = (F.col("id") + 0.5) / 200
+    xs = [r["x"] for r in spark.range(200).select(hypergeometric(col(total), col(marked), col(drawn), u).alias("x")).collect()]
+    p = marked / total
+    sd = math.sqrt(drawn * p * (1 - p) * (total - drawn) / (total - 1))
+    mean = sum(xs) / len(xs)
+    assert abs(mean - drawn * p) < 0.1 * sd
+    assert abs(math.sqrt(sum((x - mean) ** 2 for x in xs) / len(xs)) / sd - 1) < 0.05
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_matrix_adds_up(spark, parts):
+    sizes = [(i, (i * 37) % 50) for i in range(parts)]
+    counts = spark.createDataFrame([s for s in sizes if s[1]] or [(0, 5)], "part long, n long")
+    shuffle = Shuffle(shards=7, fan=4)
+    matrix = {r["part"]: r["ends"] for r in dicts(communication_matrix(counts, shuffle))}
+    given = {r["part"]: r["n"] for r in dicts(counts)}
+    assert {p: ends[-1] for p, ends in matrix.items()} == given
+    rows = [[b - a for a, b in zip([0, *ends], ends, strict=False)] for ends in matrix.values()]
+    assert all(x >= 0 for row in rows for x in row)
+    total = sum(given.values())
+    assert [sum(c) for c in zip(*rows, strict=True)] == [total // 7 + (j < total % 7) for j in range(7)]
+
+
+@pytest.mark.parametrize("shuffle", [Shuffle(), Shuffle(shards=3, piece=2), Shuffle(shards=1)])
+def test_sizes_are_exact_and_slots_have_no_gaps(spark, shuffle):
+    docs = odd_documents(spark)
+    got = dicts(random_shards(docs, shuffle))
+    n = docs.count()
+    sizes = Counter(r["shard"] for r in got)
+    assert [sizes[j] for j in range(shuffle.shards)] == [n // shuffle.shards + (j < n % shuffle.shards) for j in range(shuffle.shards)]
+    for j in range(shuffle.shards):
+        assert sorted(r["slot"] for r in got if r["shard"] == j) == list(range(sizes[j]))
+    key = lambda r: repr((r["doc_id"], r["text"], r["r"], r["row"]))
+    assert sorted(map(key, got)) == sorted(map(key, dicts(docs)))
+    assert sorted(map(repr, got)) == sorted(map(repr, dicts(random_shards(docs, shuffle))))
+
+
+def test_every_row_reaches_every_shard_about_equally(spark):
+    ids = spark.range(0, 12, 1, 3)
+    seen = Counter()
+    for seed in range(12):
+        seen.update((r["id"], r["shard"]) for r in dicts(random_shards(ids, Shuffle(shards=3, seed=seed, piece=2))))
+    # 12 draws at 1/3 for each of 36 cells: chi-square with about 24 degrees of freedom.
+    chi = sum((seen[i, s] - 4) ** 2 / 4 for i in range(12) for s in range(3))
+    assert chi < 55
+
+
+def test_empty_table(spark):
+    assert dicts(random_shards(empty_documents(spark))) == []
+
+
+def test_no_python_in_the_plan(spark):
+    assert "Python" not in random_shards(odd_documents(spark))._jdf.queryExecution().toString()
