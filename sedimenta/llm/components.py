@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from sedimenta.llm.rows import written
 
 
-def _fingerprint(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
-
-
 def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the least of the node and its neighbours."""
     both = links.union(links.select("b", "a"))
@@ -26,6 +22,11 @@ def _small_star(links: DataFrame) -> DataFrame:
     return tied.union(least).distinct()
 
 
+def _torn(links: DataFrame) -> bool:
+    """Whether some node is tied to two others."""
+    return not links.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
 def components(links: DataFrame, label: str = "components") -> DataFrame:
     """``node`` and ``component``, its least node, for every node that has a link.
 
@@ -35,10 +36,9 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         label,
     )
-    before, now = None, _fingerprint(links)
-    while now != before:
+    # Done when every node is tied to one that is tied to no other.
+    while not links.select(F.col("b").alias("a")).join(links, "a", "left_semi").isEmpty() or _torn(links):
         links = written(_small_star(_large_star(links)), label)
-        before, now = now, _fingerprint(links)
     roots = links.select(F.col("b").alias("node")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         roots.select("node", F.col("node").alias("component"))

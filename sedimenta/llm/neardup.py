@@ -8,7 +8,9 @@ Two sets of similarity s agree on each of the first values of their union with p
 run of four common neighbours is missing among 64 values with probability 1e-8 at s = 0.85. Sets
 of at most ``k`` shingles are retained whole; there the shorter runs of small sets make a common
 run certain. A list needs not all its pairs: members are compared with one member of their list
-first, and only members that are still in different groups afterwards are compared one by one.
+first. Documents of lists that still hold different groups afterwards are joined once more, by the
+rarest shingles of their whole sets: two similar sets share one of the first few, and copies that have
+drifted apart, of which there may be many, have rare ones of their own there.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ class NearDuplicates:
     k: int = 64
     run: int = 4
     slack: float = 6.0
-    stars: int = 2
+    stars: int = 1
 
     @property
     def least_estimate(self) -> float:
@@ -135,59 +137,93 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, params: NearDuplicates) -> Da
 
 
 def _members(sketches: DataFrame) -> DataFrame:
-    """Lists with at least two members: key, row, n."""
+    """Lists with at least two members: key, row, n, and the lists ``seen`` that the row is in."""
     postings = sketches.select("row", "n", F.explode("keys").alias("key"))
     shared = postings.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
-    return written(postings.join(shared, "key", "left_semi").distinct(), "lists")
+    members = written(postings.join(shared, "key", "left_semi").distinct(), "lists")
+    seen = members.groupBy("row").agg(F.count(F.lit(1)).alias("seen"))
+    return written(members.join(seen, "row"), "members")
 
 
 def _grouped(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members of those lists that still hold different groups, with the group of each."""
     groups = components(links).withColumnRenamed("node", "row")
     with_group = members.join(groups, "row", "left").select(
-        "key", "row", "n", F.coalesce("component", "row").alias("group")
+        "key", "row", "n", "seen", F.coalesce("component", "row").alias("group")
     )
     mixed = with_group.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"))
     mixed = mixed.where("low < high").select("key")
     return written(with_group.join(mixed, "key", "left_semi"), "open-lists")
 
 
-def _star(open_lists: DataFrame, round_: int, params: NearDuplicates) -> DataFrame:
-    """Every member with one member of its list, another one in each round."""
-    order = F.xxhash64(F.lit(round_), "row") if round_ else F.col("row")
-    chosen = open_lists.groupBy("key").agg(F.min(F.struct(order.alias("o"), "row", "n", "group")).alias("p"))
+def _star(open_lists: DataFrame, params: NearDuplicates) -> DataFrame:
+    """Every member with the one of its list that most other lists have, too: what copies stem from."""
+    order = F.struct((-F.col("seen")).alias("o"), "row", "n", "group")
+    chosen = open_lists.groupBy("key").agg(F.min(order).alias("p"))
     tied = open_lists.join(chosen, "key").where(
         (F.col("group") != F.col("p.group")) & _sizes_fit(F.col("n"), F.col("p.n"), params.percent)
     )
     return tied.select(F.least("row", "p.row").alias("a"), F.greatest("row", "p.row").alias("b")).distinct()
 
 
-def _open_pairs(open_lists: DataFrame, params: NearDuplicates) -> DataFrame:
-    """Every two members of a list that are in different groups."""
-    side = lambda x: open_lists.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("row", "n", "group")])
-    fits = _sizes_fit(F.col("n_a"), F.col("n_b"), params.percent)
-    pairs = side("a").join(
-        side("b").withColumnRenamed("key", "key_b"),
-        (F.col("key") == F.col("key_b")) & (F.col("row_a") < F.col("row_b")) & (F.col("group_a") != F.col("group_b")) & fits,
+def _set_rows(params: NearDuplicates):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            found = [shingle_set(lowered_words(t), params.width, hashes) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), _lists(found)], ["row", "shingles"])
+
+    return sets
+
+
+def _rarest(open_lists: DataFrame, texts: DataFrame, params: NearDuplicates) -> DataFrame:
+    """The first shingles of every open document, rare ones first, with their places from 1.
+
+    Sets of n and m shingles reach the limit s when they share o = s·(n + m) / (1 + s) of them; then
+    they share one of the first n - o + 1 and m - o + 1 in any common order. No partner is smaller
+    than s·n, so the first n - s·n + 1 are enough.
+    """
+    rows = written(open_lists.select("row", "n", "group").distinct(), "open-documents")
+    ids = rows.select("row")
+    sent = F.broadcast(ids) if rows.count() <= MOST_SENT else ids
+    sets = texts.join(sent, "row", "left_semi").mapInArrow(_set_rows(params), "row long, shingles array<long>")
+    each = written(sets.select("row", F.explode("shingles").alias("shingle")), "open-shingles")
+    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    # Shingles of one document come first and meet nothing: their number is all that counts.
+    counted = each.join(often, "shingle").groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("shared")
+    )
+    own = F.col("n") - F.size("shared")
+    most = F.col("n") - F.ceil(params.percent * F.col("n") / 100) + 1
+    first = counted.join(rows, "row").select(
+        "row", "n", "group", own.alias("own"), F.posexplode(F.slice("shared", F.lit(1), F.greatest(most - own, F.lit(0)).cast("int"))).alias("at", "x")
     )
+    return written(first.select("row", "n", "group", "x.shingle", (F.col("own") + F.col("at") + 1).alias("place")), "rarest")
+
+
+def _open_pairs(rarest: DataFrame, params: NearDuplicates) -> DataFrame:
+    """Documents of different groups that share one of their first shingles."""
+    side = lambda x: rarest.select(*[F.col(c).alias(f"{c}_{x}") for c in rarest.columns])
+    both = F.col("n_a") + F.col("n_b")
+    overlap = F.ceil(params.percent * both / (100 + params.percent))
+    reach = (F.col("place_a") <= F.col("n_a") - overlap + 1) & (F.col("place_b") <= F.col("n_b") - overlap + 1)
+    apart = (F.col("row_a") < F.col("row_b")) & (F.col("group_a") != F.col("group_b"))
+    pairs = side("a").join(side("b"), (F.col("shingle_a") == F.col("shingle_b")) & apart & reach)
     return pairs.select(F.col("row_a").alias("a"), F.col("row_b").alias("b")).distinct()
 
 
 def similar_groups(sketches: DataFrame, texts: DataFrame, params: NearDuplicates) -> DataFrame:
     """``node`` and ``component`` of the documents that are linked to another."""
     members = _members(sketches)
-    links, tried = None, None
     open_lists = members.withColumn("group", F.col("row"))
-    for round_ in range(params.stars + 1):
-        pairs = _star(open_lists, round_, params) if round_ < params.stars else _open_pairs(open_lists, params)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        found = _confirmed(_estimated(pairs, sketches, params), texts, params)
-        links = found if links is None else links.union(found)
-        tried = pairs if tried is None else tried.union(pairs)
-        if round_ < params.stars:
-            open_lists = _grouped(members, links)
+    links = members.select(F.col("row").alias("a"), F.col("row").alias("b")).limit(0)
+    for _ in range(params.stars):
+        pairs = _star(open_lists, params)
+        links = links.union(_confirmed(_estimated(pairs, sketches, params), texts, params))
+        open_lists = _grouped(members, links)
+    if not open_lists.isEmpty():
+        pairs = _open_pairs(_rarest(open_lists, texts, params), params)
+        links = links.union(_confirmed(_estimated(pairs, sketches, params), texts, params))
     return components(links)
 
 
