@@ -96,7 +96,39 @@ SELECT 'dirty', 'rejected', count(*), count(*) FILTER (WHERE l_linestatus <> 'F'
        count(*) FILTER (WHERE l_linestatus <> 'F' AND l_returnflag = 'R')
 FROM lineitem
 UNION ALL
+SELECT 'lossy', 'lossy', count(*), count(*), 0, count(*) FILTER (WHERE l_returnflag = 'R')
+FROM lineitem
+UNION ALL
 VALUES ('mistyped', 'failed', 0, 0, 0, 0), ('nothing', 'empty', 0, 0, 0, 0)
+""",
+    "undated_rows": f"""
+SELECT * REPLACE (CASE WHEN l_returnflag <> 'R' THEN l_tax END AS l_tax),
+       'lineitem_undated.parquet' AS source_drop
+FROM (SELECT {_LINEITEM} FROM lineitem WHERE l_linestatus = 'F')
+""",
+    "grown_contract": f"SELECT {_LINEITEM}, {_PERIOD} FROM lineitem",
+    "written_codec": f"""
+SELECT {_PERIOD}, 'snappy' AS codec, count(*) AS n_rows FROM lineitem GROUP BY ALL
+""",
+    "load_stamp": f"""
+SELECT {_PERIOD}, count(*) AS n_stamped, CAST(1 AS BIGINT) AS n_stamps FROM lineitem GROUP BY ALL
+""",
+    "csv_monthly_order": f"""
+SELECT *, CAST(row_number() OVER (ORDER BY year, month) AS INTEGER) AS line
+FROM ({_monthly("lineitem")})
+""",
+    "csv_hourly_order": f"""
+SELECT *, CAST(row_number() OVER (ORDER BY hour_of_day) AS INTEGER) AS line
+FROM ({_hourly("WHERE month = 1")})
+""",
+    "zoned_source": """
+WITH local AS (
+  SELECT *, (ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS wall FROM events
+)
+SELECT user_id AS provider_id, CAST(trunc(value) AS INTEGER) AS quantity, value AS amount,
+       wall AS start_ts, wall AS end_ts, 'events' AS kind,
+       CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month
+FROM local
 """,
     "validate_table": """
 WITH filed AS (

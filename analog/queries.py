@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from analog.tables import (
+    EVENTS_MAPPING,
     LINEITEM_COLUMNS,
     PERIOD,
+    Lake,
     lake,
     lineitem_contract,
     monthly_drop,
@@ -21,6 +24,7 @@ from sedimenta.operators.conform import conform, conform_all
 from sedimenta.operators.layers import export_csv, reprocess_partition, write_layer
 from sedimenta.operators.materialize import materialize
 from sedimenta.operators.means import mean_by_hour, mean_by_period
+from sedimenta.operators.unify import SourceMapping, map_source
 from sedimenta.operators.validate import validate_table as validate
 from sedimenta.plans.bronze import ingest, report_frame, run_bronze
 from sedimenta.plans.gold import GoldResult
@@ -29,11 +33,6 @@ from sedimenta.plans.silver import unified
 from sedimenta.sources.catalog import ensure_table, read_table, recover
 from sedimenta.sources.landing import scan
 
-# Two batches that together hold every month of lineitem.
-EARLY = PeriodRange((1995, 1), (1998, 6))
-LATE = PeriodRange((1998, 7), (2001, 12))
-
-
 def _monthly(df: DataFrame, kind: str = "lineitem") -> DataFrame:
     means = mean_by_period(df, "amount", kind, "kind", PERIOD, "mean_amount")
     return means.withColumn("mean_amount", F.round("mean_amount", 4))
@@ -126,8 +125,15 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dataset = lake(spark, sf_dir).lineitem_dataset("replaced")
-    for months in (EARLY, LATE, EARLY):
+    """Two batches that together hold every month, the first one twice."""
+    at = lake(spark, sf_dir)
+    dataset = at.lineitem_dataset("replaced")
+    year, month = F.year("l_shipdate"), F.month("l_shipdate")
+    present = at.table("lineitem").agg(F.min(F.struct(year, month)), F.max(F.struct(year, month)))
+    first, last = (tuple(bound) for bound in present.first())
+    middle = ((first[0] + last[0]) // 2, 6)
+    early, late = PeriodRange(first, middle), PeriodRange((middle[0], 7), last)
+    for months in (early, late, early):
         ingest(spark, dataset, "replace_partitions", months)
     return _rows_per_month(spark.table(dataset.contract.name))
 
@@ -140,10 +146,19 @@ def write_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_static_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dataset = lake(spark, sf_dir).lineitem_dataset("rewritten")
-    for months in (EARLY, LATE):
-        ingest(spark, dataset, "replace_all", months)
-    return _rows_per_month(spark.table(dataset.contract.name))
+    """Two landings one after the other into one table: all that is left is the second."""
+    at = lake(spark, sf_dir)
+    later = at.landing("later", lambda to: _stage_later(at.table("lineitem"), to))
+    whole = at.lineitem_dataset("rewritten")
+    ingest(spark, whole, "replace_all")
+    ingest(spark, replace(whole, landing=later), "replace_all")
+    return _rows_per_month(spark.table(whole.contract.name))
+
+
+def _stage_later(whole: DataFrame, landing: str) -> None:
+    shipped = F.col("l_shipdate")
+    later = (F.year(shipped) > 1998) | (F.year(shipped) == 1998) & (F.month(shipped) >= 7)
+    stage(whole.where(later), landing, monthly_drop("lineitem", "l_shipdate"))
 
 
 def partition_reprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,11 +247,22 @@ def _stage_mistyped(whole: DataFrame, landing: str) -> None:
     stage(whole.withColumn("l_tax", F.array("l_tax")), landing, drop)
 
 
+def _stage_lossy(whole: DataFrame, landing: str) -> None:
+    """Tax as text, unreadable in returned lines; every name has its month."""
+    tax = F.when(F.col("l_returnflag") == "R", "n/a").otherwise(F.col("l_tax").cast("string"))
+    stage(whole.withColumn("l_tax", tax), landing, monthly_drop("lineitem", "l_shipdate"))
+
+
+def _dirty(at: Lake) -> str:
+    return at.landing("dirty", lambda to: _stage_dirty(at.table("lineitem"), to))
+
+
 def dataset_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = lake(spark, sf_dir)
     datasets = {
         "clean": at.lineitem_landing,
-        "dirty": at.landing("dirty", lambda to: _stage_dirty(at.table("lineitem"), to)),
+        "dirty": _dirty(at),
+        "lossy": at.landing("lossy", lambda to: _stage_lossy(at.table("lineitem"), to)),
         "mistyped": at.landing("mistyped", lambda to: _stage_mistyped(at.table("lineitem"), to)),
         "nothing": at.landing("nothing", lambda to: None),
     }
@@ -253,6 +279,85 @@ def dataset_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def undated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reject folder of a landing in which one drop names no month."""
+    at = lake(spark, sf_dir)
+    dataset = at.lineitem_dataset("undated", _dirty(at))
+    ingest(spark, dataset)
+    rows = spark.read.parquet(dataset.reject_folder)
+    source = F.regexp_extract("source_path", r"([^/=]+\.parquet)/", 1).alias("source_drop")
+    return rows.select("*", source).drop("source_path")
+
+
+def grown_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table loaded without two columns of its source; the contract gains them, a load fills them."""
+    at = lake(spark, sf_dir)
+    whole = at.lineitem_dataset("grown")
+    fewer = T.StructType([f for f in LINEITEM_COLUMNS if f.name not in ("l_tax", "l_discount")])
+    ingest(spark, replace(whole, contract=replace(whole.contract, columns=fewer), extras="drop"))
+    ingest(spark, replace(whole, grow=True))
+    return spark.table(whole.contract.name).drop("ingestion_ts")
+
+
+def written_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by month and by the codec that their file names."""
+    dataset = lake(spark, sf_dir).lineitem_dataset("coded")
+    ingest(spark, dataset)
+    rows = spark.read.parquet(dataset.location)
+    codec = F.regexp_extract("_metadata.file_name", r"\.([a-z0-9]+)\.parquet$", 1)
+    return rows.groupBy(*PERIOD, codec.alias("codec")).agg(F.count("*").alias("n_rows"))
+
+
+def load_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stamped rows and distinct stamps of every month after one load."""
+    dataset = lake(spark, sf_dir).lineitem_dataset("stamped")
+    ingest(spark, dataset)
+    stamp = F.col("ingestion_ts")
+    return (
+        spark.table(dataset.contract.name)
+        .groupBy(*PERIOD)
+        .agg(F.count(stamp).alias("n_stamped"), F.count_distinct(stamp).alias("n_stamps"))
+    )
+
+
+def _lines(spark: SparkSession, location: str, schema: str) -> DataFrame:
+    """Rows of an exported result with their line numbers, files in order by name."""
+    rows = spark.read.option("header", True).csv(location, schema=schema)
+    at = Window.orderBy("file", "place")
+    placed = rows.select(
+        "*", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("place")
+    )
+    return placed.withColumn("line", F.row_number().over(at)).drop("file", "place")
+
+
+def csv_monthly_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = lake(spark, sf_dir)
+    location, _ = at.fresh("csv_months")
+    export_csv(_monthly(at.silver_table()), location, PERIOD)
+    return _lines(spark, location, "year INT, month INT, mean_amount DOUBLE")
+
+
+def csv_hourly_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = lake(spark, sf_dir)
+    location, _ = at.fresh("csv_hours")
+    export_csv(_hourly(at.silver_table(), month=1), location, ("hour_of_day",))
+    return _lines(spark, location, "hour_of_day INT, mean_quantity DOUBLE")
+
+
+def zoned_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source whose times carry a zone, unified as wall-clock times of New York."""
+    at = lake(spark, sf_dir)
+    contract = at.silver_layer(at.bronze).contract
+    zoned = at.table("events").select(
+        "user_id",
+        "value",
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.year("ts").alias("year"),
+        F.month("ts").alias("month"),
+    )
+    return map_source(zoned, SourceMapping("events", EVENTS_MAPPING, "America/New_York"), contract)
+
+
 def _stage_misfiled(whole: DataFrame, landing: str) -> None:
     """Rows of February 1996 filed under March; no tax in returned lines."""
     shipped = F.col("l_shipdate")
@@ -306,6 +411,13 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         gold_materialize_refresh,
         csv_export,
         dataset_status,
+        undated_rows,
+        grown_contract,
+        written_codec,
+        load_stamp,
+        csv_monthly_order,
+        csv_hourly_order,
+        zoned_source,
         validate_table,
         all_layers,
     )

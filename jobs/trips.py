@@ -7,14 +7,17 @@ from typing import get_args
 
 from pyspark.sql import SparkSession
 
-from sedimenta.functions.period import PeriodRange
+from sedimenta.functions.period import PERIOD_IN_PATH, PeriodRange
+from sedimenta.operators.conform import Extras
 from sedimenta.operators.layers import WriteMode, export_csv
 from sedimenta.operators.materialize import MaterializeMode
+from sedimenta.operators.validate import validate_table
 from sedimenta.plans.bronze import report_frame, run_bronze
 from sedimenta.plans.gold import run_gold
 from sedimenta.plans.pipeline import require_loaded
 from sedimenta.plans.silver import run_silver
 from sedimenta.plans.trips import trips_pipeline
+from sedimenta.sources.catalog import read_table
 
 
 def _month(text: str) -> tuple[int, int]:
@@ -26,19 +29,26 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     for root in ("landing", "bronze", "silver", "gold"):
         parser.add_argument(f"--{root}", required=True, help=f"root folder of {root}")
-    parser.add_argument("--steps", default="bronze,silver,gold", help="any of these, with commas")
+    parser.add_argument("--steps", default="bronze,silver,gold,validate", help="any of these, with commas")
     modes = get_args(WriteMode)
     parser.add_argument("--bronze-mode", default="replace_partitions", choices=modes)
-    parser.add_argument("--silver-mode", default="replace_all", choices=modes)
+    parser.add_argument(
+        "--silver-mode", choices=modes, help="default: replace_all, with a range replace_partitions"
+    )
     parser.add_argument("--gold-mode", default="refresh", choices=get_args(MaterializeMode))
     parser.add_argument("--first", type=_month, help="first month to load, YYYY-MM")
     parser.add_argument("--last", type=_month, help="last month to load, YYYY-MM")
+    parser.add_argument("--pattern", default=PERIOD_IN_PATH, help="year and month in a path")
+    parser.add_argument("--extras", default="keep", choices=get_args(Extras))
+    parser.add_argument("--compact", action="store_true", help="shuffle small files together")
+    parser.add_argument("--allow-rejected", action="store_true", help="go on without undated rows")
+    parser.add_argument("--allow-lossy", action="store_true", help="go on where values do not fit")
     parser.add_argument("--csv", help="folder for CSV copies of the gold results")
     args = parser.parse_args(argv)
     if (args.first is None) != (args.last is None):
         parser.error("--first and --last go together")
     steps = args.steps.split(",")
-    if set(steps) - {"bronze", "silver", "gold"}:
+    if set(steps) - {"bronze", "silver", "gold", "validate"}:
         parser.error(f"unknown step in {args.steps}")
 
     # Trip times carry no zone; a fixed session zone keeps every cast the same everywhere.
@@ -47,21 +57,29 @@ def main(argv: list[str] | None = None) -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    pipeline = trips_pipeline(args.landing, args.bronze, args.silver, args.gold)
+    pipeline = trips_pipeline(
+        args.landing, args.bronze, args.silver, args.gold, args.pattern, args.extras, args.compact
+    )
     period = PeriodRange(args.first, args.last) if args.first else None
     if "bronze" in steps:
         reports = run_bronze(spark, pipeline.bronze, args.bronze_mode, period)
         report_frame(spark, reports).show(truncate=False)
-        require_loaded(reports)
+        require_loaded(reports, args.allow_rejected, args.allow_lossy)
     if "silver" in steps:
-        months = period if args.silver_mode != "replace_all" else None
-        run_silver(spark, pipeline.silver, args.silver_mode, months)
+        silver_mode = args.silver_mode or ("replace_partitions" if period else "replace_all")
+        months = period if silver_mode != "replace_all" else None
+        run_silver(spark, pipeline.silver, silver_mode, months)
     if "gold" in steps:
         stored = run_gold(spark, pipeline.gold, pipeline.silver.contract.name, args.gold_mode)
         for result in pipeline.gold:
             if args.csv:
                 name = result.table.split(".")[-1]
                 export_csv(stored[result.table], f"{args.csv.rstrip('/')}/{name}", result.order_by)
+    if "validate" in steps:
+        for contract in (*(d.contract for d in pipeline.bronze), pipeline.silver.contract):
+            print(contract.name)
+            checked = validate_table(read_table(spark, contract.name), contract)
+            checked.orderBy(*contract.partition_by).show(10_000, truncate=False)
 
 
 if __name__ == "__main__":

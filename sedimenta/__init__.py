@@ -7,5 +7,4 @@ The package only declares DataFrame and SQL plans. Subpackages:
 ``sources``     landing files, catalog tables
 ``operators``   conform, unify, means, layer writes, materialise, export, validate
 ``plans``       whole steps (bronze, silver, gold) and the taxi configuration
-``streaming``   empty on purpose, every step is a batch
 """

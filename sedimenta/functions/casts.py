@@ -3,22 +3,45 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATING = (T.FloatType, T.DoubleType)
+_NUMBERS = (*_INTEGRAL, *_FLOATING, T.DecimalType)
 _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+_LAST_SECOND = 253402300799  # the end of the year 9999
 
 
 def castable(source: T.DataType, target: T.DataType) -> bool:
-    """Whether a column of one type can be turned into the other at all."""
-    nested = (T.ArrayType, T.MapType, T.StructType)
-    return source == target or not isinstance(source, nested) or isinstance(target, T.StringType)
+    """Whether :func:`convert` has a way from one type to the other."""
+    if source == target or isinstance(source, T.NullType):
+        return True
+    if isinstance(target, T.StringType):
+        return True
+    if isinstance(source, T.StringType):
+        return isinstance(target, (*_NUMBERS, *_TIMES, T.BooleanType, T.BinaryType))
+    if isinstance(source, (*_NUMBERS, T.BooleanType)):
+        from_number = (*_NUMBERS, T.BooleanType)
+        epochs = (T.TimestampType, T.TimestampNTZType) if isinstance(source, _NUMBERS) else ()
+        return isinstance(target, (*from_number, *epochs))
+    if isinstance(source, T.TimestampType) and isinstance(target, _NUMBERS):
+        return True
+    return isinstance(source, _TIMES) and isinstance(target, _TIMES)
 
 
 def convert(column: Column, source: T.DataType, target: T.DataType) -> Column:
-    """``column`` as ``target``; a value that does not fit becomes NULL."""
-    return column if source == target else column.try_cast(target)
+    """``column`` as ``target``; a value that does not fit becomes NULL.
+
+    A number becomes the time so many seconds after 1970, as wall-clock time of the session zone
+    where the target has no zone.
+    """
+    if source == target:
+        return column
+    if isinstance(source, _NUMBERS) and isinstance(target, (T.TimestampType, T.TimestampNTZType)):
+        within = F.abs(column.cast("double")) <= _LAST_SECOND
+        return F.when(within, F.timestamp_seconds(column)).cast(target)
+    return column.try_cast(target)
 
 
 def may_lose(source: T.DataType, target: T.DataType) -> bool:

@@ -7,12 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Default pattern: YYYY-MM as a whole number pair in the path part that ends in ".parquet".
-# Anchoring there keeps a dated directory above it, or the random digits in the name of a
-# part file below it, from being taken for the period.
-PERIOD_IN_PATH = r"(?<!\d)((?:19|20)\d{2})-(0[1-9]|1[0-2])(?!\d)[^/]*\.parquet"
-
-# The loose form: leftmost YYYY-MM anywhere in the path.
+# Default pattern: YYYY-MM as a whole number pair in the path part that ends in ".parquet", or,
+# if there is none in such a part, in a folder. A dated folder above a dated file, or the random
+# digits in the name of a part file, are not taken for the period.
+_MONTH = r"(?<!\d)(\d{4})-(0[1-9]|1[0-2])(?![0-9A-Za-z])"
+_LATER = r"(?<!\d)\d{4}-(?:0[1-9]|1[0-2])(?![0-9A-Za-z])[^/]*\.parquet"
+PERIOD_IN_PATH = _MONTH + r"(?:[^/]*\.parquet|(?=[^/]*/(?!.*" + _LATER + ")))"
+
+# Fixed value: leftmost YYYY-MM anywhere in the path.
 LEFTMOST_PERIOD = r"(\d{4})-(\d{2})"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 from collections.abc import Mapping, Sequence
 from typing import Literal, get_args
 
@@ -16,6 +17,9 @@ COMPRESSION = "snappy"
 
 MB = 1024 * 1024
 
+# Names of one object store's connectors.
+_SAME_STORE = {"s3": "s3a", "s3n": "s3a", "wasb": "abfs", "wasbs": "abfs", "abfss": "abfs"}
+
 # Settings of a layer write, each only where the session has no value of its own.
 # Up to 16 partitions a task keeps one open file each and needs no sort; beyond, it sorts the
 # rest by partition. What a task buffers is bounded by its input split.
@@ -30,9 +34,25 @@ def check_mode(mode: str) -> None:
         raise ValueError(f"write mode {mode!r}: expected one of {', '.join(get_args(WriteMode))}")
 
 
+def qualified(location: str) -> str:
+    """One spelling of a location: no ``.`` and ``..``, one name for each store.
+
+    A path without scheme is taken for one of the local file system; on a cluster whose default
+    is another one, name the scheme.
+    """
+    scheme, found, rest = location.partition(":/")
+    if not found or "/" in scheme:
+        scheme, rest = "file", location
+    host, path = "", "/" + rest.lstrip("/") if scheme == "file" else rest
+    if scheme != "file" and rest.startswith("/"):
+        host, _, path = rest[1:].partition("/")
+    path = posixpath.normpath("/" + path.lstrip("/"))
+    return f"{_SAME_STORE.get(scheme, scheme)}://{host}{path}".rstrip("/")
+
+
 def distinct_locations(*locations: str) -> None:
     """Raise if one location equals or contains another: overwriting would eat the input."""
-    slashed = [location.rstrip("/") + "/" for location in locations]
+    slashed = [qualified(location) + "/" for location in locations]
     for i, a in enumerate(slashed):
         for b in slashed[i + 1 :]:
             if a.startswith(b) or b.startswith(a):
@@ -43,19 +63,14 @@ def compacted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Shuffle rows of the same keys together; a large group still spreads over tasks.
 
     For input made of many small files only. A rebalance hint lets the runtime split
-    groups above the advisory partition size, so a hot month is never one task.
+    groups above the advisory partition size, so a hot month is never one task; that needs
+    adaptive execution.
     """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise RuntimeError("compaction needs spark.sql.adaptive.enabled: a month would be one task")
     return df.hint("rebalance", *keys)
 
 
-def split_bytes(total: int, cores: int) -> int:
-    """Input per task: 128 MB, and up to 512 MB where each core still gets eight tasks.
-
-    A task writes one file per month it reads, so larger splits make larger files.
-    """
-    return min(512 * MB, max(128 * MB, total // (8 * cores)))
-
-
 def write_layer(
     df: DataFrame,
     location: str,

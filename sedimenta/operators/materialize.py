@@ -7,8 +7,9 @@ from typing import Literal
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.contracts import quoted, quoted_column
-from sedimenta.operators.layers import COMPRESSION
+from sedimenta.contracts import ContractError, quoted, quoted_column
+from sedimenta.operators.layers import COMPRESSION, qualified
+from sedimenta.sources.catalog import table_location
 
 MaterializeMode = Literal["once", "refresh"]
 
@@ -31,7 +32,8 @@ def materialize(
     ``once``     does nothing when the table exists
     ``refresh``  replaces its rows
 
-    Creating the table refuses a location that already holds files.
+    Creating the table refuses a location that already holds files. A table that exists
+    elsewhere or has other columns is refused in both modes.
     """
     spark = df.sparkSession
     if mode not in ("once", "refresh"):
@@ -45,7 +47,13 @@ def materialize(
             .option("path", location)
             .saveAsTable(quoted(table))
         )
-    elif mode == "refresh":
-        columns = spark.table(quoted(table)).columns
+        return spark.table(quoted(table))
+    have = table_location(spark, table)
+    if qualified(have) != qualified(location):
+        raise ContractError(f"{table} is at {have}, not at {location}")
+    columns = spark.table(quoted(table)).columns
+    if sorted(c.lower() for c in columns) != sorted(c.lower() for c in df.columns):
+        raise ContractError(f"{table} has the columns {columns}, the result {df.columns}")
+    if mode == "refresh":
         df.select(*map(quoted_column, columns)).write.insertInto(quoted(table), overwrite=True)
     return spark.table(quoted(table))

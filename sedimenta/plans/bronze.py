@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,25 +12,28 @@ from pyspark.sql import types as T
 
 from sedimenta.contracts import TableContract
 from sedimenta.functions.period import PERIOD_IN_PATH, PeriodRange
-from sedimenta.operators.conform import Extras, conform_all
+from sedimenta.operators.conform import Extras, conform, conform_all
 from sedimenta.operators.layers import (
+    COMPRESSION,
+    MB,
     WriteMode,
     check_mode,
     compacted,
     distinct_locations,
-    split_bytes,
     write_layer,
 )
-from sedimenta.sources.catalog import ensure_database, ensure_table, recover
-from sedimenta.sources.landing import EmptyLanding, scan
+from sedimenta.sources.catalog import check_table, ensure_database, ensure_table, recover
+from sedimenta.sources.landing import SOURCE_PATH, EmptyLanding, scan
 
 
 @dataclass(frozen=True)
 class Dataset:
     """One landing file set and the Bronze table it feeds.
 
-    ``compact`` asks for the compacting shuffle or rules it out; None decides by the number
-    and size of the landing files.
+    ``compact`` puts a compacting shuffle before the write, for landings of many small files.
+    ``split`` is the input per task in bytes where the session sets none. ``grow`` adds columns
+    that the contract has gained to an existing table. Rows of files that name no period go to
+    ``rejects``, beside ``location`` unless given.
     """
 
     contract: TableContract
@@ -37,15 +41,23 @@ class Dataset:
     location: str
     extras: Extras = "keep"
     pattern: str = PERIOD_IN_PATH
-    compact: bool | None = None
+    compact: bool = False
+    split: int = 128 * MB
+    grow: bool = False
+    rejects: str | None = None
+
+    @property
+    def reject_folder(self) -> str:
+        return self.rejects or f"{self.location.rstrip('/')}_rejects"
 
 
 @dataclass(frozen=True)
 class LoadReport:
     """Outcome of one dataset.
 
-    ``status``: ``ok``; ``rejected`` when rows were left out because their file names no
-    period; ``empty`` when there was no file; ``failed``.
+    ``status``: ``ok``; ``rejected`` when rows went to the reject folder because their file names
+    no period; ``lossy`` when values did not fit; ``empty`` when there was no file; ``failed``.
+    ``rows_read`` is counted at the scan, ``rows_written`` and ``rows_without_period`` at the write.
     ``values_lost`` counts, per column, the values that did not fit the declared type.
     """
 
@@ -90,17 +102,20 @@ def ingest(
     the report are observed in the writing stage, not read again.
     """
     check_mode(mode)
+    if period is not None and mode == "replace_all":
+        raise ValueError("a range of months with replace_all would drop all other months")
     contract = dataset.contract
-    distinct_locations(dataset.landing, dataset.location)
+    distinct_locations(dataset.landing, dataset.location, dataset.reject_folder)
+    check_table(spark, contract, dataset.location, dataset.grow)
     staged = scan(spark, dataset.landing, contract, dataset.pattern, period)
-    refused = staged.without_period.count() if staged.without_period is not None else 0
+    refused = _reject(staged.without_period, dataset)
 
-    written, lost = 0, {}
+    read, written, lost = refused, 0, {}
     if staged.groups:
         conformed = conform_all(staged.groups, contract, dataset.extras)
-        rows = conformed.rows
-        compact = staged.summary.fragmented if dataset.compact is None else dataset.compact
-        if compact:
+        scanned = Observation()
+        rows = conformed.rows.observe(scanned, F.count("*").alias("rows"))
+        if dataset.compact:
             rows = compacted(rows, contract.partition_by)
         # Observed behind the shuffle, if there is one: a rerun of its tasks counts once.
         seen = Observation()
@@ -108,24 +123,38 @@ def ingest(
         rows = rows.drop(*conformed.lost_flags)
         if contract.loaded_at:
             rows = rows.withColumn(contract.loaded_at, F.current_timestamp())
-        split = split_bytes(staged.summary.bytes, spark.sparkContext.defaultParallelism)
-        write_layer(rows, dataset.location, contract.partition_by, mode, split)
+        write_layer(rows, dataset.location, contract.partition_by, mode, dataset.split)
         counts = dict(seen.get)
+        read += scanned.get["rows"]
         written = counts.pop("__rows")
         lost = {name: n for name, n in counts.items() if n}
         register(spark, contract, dataset.location, replaced_all=mode == "replace_all")
 
+    files = staged.summary.files_without_period
     return LoadReport(
         dataset=contract.name,
-        status="rejected" if refused else "ok",
-        rows_read=written + refused,
+        status="rejected" if refused else "lossy" if lost else "ok",
+        rows_read=read,
         rows_written=written,
         rows_without_period=refused,
         values_lost=lost,
-        message=f"{staged.summary.files_without_period} files name no period" if refused else "",
+        message=f"{files} files name no period: {dataset.reject_folder}" if refused else "",
     )
 
 
+def _reject(groups: Sequence[DataFrame], dataset: Dataset) -> int:
+    """Undated rows under the contract's columns, with the path of each, as the whole reject folder."""
+    if not groups:
+        return 0
+    path = T.StructField(SOURCE_PATH, T.StringType())
+    columns = T.StructType([*dataset.contract.columns.fields, path])
+    kept = reduce(DataFrame.unionByName, [conform(df, columns, "drop") for df in groups])
+    seen = Observation()
+    kept = kept.observe(seen, F.count("*").alias("rows"))
+    kept.write.mode("overwrite").option("compression", COMPRESSION).parquet(dataset.reject_folder)
+    return seen.get["rows"]
+
+
 def register(
     spark: SparkSession, contract: TableContract, location: str, replaced_all: bool
 ) -> None:
@@ -150,6 +179,6 @@ def run_bronze(
         except EmptyLanding as error:
             reports.append(LoadReport(dataset.contract.name, "empty", message=str(error)))
         except Exception as error:  # any fault of one dataset is a line of the report
-            first_line = (str(error).strip().splitlines() or [type(error).__name__])[0]
-            reports.append(LoadReport(dataset.contract.name, "failed", message=first_line))
+            message = str(error).strip() or type(error).__name__
+            reports.append(LoadReport(dataset.contract.name, "failed", message=message))
     return reports

@@ -37,24 +37,43 @@ class RunResult:
     gold: dict[str, DataFrame]
 
 
-def require_loaded(reports: list[LoadReport]) -> None:
-    """Raise if any dataset failed, so that no later layer is built on half the data."""
-    failed = [f"{r.dataset}: {r.message}" for r in reports if r.status == "failed"]
-    if failed:
-        raise PipelineError("; ".join(failed))
+def require_loaded(
+    reports: list[LoadReport], allow_rejected: bool = False, allow_lossy: bool = False
+) -> None:
+    """Raise if a dataset failed, or rows or values of it are missing, unless that is allowed.
+
+    No later layer is built on half the data.
+    """
+    faults = []
+    for r in reports:
+        lost = ", ".join(f"{n} values of {name}" for name, n in r.values_lost.items())
+        if r.status == "failed":
+            faults.append(f"{r.dataset}: {r.message}")
+        if r.rows_without_period and not allow_rejected:
+            faults.append(f"{r.dataset}: {r.rows_without_period} rows rejected, {r.message}")
+        if lost and not allow_lossy:
+            faults.append(f"{r.dataset}: {lost} do not fit")
+    if faults:
+        raise PipelineError("; ".join(faults))
 
 
 def run_pipeline(
     spark: SparkSession,
     pipeline: Pipeline,
     bronze_mode: WriteMode = "replace_partitions",
-    silver_mode: WriteMode = "replace_all",
+    silver_mode: WriteMode | None = None,
     gold_mode: MaterializeMode = "refresh",
     period: PeriodRange | None = None,
+    allow_rejected: bool = False,
+    allow_lossy: bool = False,
 ) -> RunResult:
-    """Load, unify, aggregate. ``period`` limits the landing files that are loaded."""
+    """Load, unify, aggregate. ``period`` limits the landing files that are loaded.
+
+    Silver is replaced as a whole, or with a ``period`` in its months, unless told otherwise.
+    """
     reports = run_bronze(spark, pipeline.bronze, bronze_mode, period)
-    require_loaded(reports)
+    require_loaded(reports, allow_rejected, allow_lossy)
+    silver_mode = silver_mode or ("replace_partitions" if period else "replace_all")
     run_silver(
         spark, pipeline.silver, silver_mode, period if silver_mode != "replace_all" else None
     )

@@ -11,7 +11,7 @@ from sedimenta.functions.period import PeriodRange
 from sedimenta.operators.layers import MB, WriteMode, write_layer
 from sedimenta.operators.unify import SourceMapping, map_source, unify
 from sedimenta.plans.bronze import register
-from sedimenta.sources.catalog import read_table
+from sedimenta.sources.catalog import check_table, read_table
 
 # Silver reads about a third of a Bronze file's columns; a task takes a whole large file, to
 # write one of 128 MB or more.
@@ -62,6 +62,7 @@ def run_silver(
     """
     if period is not None and mode == "replace_all":
         raise ValueError("a range of months with replace_all would drop all other months")
+    check_table(spark, layer.contract, layer.location)
     rows = unified(spark, layer, period)
     write_layer(rows, layer.location, layer.contract.partition_by, mode, _SPLIT)
     register(spark, layer.contract, layer.location, replaced_all=mode == "replace_all")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 from sedimenta.contracts import TableContract
+from sedimenta.functions.period import PERIOD_IN_PATH
+from sedimenta.operators.conform import Extras
 from sedimenta.operators.means import mean_by_hour, mean_by_period
 from sedimenta.operators.unify import SourceMapping
 from sedimenta.plans.bronze import Dataset
@@ -97,15 +99,15 @@ GREEN = TableContract(
 TRIPS = TableContract(TRIPS_TABLE, TRIPS_COLUMNS, event_time="data_inicio_viagem")
 
 
-def _trips_from(table: str, kind: str, time_prefix: str) -> SourceMapping:
+def _trips_from(table: str, kind: str, pickup: str, dropoff: str) -> SourceMapping:
     return SourceMapping(
         table,
         {
             "id_fornecedor": "VendorID",
             "quantidade_passageiros": "try_cast(passenger_count AS INT)",
             "valor_total": "total_amount",
-            "data_inicio_viagem": f"{time_prefix}_pickup_datetime",
-            "data_fim_viagem": f"{time_prefix}_dropoff_datetime",
+            "data_inicio_viagem": pickup,
+            "data_fim_viagem": dropoff,
             "tipo_taxi": f"'{kind}'",
             "ano": "ano",
             "mes": "mes",
@@ -114,18 +116,27 @@ def _trips_from(table: str, kind: str, time_prefix: str) -> SourceMapping:
 
 
 TRIP_SOURCES = (
-    _trips_from(YELLOW_TABLE, "yellow", "tpep"),
-    _trips_from(GREEN_TABLE, "green", "lpep"),
+    _trips_from(YELLOW_TABLE, "yellow", "tpep_pickup_datetime", "tpep_dropoff_datetime"),
+    _trips_from(GREEN_TABLE, "green", "lpep_pickup_datetime", "lpep_dropoff_datetime"),
 )
 
 
-def trips_pipeline(landing: str, bronze: str, silver: str, gold: str) -> Pipeline:
+def trips_pipeline(
+    landing: str,
+    bronze: str,
+    silver: str,
+    gold: str,
+    pattern: str = PERIOD_IN_PATH,
+    extras: Extras = "keep",
+    compact: bool = False,
+) -> Pipeline:
     """The taxi pipeline below four root folders; landing holds ``yellow`` and ``green``."""
+    options = {"pattern": pattern, "extras": extras, "compact": compact}
     landing, bronze, silver, gold = (p.rstrip("/") for p in (landing, bronze, silver, gold))
     return Pipeline(
         bronze=(
-            Dataset(YELLOW, f"{landing}/yellow", f"{bronze}/taxi_yellow"),
-            Dataset(GREEN, f"{landing}/green", f"{bronze}/taxi_green"),
+            Dataset(YELLOW, f"{landing}/yellow", f"{bronze}/taxi_yellow", **options),
+            Dataset(GREEN, f"{landing}/green", f"{bronze}/taxi_green", **options),
         ),
         silver=SilverLayer(TRIPS, f"{silver}/corridas_taxi", TRIP_SOURCES),
         gold=(

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.contracts import TableContract, quoted, quoted_column
+from sedimenta.contracts import ContractError, TableContract, quoted, quoted_column
 from sedimenta.functions.period import PeriodRange
-from sedimenta.operators.layers import COMPRESSION
+from sedimenta.operators.layers import COMPRESSION, qualified
 
 
 def _location(place: str) -> str:
@@ -35,7 +35,36 @@ def table_ddl(contract: TableContract, location: str) -> str:
     )
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    """Where the files of an existing table are."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").where("col_name = 'Location'")
+    return rows.select("data_type").first()[0]
+
+
+def check_table(
+    spark: SparkSession, contract: TableContract, location: str, grow: bool = False
+) -> None:
+    """Raise unless the table, if it exists, is at the location and has the contract's columns.
+
+    ``grow`` adds columns that the table does not have yet.
+    """
+    if not spark.catalog.tableExists(quoted(contract.name)):
+        return
+    have = table_location(spark, contract.name)
+    if qualified(have) != qualified(location):
+        raise ContractError(f"{contract.name} is at {have}, not at {location}")
+    schema = spark.table(quoted(contract.name)).schema
+    known = {name.lower() for name in schema.names}
+    missing = [f for f in contract.columns.fields if f.name.lower() not in known]
+    if missing and grow:
+        added = ", ".join(f"{quoted_column(f.name)} {f.dataType.simpleString()}" for f in missing)
+        spark.sql(f"ALTER TABLE {quoted(contract.name)} ADD COLUMNS ({added})")
+        schema = spark.table(quoted(contract.name)).schema
+    contract.check(schema)
+
+
 def ensure_table(spark: SparkSession, contract: TableContract, location: str) -> None:
+    check_table(spark, contract, location)
     spark.sql(table_ddl(contract, location))
 
 

@@ -13,7 +13,8 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, DataFrameReader, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,10 +33,10 @@ from sedimenta.session import session_conf
 # Every *.parquet below the root, at any depth; the suffix is matched case-sensitively.
 FILE_SET = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
 
-TARGET_FILE_BYTES = 128 * 1024 * 1024
+#: Column of rejected rows that names their file.
+SOURCE_PATH = "source_path"
+
 _PROBES_AT_ONCE = 8
-# Distinct period positions up to which drops are scanned apart to keep the cheap slicing.
-_MAX_SLICES = 64
 
 
 class EmptyLanding(Exception):
@@ -50,12 +51,6 @@ class LandingSummary:
     bytes: int
     files_without_period: int
     slices: frozenset[PeriodSlice]
-    files_worth: int
-
-    @property
-    def fragmented(self) -> bool:
-        """Files far below a useful size (16 MB on average): worth a compacting shuffle."""
-        return self.files - self.files_without_period > 8 * self.files_worth
 
 
 @dataclass(frozen=True)
@@ -64,11 +59,12 @@ class LandingScan:
 
     ``groups``: one DataFrame per footer schema and period position, source columns plus
     year and month.
-    ``without_period``: rows of the files that name no period, or None if there are none.
+    ``without_period``: one DataFrame per footer schema of the files that name no period, with
+    the path of each row.
     """
 
     groups: tuple[DataFrame, ...]
-    without_period: DataFrame | None
+    without_period: tuple[DataFrame, ...]
     summary: LandingSummary
 
 
@@ -131,17 +127,12 @@ def _summarise(spark: SparkSession, files: DataFrame, root: str) -> LandingSumma
     if not months:
         raise EmptyLanding(f"no Parquet file under {root} for the months asked for")
     dated = [m for m in months if m["year"] is not None and m["month"] is not None]
-    bytes_of: dict[tuple[int, int], int] = {}
-    for m in dated:
-        key = (m["year"], m["month"])
-        bytes_of[key] = bytes_of.get(key, 0) + m["bytes"]
     total = sum(m["files"] for m in months)
     return LandingSummary(
         files=total,
         bytes=sum(m["bytes"] for m in months),
         files_without_period=total - sum(m["files"] for m in dated),
         slices=frozenset(PeriodSlice(**m["slice"].asDict()) for m in dated),
-        files_worth=sum(max(1, ceil(b / TARGET_FILE_BYTES)) for b in bytes_of.values()),
     )
 
 
@@ -152,8 +143,10 @@ def _merged(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
     """
     try:
         return _reader(spark).option("mergeSchema", "true").parquet(*paths)
-    except Exception as error:
-        if "CANNOT_MERGE_SCHEMAS" in str(error):
+    except (PySparkException, Py4JJavaError) as error:
+        # A condition of its own only where Spark converts the error; else it stands in the text.
+        condition = error.getCondition() if isinstance(error, PySparkException) else None
+        if "CANNOT_MERGE_SCHEMAS" in (condition or str(error)):
             return None
         raise
 
@@ -272,30 +265,32 @@ def scan(
             frames = [(whole, next(iter(summary.slices)))]
         else:
             disagree = period is None and whole is None and summary.files_without_period == 0
-            frames = _scan_drops(spark, files, summary, disagree)
+            frames = _scan_drops(spark, files, disagree)
 
-        without_period = None
+        without_period: list[DataFrame] = []
         if summary.files_without_period:
             undated_drops = files.where("year IS NULL OR month IS NULL").select("drop")
-            paths = [_literal_path(r["drop"]) for r in _listing(spark, undated_drops)]
-            without_period = _reader(spark).parquet(*paths)
+            paths = [r["drop"] for r in _listing(spark, undated_drops)]
+            without_period = [
+                df.withColumn(SOURCE_PATH, F.col("_metadata.file_path"))
+                for df, _ in schema_groups(spark, paths)
+            ]
 
     return LandingScan(
-        groups=tuple(_with_period(df, contract, pattern, at) for df, at in frames),
-        without_period=without_period,
+        groups=tuple(_with_period(df, contract, at) for df, at in frames),
+        without_period=tuple(without_period),
         summary=summary,
     )
 
 
 def _scan_drops(
-    spark: SparkSession, files: DataFrame, summary: LandingSummary, disagree: bool
-) -> list[tuple[DataFrame, PeriodSlice | None]]:
+    spark: SparkSession, files: DataFrame, disagree: bool
+) -> list[tuple[DataFrame, PeriodSlice]]:
     """One scan per distinct schema and period position, over named drops."""
     dated = files.where("year IS NOT NULL AND month IS NOT NULL").select("drop", "slice").distinct()
-    drops: dict[PeriodSlice | None, list[str]] = {}
+    drops: dict[PeriodSlice, list[str]] = {}
     for row in _listing(spark, dated):
-        at = PeriodSlice(**row["slice"].asDict()) if len(summary.slices) <= _MAX_SLICES else None
-        drops.setdefault(at, []).append(row["drop"])
+        drops.setdefault(PeriodSlice(**row["slice"].asDict()), []).append(row["drop"])
     return [
         (frame, at)
         for at, paths in drops.items()
@@ -304,9 +299,8 @@ def _scan_drops(
 
 
 def _with_period(
-    df: DataFrame, contract: TableContract, pattern: str, at: PeriodSlice | None
+    df: DataFrame, contract: TableContract, at: PeriodSlice
 ) -> DataFrame:
-    path = F.col("_metadata.file_path")
-    period = period_by_slice(path, at) if at else period_of(path, pattern)
+    period = period_by_slice(F.col("_metadata.file_path"), at)
     kept = [F.col(quoted_column(c)) for c in df.columns if c.lower() not in contract.derived]
     return df.select(*kept, *(p.alias(n) for p, n in zip(period, contract.partition_by)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.contracts import ContractError, TableContract
-from sedimenta.functions.casts import may_lose
+from sedimenta.functions.casts import castable, may_lose
 from sedimenta.operators.conform import conform, conform_all
 from tests.conftest import plan_of, rows_of
 
@@ -152,3 +152,25 @@ def test_any_drift_ends_at_the_contract(spark, files):
     rows = conform_all(groups, contract, "drop").rows
     contract.check(rows.schema)
     assert rows.count() == 2 * len(files)
+
+
+@pytest.mark.parametrize("target", ["string", "boolean", "int", "bigint", "double", "decimal(10,2)", "date", "timestamp", "timestamp_ntz", "binary"])
+@pytest.mark.parametrize("source", ["string", "boolean", "int", "bigint", "double", "decimal(10,2)", "date", "timestamp", "timestamp_ntz"])
+def test_every_pair_of_types_converts_or_is_refused(spark, source, target):
+    have, want = (spark.sql(f"SELECT CAST(NULL AS {t}) AS x").schema["x"].dataType for t in (source, target))
+    value = {"string": "'x'", "boolean": "true", "date": "'2020-01-01'", "timestamp": "'2020-01-01'", "timestamp_ntz": "'2020-01-01'"}.get(source, "7")
+    df = spark.sql(f"SELECT CAST({value} AS {source}) AS x")
+    declared = T.StructType([T.StructField("x", want)])
+    if castable(have, want):
+        assert conform(df, declared).schema["x"].dataType == want
+        conform(df, declared).collect()
+    else:
+        with pytest.raises(ContractError, match="declared"):
+            conform(df, declared)
+
+
+def test_numbers_become_times_after_1970(spark):
+    df = spark.sql("SELECT * FROM VALUES (0L), (86400L), (9223372036854775807L), (NULL) AS t(x)")
+    declared = T.StructType([T.StructField("x", T.TimestampNTZType())])
+    got = [r["x"] for r in conform(df, declared).collect()]
+    assert got == [dt.datetime(1970, 1, 1), dt.datetime(1970, 1, 2), None, None]

@@ -162,7 +162,9 @@ def test_files_without_period_are_kept_apart(spark, drop):
     drop("a_2023-01.parquet", VendorID=longs(1, 2))
     root = drop("a_undated.parquet", VendorID=longs(3, 4, 5))
     found = scan(spark, root, CONTRACT)
-    assert found.without_period.count() == 3
+    (undated,) = found.without_period
+    assert undated.count() == 3
+    assert undated.first()["source_path"].endswith("a_undated.parquet")
     assert found.summary.files_without_period == 1
     assert landed(spark, root).where("ano IS NULL OR mes IS NULL").count() == 0
     assert landed(spark, root).count() == 2
@@ -185,12 +187,13 @@ def test_names_of_different_form(spark, drop):
     assert rows_of(landed(spark, root).select("VendorID", "mes")) == [(1, 1), (2, 2)]
 
 
-def test_many_name_forms_fall_back_to_matching(spark, drop):
-    count = landing._MAX_SLICES + 2
+def test_many_name_forms_need_no_pattern_for_each_row(spark, drop):
+    count = 70
     for i in range(count):
         root = drop(f"{'a' * (i + 1)}_2023-{i % 12 + 1:02d}.parquet", VendorID=longs(i))
     found = scan(spark, root, CONTRACT)
-    assert len(found.groups) == 1
+    assert len(found.groups) == count
+    assert not any("regexp" in plan_of(df) for df in found.groups)
     df = conform_all(found.groups, CONTRACT).rows.select("VendorID", "mes")
     assert rows_of(df) == sorted(((i, i % 12 + 1) for i in range(count)), key=repr)
 
@@ -254,10 +257,8 @@ def test_unreadable_file_raises(spark, drop, tmp_path):
         scan(spark, root, CONTRACT)
 
 
-def test_fragmentation_is_judged_by_month(spark, drop):
-    for month in range(1, 4):
-        root = drop(f"a_2023-{month:02d}.parquet", "few", VendorID=longs(1))
-    assert not scan(spark, root, CONTRACT).summary.fragmented
-    for part in range(9):
-        root = drop(f"a_2023-01.parquet/{part}.parquet", "many", VendorID=longs(1))
-    assert scan(spark, root, CONTRACT).summary.fragmented
+def test_dated_folders(spark, drop):
+    drop("2023-01/part-0.parquet", VendorID=longs(1))
+    drop("2023-02/part-0.parquet", VendorID=longs(2))
+    root = drop("2023-02/part-00001-5e0f2a10-1234-11bc-8d3a-0123456789ab.parquet", VendorID=longs(3))
+    assert rows_of(landed(spark, root).select("VendorID", "mes")) == [(1, 1), (2, 2), (3, 2)]

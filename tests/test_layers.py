@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -15,13 +16,13 @@ from sedimenta.operators.layers import (
     distinct_locations,
     export_csv,
     reprocess_partition,
-    split_bytes,
     write_layer,
 )
 from sedimenta.operators.materialize import materialize
 from sedimenta.operators.validate import validate_table
 from sedimenta.session import session_conf, shared_folder
 from sedimenta.sources.catalog import (
+    check_table,
     ensure_database,
     ensure_table,
     read_table,
@@ -82,12 +83,6 @@ def test_snappy_and_settings_restored(spark, tmp_path):
     assert list(tmp_path.glob("t/ano=2023/mes=1/*.snappy.parquet"))
 
 
-def test_input_per_task_grows_with_the_input_and_keeps_cores_busy():
-    assert split_bytes(0, 8) == split_bytes(8 * 1024**3, 8) == 128 * MB
-    assert split_bytes(100 * 1024**4, 8000) == 512 * MB
-    assert split_bytes(20 * 1024**3, 8) == 320 * MB
-
-
 def test_split_is_used_unless_the_session_sets_it(spark, tmp_path, monkeypatch):
     key = "spark.sql.files.maxPartitionBytes"
     seen = []
@@ -141,11 +136,46 @@ def test_compaction_splits_a_hot_month(spark, tmp_path):
 
 def test_overlapping_locations():
     distinct_locations("s3://a/bronze", "s3://a/bronze2/", "s3://a/silver")
-    for a, b in (("x/y", "x/y/"), ("x/y", "x/y/z"), ("x/y/z/", "x/y")):
+    pairs = [("x/y", "x/y/"), ("x/y", "x/y/z"), ("x/y/z/", "x/y"), ("s3://b/x", "s3a://b/x/y")]
+    pairs += [("/x", "file:/x"), ("/x", "file:///x/z"), ("/x/../y", "/y"), ("hdfs://n/a/./b", "hdfs://n/a")]
+    distinct_locations("s3://b/x", "s3://c/x", "/x", "hdfs://n/x")
+    for a, b in pairs:
         with pytest.raises(ValueError, match="overlap"):
             distinct_locations(a, b)
 
 
+def test_compaction_needs_adaptive_execution(spark):
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        with pytest.raises(RuntimeError, match="adaptive"):
+            compacted(batch(spark, (1, 2023, 1)), PERIOD)
+
+
+def test_existing_table_is_compared_with_its_target(spark, tmp_path, name):
+    here, there = str(tmp_path / "here"), str(tmp_path / "there")
+    ensure_database(spark, name.split(".")[0])
+    ensure_table(spark, contract(name), here)
+    ensure_table(spark, contract(name), f"file:{here}/../here/")
+    with pytest.raises(ContractError, match="is at"):
+        ensure_table(spark, contract(name), there)
+    old = contract(name)
+    more = T.StructType([*old.columns.fields, T.StructField("more", T.LongType())])
+    with pytest.raises(ContractError, match="more is missing"):
+        check_table(spark, replace(old, columns=more), here)
+    check_table(spark, replace(old, columns=more), here, grow=True)
+    assert "more" in spark.table(name).columns
+
+
+def test_result_table_is_compared_with_its_target(spark, tmp_path, name):
+    ensure_database(spark, name.split(".")[0])
+    df = spark.sql("SELECT 1 AS a, 2 AS b")
+    materialize(df, name, str(tmp_path / "r"), "once")
+    for mode in ("once", "refresh"):
+        with pytest.raises(ContractError, match="is at"):
+            materialize(df, name, str(tmp_path / "other"), mode)
+        with pytest.raises(ContractError, match="has the columns"):
+            materialize(df.drop("b"), name, str(tmp_path / "r"), mode)
+
+
 def test_table_shows_partitions_after_recovery(spark, tmp_path, name):
     location = str(tmp_path / "t")
     ensure_database(spark, name.split(".")[0])

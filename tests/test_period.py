@@ -29,7 +29,13 @@ def periods(spark, paths, pattern=PERIOD_IN_PATH):
     [
         ("file:/l/yellow/yellow_2023-05.parquet", (2023, 5)),
         ("file:/2099-11/landing/x_1996-01.parquet/part-00000-8512-12.c000.parquet", (1996, 1)),
-        ("file:/l/part-00000-8500-12.parquet", (None, None)),
+        ("file:/l/part-00000-8512-12ab-9d00-c000.parquet", (None, None)),
+        ("file:/l/x_1899-12.parquet", (1899, 12)),
+        ("file:/l/x_2101-01.parquet", (2101, 1)),
+        ("file:/l/2023-01/part-0.parquet", (2023, 1)),
+        ("file:/l/2023-01/day=1/part-00000-1234-11bc-9d00.parquet", (2023, 1)),
+        ("file:/l/2020-01/2023-02/part-0.parquet", (2020, 1)),
+        ("file:/l/2020-01/y_2023-02.parquet", (2023, 2)),
         ("file:/l/x_2023-13.parquet", (None, None)),
         ("file:/l/x_12023-011.parquet", (None, None)),
         ("file:/l/no_period.parquet", (None, None)),
