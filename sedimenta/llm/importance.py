@@ -1,7 +1,8 @@
 """Quality classifier: importance resampling with hashed n-gram models and Gumbel top-k.
 
-The log weight of a document is the sum over its n-grams of the log ratio of two generative models,
-one of target texts and one of all texts. Adding Gumbel noise to the log weights and taking the k
+The log weight of a document is the sum over its distinct n-grams of the log ratio of two generative
+models, one of target texts and one of all texts; a text that says one thing a thousand times counts
+it once in either model. Adding Gumbel noise to the log weights and taking the k
 largest draws k documents without replacement in proportion to their weights.
 """
 
@@ -13,8 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm import words as W
-from sedimenta.llm.quality import SCALE, gram_counts, log_ratios, trusted_ids
-from sedimenta.llm.rows import ROW, field, packed, staged, unpacked, written
+from sedimenta.llm.quality import SCALE, gram_counts, literal, log_ratios, trusted_ids
+from sedimenta.llm.rows import ROW, packed, unpacked, written
 
 
 @dataclass(frozen=True)
@@ -29,10 +30,10 @@ class Resampling:
     target_documents the target model is fitted on at most so many documents
     """
 
-    bits: int = 16
-    prior: float = 10.0
-    dead_zone: float = 1.0
-    margin: float = 2.0
+    bits: int = 18
+    prior: float = 5.0
+    dead_zone: float = 1.5
+    margin: float = 4.0
     target_documents: int = 20_000
     seed: int = 5
 
@@ -41,16 +42,17 @@ def fit(docs: DataFrame, labels: DataFrame, params: Resampling, text: str = "tex
     """``weights``, one row: scaled log ratio of the two models in every bucket."""
     ids = trusted_ids(labels, params.target_documents).withColumnRenamed("doc_id", "trusted_id")
     marked = docs.select("doc_id", text).join(F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left")
-    model = log_ratios(gram_counts(marked, F.col("trusted_id").isNotNull(), params.bits, text), params.bits, params.prior)
+    counts = gram_counts(marked, F.col("trusted_id").isNotNull(), params.bits, text, once=True)
+    model = log_ratios(counts, params.bits, params.prior)
     limit = round(params.dead_zone * SCALE)
     return model.select(F.transform("weights", lambda w: F.when(F.abs(w) >= limit, w).otherwise(0)).alias("weights"))
 
 
 def log_weight(text: Column, weights: Column, bits: int) -> Column:
-    """Scaled log weight of a text and its number of n-grams."""
+    """Scaled log weight of a text and its number of distinct n-grams."""
     zero = F.lit(0).cast("long")
     return W.let(
-        W.grams(W.word_hashes(W.words(text))),
+        F.array_distinct(W.grams(W.word_hashes(W.words(text)))),
         lambda grams: F.struct(
             F.aggregate(grams, zero, lambda s, g: s + F.get(weights, W.bucket(g, bits))).alias("total"),
             F.size(grams).cast("long").alias("n"),
@@ -96,8 +98,6 @@ def resample(
     weight 0; they are drawn like any other row. Repeated rows have equal keys, the earlier one first.
     Input columns named like an output are replaced.
     """
-    from sedimenta.llm.quality import literal
-
     weights = literal(model)
     scored = packed(
         docs,

@@ -71,9 +71,15 @@ def log_ratios(counts: DataFrame, bits: int, prior: float) -> DataFrame:
     return by_bucket.agg(F.transform(in_order, lambda x: x["w"]).alias("weights"))
 
 
-def gram_counts(docs: DataFrame, trusted: Column, bits: int, text: str = "text") -> DataFrame:
-    """bucket, raw, target: n-gram occurrences in all texts and in those where ``trusted`` holds."""
+def gram_counts(
+    docs: DataFrame, trusted: Column, bits: int, text: str = "text", once: bool = False
+) -> DataFrame:
+    """bucket, raw, target: n-gram occurrences in all texts and in those where ``trusted`` holds.
+
+    ``once`` counts an n-gram once for each text that has it.
+    """
     hashed = W.grams(W.word_hashes(W.words(F.col(text))))
+    hashed = F.array_distinct(hashed) if once else hashed
     return (
         docs.select(trusted.alias("trusted"), F.explode(hashed).alias("gram"))
         .groupBy(W.bucket(F.col("gram"), bits).alias("bucket"))
