@@ -1,3 +1,114 @@
-"""SQL counterparts of those queries that SQL can express."""
+"""SQL counterparts of those queries that SQL can express.
 
-SQL: dict[str, str] = {}
+The others score hashed n-grams (1, 7), draw at random (4, 6), mine rules (5), slide a window with
+running counts (8) or split sentences (3); their tests compare them with plain Python.
+"""
+
+from __future__ import annotations
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN = r"[^\x20\x09-\x0D]+"
+_NORMAL = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+_DECONTAMINATE = rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_NORMAL}') AS w FROM documents
+), items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, w, least(13, len(w)) AS m
+  FROM (SELECT item_id, regexp_extract_all({_LOWER}, '{_NORMAL}') AS w FROM benchmark)
+  WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item, m, list_slice(w, i, i + m - 1) AS run
+  FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS i FROM items)
+), places AS (
+  SELECT doc_id, m, i, list_slice(w, i, i + m - 1) AS run
+  FROM (
+    SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+    FROM docs, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m
+  )
+), found AS (
+  SELECT doc_id, item, i, places.m AS m FROM places JOIN windows USING (m, run)
+), hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM found) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+_CHAT = rf"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+         (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), placed AS (
+  SELECT *, len(regexp_extract_all(text, '{_PLAIN}')) + 2 AS tokens,
+         row_number() OVER o = 1 AND role = 'system' AS is_system,
+         16 + length(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'))
+            + length(replace(replace(text, '&', '&amp;'), '<', '&lt;')) AS chars
+  FROM given WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)
+), summed AS (
+  SELECT *, coalesce(sum(CASE WHEN is_system THEN 0 ELSE tokens END) OVER (
+    PARTITION BY conv_id ORDER BY turn, role, text
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM placed
+), named AS (
+  SELECT *, start // 512 AS win FROM summed
+), firsts AS (
+  SELECT conv_id, win - 1 AS win, min(start) AS next_start
+  FROM named WHERE NOT is_system GROUP BY ALL
+), systems AS (
+  SELECT conv_id, max(chars) AS chars FROM named WHERE is_system GROUP BY ALL
+), later AS (
+  SELECT conv_id, count(DISTINCT win) AS n FROM named WHERE win > 0 GROUP BY ALL
+), sums AS (
+  SELECT conv_id, count(*) AS n_turns,
+         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+         sum(chars) + coalesce(sum(chars) FILTER (
+           WHERE NOT is_system AND next_start - start <= 128), 0) AS chars
+  FROM named LEFT JOIN firsts USING (conv_id, win) GROUP BY conv_id
+)
+SELECT sums.conv_id AS conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256,
+       CAST(sums.chars + coalesce(systems.chars * n, 0) AS BIGINT) AS formatted_chars
+FROM sums LEFT JOIN systems USING (conv_id) LEFT JOIN later USING (conv_id)
+"""
+
+_NEAR = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_PLAIN}') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, list_slice(w, i, i + least(3, len(w)) - 1) AS s
+  FROM (SELECT *, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * common >= 85 * (p.n + q.n - common)
+), reach AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least_id AS (
+  SELECT a AS doc_id, min(b) AS b FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id,
+       doc_id <= coalesce(b, doc_id) AS kept
+FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least_id USING (doc_id)
+"""
+
+SQL: dict[str, str] = {
+    "op2_decontaminate": _DECONTAMINATE,
+    "op9_chat": _CHAT,
+    "op10_near_duplicates": _NEAR,
+}
