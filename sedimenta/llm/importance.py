@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm import words as W
@@ -66,21 +66,38 @@ def gumbel(*key: Column) -> Column:
     return -F.log(-F.log(u))
 
 
+#: Bars of one histogram, and rows of one bar that are ranked without another histogram.
+BARS, RANKED = 4096, 10_000
+
+
 def top(keys: DataFrame, k: int) -> DataFrame:
     """``row`` of the ``k`` rows with the largest ``key``, equal ones by row; nothing is sorted whole.
 
-    A histogram of keys finds the bar in which the last row falls; that bar alone is ranked.
+    A histogram between the least and the largest key finds the bar in which the last row falls, the
+    next one looks at that bar alone, until it holds few rows or equal keys. Those are ranked.
     """
-    bar = F.floor(F.least(F.greatest(F.col("key"), F.lit(-1e6)), F.lit(1e6)) * 256).cast("long")
-    barred = keys.withColumn("bar", bar)
-    bars = barred.groupBy("bar").agg(F.count(F.lit(1)).alias("n"))
-    above = Window.orderBy(F.col("bar").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    counted = bars.withColumn("before", F.coalesce(F.sum("n").over(above), F.lit(0).cast("long")))
-    edge = counted.where((F.col("before") < k) & (F.col("before") + F.col("n") >= k)).first()
-    if edge is None:  # k is 0, or no less than the number of rows
+    low, high, n = keys.agg(F.min("key"), F.max("key"), F.count(F.lit(1))).first()
+    if k >= n or k <= 0:
         return keys.select("row").where(F.lit(k > 0))
-    ranked = barred.where(F.col("bar") == edge["bar"]).orderBy(F.col("key").desc(), "row").limit(k - edge["before"])
-    return barred.where(F.col("bar") > edge["bar"]).select("row").union(ranked.select("row"))
+    taken = 0  # rows above ``high``; the last row that is wanted lies between low and high
+    inside = n
+    while inside > RANKED and low < high:
+        width = (high - low) / BARS
+        if low + width == low or high - width == high:
+            break
+        bar = F.least(F.floor((F.col("key") - low) / width), F.lit(BARS - 1)).cast("int")
+        within = keys.where(F.col("key").between(low, high))
+        bars = within.groupBy(bar.alias("bar")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("key").alias("low"), F.max("key").alias("high")
+        )
+        for found in sorted(bars.collect(), key=lambda b: -b["bar"]):  # at most BARS rows
+            if taken + found["n"] >= k:
+                break
+            taken += found["n"]
+        low, high, inside = found["low"], found["high"], found["n"]
+    edge = keys.where(F.col("key").between(low, high))
+    ranked = edge.orderBy(F.col("key").desc(), "row").limit(k - taken).select("row")
+    return keys.where(F.col("key") > high).select("row").union(ranked)
 
 
 def resample(

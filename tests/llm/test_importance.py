@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sedimenta.llm import importance
 from sedimenta.llm.importance import Resampling, fit, resample, top
 from tests.llm.cases import dicts, empty_documents, labels, odd_documents
 
@@ -33,8 +34,10 @@ def test_held_out_documents(spark):
     assert len(good) > 50 and sum(good) / len(good) > 0.95 and sum(bad) <= 0.2 * len(bad)
 
 
+@pytest.mark.parametrize("ranked", [1, 20, 1000])
 @pytest.mark.parametrize("k", [0, 1, 7, 50, 99, 100, 200])
-def test_top_equals_sorting(spark, k):
+def test_top_equals_sorting(spark, monkeypatch, k, ranked):
+    monkeypatch.setattr(importance, "RANKED", ranked)
     rng = random.Random(k)
     rows = [(i, rng.choice([rng.gauss(0, 3), 1.0, -5e7, 5e7])) for i in range(100)]
     got = {r["row"] for r in dicts(top(spark.createDataFrame(rows, "row long, key double"), k))}
