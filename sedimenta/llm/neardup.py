@@ -23,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sedimenta.llm import words as W
 from sedimenta.llm.components import components
 from sedimenta.llm.rows import field, staged, unpacked, written
-from sedimenta.llm.shingles import WordHashes, combined, lowered_words, shingle_set, signature
+from sedimenta.llm.shingles import WordHashes, lowered_words, shingle_set, signature
 
 
 @dataclass(frozen=True)
@@ -64,21 +65,17 @@ def _sketches(params: NearDuplicates):
         hashes = WordHashes()
         for batch in batches:
             rows = batch.column("row").to_pylist()
-            sizes, signs, least, keys = [], [], [], []
+            sizes, signs, least = [], [], []
             for row, text in zip(rows, batch.column("text").to_pylist(), strict=True):
                 shingles = shingle_set(lowered_words(text), params.width, hashes)
                 n = len(shingles)
                 sizes.append(n)
                 # Empty sets are equal to none: each has a signature of its own.
                 signs.append(signature(shingles) if n else b"empty" + row.to_bytes(8, "big"))
-                kept = shingles[: params.k]
-                least.append(kept)
-                values = kept.view(np.uint64)
-                runs = [params.run] + [r for r, most in SHORTER_RUNS.items() if n < most and r < params.run]
-                keys.append(np.concatenate([combined(values, r) for r in runs if r <= len(values)] or [values[:0]]).view(np.int64))
+                least.append(shingles[: params.k])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(sizes, pa.int64()), pa.array(signs, pa.binary()), _lists(least), _lists(keys)],
-                ["row", "n", "sign", "sketch", "keys"],
+                [batch.column("row"), pa.array(sizes, pa.int64()), pa.array(signs, pa.binary()), _lists(least)],
+                ["row", "n", "sign", "sketch"],
             )
 
     return sketch
@@ -136,11 +133,23 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, params: NearDuplicates) -> Da
     return written(both.mapInArrow(_similar(params), "a long, b long"), "links")
 
 
-def _members(sketches: DataFrame) -> DataFrame:
+def _keys(params: NearDuplicates) -> Column:
+    """A key for each run of neighbouring retained values; small sets have shorter runs as well."""
+    none = F.array().cast("array<long>")
+
+    def runs(sketch: Column) -> Column:
+        shorter = [(r, most) for r, most in SHORTER_RUNS.items() if r < params.run]
+        more = [F.when(F.col("n") < most, W.windows(sketch, r)).otherwise(none) for r, most in shorter]
+        return F.concat(W.windows(sketch, params.run), *more)
+
+    return W.let(F.col("sketch"), runs)
+
+
+def _members(sketches: DataFrame, params: NearDuplicates) -> DataFrame:
     """Lists with at least two members: key, row, n, and the lists ``seen`` that the row is in."""
-    postings = sketches.select("row", "n", F.explode("keys").alias("key"))
+    postings = sketches.select("row", "n", F.explode(_keys(params)).alias("key"))
     shared = postings.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
-    members = written(postings.join(shared, "key", "left_semi").distinct(), "lists")
+    members = written(postings.join(shared, "key", "left_semi"), "lists")
     seen = members.groupBy("row").agg(F.count(F.lit(1)).alias("seen"))
     return written(members.join(seen, "row"), "members")
 
@@ -214,7 +223,7 @@ def _open_pairs(rarest: DataFrame, params: NearDuplicates) -> DataFrame:
 
 def similar_groups(sketches: DataFrame, texts: DataFrame, params: NearDuplicates) -> DataFrame:
     """``node`` and ``component`` of the documents that are linked to another."""
-    members = _members(sketches)
+    members = _members(sketches, params)
     open_lists = members.withColumn("group", F.col("row"))
     links = members.select(F.col("row").alias("a"), F.col("row").alias("b")).limit(0)
     for _ in range(params.stars):
@@ -245,7 +254,7 @@ def near_duplicates(
     texts = rows.select("row", field(text).alias("text"))
     sketches = written(
         texts.mapInArrow(
-            _sketches(params), "row long, n long, sign binary, sketch array<long>, keys array<long>"
+            _sketches(params), "row long, n long, sign binary, sketch array<long>"
         ),
         "sketches",
     )
@@ -256,7 +265,7 @@ def near_duplicates(
     )
     chosen = classes.select(F.col("node").alias("row"))
     chosen = F.broadcast(chosen) if classes.count() <= MOST_SENT else chosen
-    distinct = written(sketches.join(chosen, "row", "left_semi").where("n > 0"), "distinct")
+    distinct = sketches.join(chosen, "row", "left_semi").where("n > 0")
     groups = similar_groups(distinct, texts, params)
     grouped = classes.join(groups, "node", "left").select(
         "sign", "first", F.coalesce("component", "node").alias("component")
