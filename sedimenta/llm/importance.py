@@ -1,63 +1,86 @@
-"""Quality classifier: importance resampling with hashed n-gram models and Gumbel top-k.
+"""Quality classifier: importance resampling with n-gram models and Gumbel top-k.
 
 The log weight of a document is the sum over its distinct n-grams of the log ratio of two generative
 models, one of target texts and one of all texts; a text that says one thing a thousand times counts
-it once in either model. Adding Gumbel noise to the log weights and taking the k
-largest draws k documents without replacement in proportion to their weights.
+it once in either model. A document itself is left out of both models when it is scored, so that a
+trusted document and one like it without a label are judged alike. Adding Gumbel noise to the log
+weights and taking the k largest draws k documents without replacement in proportion to their weights.
+
+The models are tables keyed by the 64-bit hash of an n-gram: they grow with the corpus, and meet the
+documents in a join. N-grams of a single document say nothing about it once it is left out.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sedimenta.llm import words as W
-from sedimenta.llm.quality import SCALE, gram_counts, literal, log_ratios, trusted_ids
-from sedimenta.llm.rows import ROW, packed, unpacked, written
+from sedimenta.llm.quality import SCALE, trusted_ids
+from sedimenta.llm.rows import ROW, field, packed, unpacked, written
 
 
 @dataclass(frozen=True)
 class Resampling:
     """Parameters.
 
-    bits             each model has ``2**bits`` buckets
-    prior            occurrences added to every bucket of the raw model, their share to the target's
-    dead_zone        log ratios nearer to 0 count as 0: what both models have about as often is
-                     no evidence, however long a text is
-    margin           a document up to so many nats below an average one counts as whole in ``k``
+    pseudo           target documents added to what an n-gram has and to what its share of all
+                     documents lets expect: so many by chance more or less are no evidence
     target_documents the target model is fitted on at most so many documents
     """
 
-    bits: int = 18
-    prior: float = 5.0
-    dead_zone: float = 1.5
-    margin: float = 4.0
+    pseudo: float = 20.0
     target_documents: int = 20_000
     seed: int = 5
 
 
-def fit(docs: DataFrame, labels: DataFrame, params: Resampling, text: str = "text") -> DataFrame:
-    """``weights``, one row: scaled log ratio of the two models in every bucket."""
-    ids = trusted_ids(labels, params.target_documents).withColumnRenamed("doc_id", "trusted_id")
-    marked = docs.select("doc_id", text).join(F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left")
-    counts = gram_counts(marked, F.col("trusted_id").isNotNull(), params.bits, text, once=True)
-    model = log_ratios(counts, params.bits, params.prior)
-    limit = round(params.dead_zone * SCALE)
-    return model.select(F.transform("weights", lambda w: F.when(F.abs(w) >= limit, w).otherwise(0)).alias("weights"))
-
-
-def log_weight(text: Column, weights: Column, bits: int) -> Column:
-    """Scaled log weight of a text and its number of distinct n-grams."""
-    zero = F.lit(0).cast("long")
-    return W.let(
-        F.array_distinct(W.grams(W.word_hashes(W.words(text)))),
-        lambda grams: F.struct(
-            F.aggregate(grams, zero, lambda s, g: s + F.get(weights, W.bucket(g, bits))).alias("total"),
-            F.size(grams).cast("long").alias("n"),
-        ),
+@dataclass(frozen=True)
+class Model:
+    """``counts``: gram, raw and target documents that have it, of n-grams in two documents or more;
+    ``trusted``: ids of the target documents; ``share``: n-grams of target documents among all."""
+
+    counts: DataFrame
+    trusted: DataFrame
+    share: float
+
+
+def distinct_grams(text: Column) -> Column:
+    return F.array_distinct(W.grams(W.word_hashes(W.words(text))))
+
+
+def fit(docs: DataFrame, labels: DataFrame, params: Resampling, text: str = "text") -> Model:
+    """Documents that have an n-gram, among all and among the trusted ones."""
+    trusted = written(trusted_ids(labels, params.target_documents).withColumnRenamed("doc_id", "trusted_id"), "trusted")
+    marked = docs.select("doc_id", text).join(F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left")
+    seen = Observation()
+    counts = (
+        marked.select(F.col("trusted_id").isNotNull().alias("trusted"), F.explode(distinct_grams(F.col(text))).alias("gram"))
+        .groupBy("gram")
+        .agg(F.count(F.lit(1)).alias("raw"), F.count_if("trusted").alias("target"))
+        .observe(seen, F.sum("raw").alias("raws"), F.sum("target").alias("targets"))
+        .where("raw > 1")
     )
+    kept = written(counts, "grams")
+    raws, targets = (seen.get.get(name) or 0 for name in ("raws", "targets"))
+    return Model(kept, trusted, targets / raws if raws else 0.0)
+
+
+def gram_weights(model: Model, params: Resampling) -> DataFrame:
+    """gram, its scaled log ratio in an unlabelled document, ``own``, and in a trusted one, ``own_trusted``.
+
+    Each is the ratio that the other documents give. Without trusted n-grams every ratio is 0.
+    """
+    if not model.share:
+        return model.counts.limit(0).select("gram", F.col("raw").alias("own"), F.col("raw").alias("own_trusted"))
+
+    def ratio(target: Column) -> Column:
+        expected = F.lit(model.share) * (F.col("raw") - 1)
+        return F.round(F.log((target + params.pseudo) / (expected + params.pseudo)) * SCALE).cast("long")
+
+    others = F.greatest(F.col("target") - 1, F.lit(0).cast("long"))
+    return model.counts.select("gram", ratio(F.col("target")).alias("own"), ratio(others).alias("own_trusted"))
 
 
 def gumbel(*key: Column) -> Column:
@@ -102,7 +125,7 @@ def top(keys: DataFrame, k: int) -> DataFrame:
 
 def resample(
     docs: DataFrame,
-    model: DataFrame,
+    model: Model,
     params: Resampling = Resampling(),
     k: int | None = None,
     id_: str = "doc_id",
@@ -110,29 +133,36 @@ def resample(
 ) -> DataFrame:
     """Every input row with ``n_grams``, ``log_weight``, ``key`` and ``kept``, true for k rows.
 
-    Without ``k`` the number drawn is the sum of all weights, no document counting more than once:
-    what the raw texts hold of target-like ones. Null and empty texts have no n-grams and the log
-    weight 0; they are drawn like any other row. Repeated rows have equal keys, the earlier one first.
-    Input columns named like an output are replaced.
+    ``docs`` are those that the model was fitted on. Without ``k`` the number drawn is the sum of all
+    weights, no document counting more than once: what the raw texts hold of target-like ones. Null
+    and empty texts have no n-grams and the log weight 0; they are drawn like any other row. Repeated
+    rows have equal keys, the earlier one first. Input columns named like an output are replaced.
     """
-    weights = literal(model)
-    scored = packed(
-        docs,
-        F.monotonically_increasing_id().alias("row"),
-        log_weight(F.col(text), weights, params.bits).alias("s"),
-        gumbel(F.lit(params.seed), F.col(id_), F.col(text)).alias("noise"),
+    grams = distinct_grams(F.col(text))
+    noise = gumbel(F.lit(params.seed), F.col(id_), F.col(text))
+    numbered = packed(docs, F.monotonically_increasing_id().alias("row"), noise.alias("noise"), F.size(grams).cast("long").alias("n"))
+    rows = written(numbered, "numbered")
+    labelled = rows.select("row", field(id_).alias("id"), field(text).alias("text")).join(
+        F.broadcast(model.trusted), F.col("id") == F.col("trusted_id"), "left"
+    )
+    # A row has an n-gram once, so the most frequent one has a row's share of all, however hot.
+    entries = labelled.select(
+        "row", F.col("trusted_id").isNotNull().alias("trusted"), F.explode(distinct_grams(F.col("text"))).alias("gram")
     )
-    rows = written(
-        scored.select(
-            "row", ROW, F.col("s.n").alias("n"), (F.col("s.total") / SCALE).alias("weight"), (F.col("s.total") / SCALE + F.col("noise")).alias("key")
-        ),
+    found = entries.join(gram_weights(model, params), "gram").select("row", F.when(F.col("trusted"), F.col("own_trusted")).otherwise(F.col("own")).alias("w"))
+    totals = found.groupBy(F.col("row").alias("scored")).agg(F.sum("w").alias("total"))
+    weight = F.coalesce("total", F.lit(0)) / SCALE
+    keys = written(
+        rows.select("row", "noise").join(totals, F.col("row") == F.col("scored"), "left")
+        .select("row", weight.alias("weight"), (weight + F.col("noise")).alias("key")),
         "scored",
     )
     if k is None:
-        part = F.least(F.lit(1.0), F.exp(F.col("weight") + params.margin))
-        k = round(rows.agg(F.coalesce(F.sum(F.round(part * SCALE).cast("long")), F.lit(0))).first()[0] / SCALE)
-    chosen = top(rows.select("row", "key"), k).withColumnRenamed("row", "chosen")
-    judged = rows.join(chosen, F.col("row") == F.col("chosen"), "left")
+        part = F.exp(F.least(F.lit(0.0), F.col("weight")))
+        k = round(keys.agg(F.coalesce(F.sum(F.round(part * SCALE).cast("long")), F.lit(0))).first()[0] / SCALE)
+    chosen = top(keys.select("row", "key"), k).withColumnRenamed("row", "chosen")
+    drawn = keys.join(chosen, F.col("row") == F.col("chosen"), "left").withColumnRenamed("row", "judged")
+    judged = rows.join(drawn, F.col("row") == F.col("judged"))
     return unpacked(
         judged, n_grams=F.col("n"), log_weight=F.col("weight"), key=F.col("key"), kept=F.col("chosen").isNotNull()
     )

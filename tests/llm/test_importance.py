@@ -34,6 +34,37 @@ def test_held_out_documents(spark):
     assert len(good) > 50 and sum(good) / len(good) > 0.95 and sum(bad) <= 0.2 * len(bad)
 
 
+@pytest.mark.parametrize("part", [1, 2, 5])
+def test_good_documents_without_a_label_stay_however_few_have_one(spark, part):
+    """Long texts of mostly rare words; bad words are what tells, in either direction."""
+    rng = random.Random(6)
+    rows, lab = [], []
+    for i in range(600):
+        words = [f"w{int(rng.paretovariate(0.6))}" for _ in range(150)]
+        if i % 4 == 0:
+            for _ in range(30):
+                words[rng.randrange(len(words))] = f"bad{rng.randrange(12)}"
+        rows.append((i, " ".join(words)))
+        if i % 4 and i % 3 and i % part == 0:
+            lab.append((i, 1, 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(lab, "doc_id long, quality int, toxic int")
+    got = [r for r in dicts(resample(docs, fit(docs, known, Resampling()))) if r["doc_id"] not in {i for i, *_ in lab}]
+    good = [r for r in got if r["doc_id"] % 4]
+    bad = [r for r in got if r["doc_id"] % 4 == 0]
+    assert sum(r["log_weight"] > -4 for r in good) > 0.9 * len(good) and sum(r["kept"] for r in good) > 0.85 * len(good)
+    assert sum(r["log_weight"] > -4 for r in bad) < 0.2 * len(bad) and sum(r["kept"] for r in bad) < 0.4 * len(bad)
+
+
+def test_evidence_for_the_target_counts(spark):
+    """A word that only target documents have weighs for them, even with a large trusted share."""
+    rows = [(i, f"same word {'fine' if i % 2 else 'other'}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, 1, 0) for i in range(1, 200, 4)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["log_weight"] for r in dicts(resample(docs, fit(docs, known, Resampling())))}
+    assert got[3] > 0.4 and abs(got[3] - got[1]) < 0.1 and got[2] < -0.4
+
+
 @pytest.mark.parametrize("ranked", [1, 20, 1000])
 @pytest.mark.parametrize("k", [0, 1, 7, 50, 99, 100, 200])
 def test_top_equals_sorting(spark, monkeypatch, k, ranked):
