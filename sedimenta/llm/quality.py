@@ -1,8 +1,8 @@
-"""Quality rules: base counts of each text and a hashed n-gram log-likelihood ratio.
+"""Quality rules: base counts of each text and an n-gram log-likelihood ratio.
 
 Two multinomials over hashed words and word pairs: one of trusted texts, one of the raw corpus. A
 document's score is the mean logarithm of their ratio over its n-grams. Everything is built-in
-column expressions; the model has a fixed number of buckets.
+column expressions; the model is a table of the corpus's n-grams, joined to the documents.
 """
 
 from __future__ import annotations
@@ -13,22 +13,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm import words as W
-from sedimenta.llm.rows import packed, unpacked
+from sedimenta.llm.rows import ROW, field, packed, unpacked, written
 
 
 @dataclass(frozen=True)
 class QualityRules:
     """Parameters.
 
-    bits             the model has ``2**bits`` buckets, whatever the corpus
-    prior            raw occurrences added to every bucket
+    bits             n-grams are told apart by so many bits of their hash
+    prior            raw occurrences added to every n-gram
     least_mean       a mean log ratio below this rejects, in nats for each n-gram
     least_words      fewer words fail
     most_repeated    more words than this share in repeated 3-word windows fail, in percent
     target_documents the trusted model is fitted on at most so many trusted documents
     """
 
-    bits: int = 16
+    bits: int = 64
     prior: float = 50.0
     least_mean: float = -0.1
     least_words: int = 50
@@ -36,6 +36,8 @@ class QualityRules:
     target_documents: int = 20_000
 
 
+#: An n-gram with more than this share of all occurrences is frequent: fewer than 10,000 are, ever.
+FREQUENT = 1e-4
 SCALE = 10_000  # log ratios are whole ten-thousandths: sums do not depend on the order of rows
 
 
@@ -48,11 +50,12 @@ def trusted_ids(labels: DataFrame, most: int) -> DataFrame:
     return chosen
 
 
-def log_ratios(counts: DataFrame, bits: int, prior: float) -> DataFrame:
-    """One row: ``weights``, the scaled log ratio of target and raw for every bucket.
+def log_ratios(counts: DataFrame, prior: float) -> DataFrame:
+    """bucket, w and frequent: the scaled log ratio of target and raw of n-grams where it is not 0.
 
     ``counts``: bucket, raw and target occurrences. ``prior`` raw occurrences, and their share of
-    target ones, smooth each bucket. Without any trusted n-gram every ratio is 0.
+    target ones, smooth each bucket, so that of an n-gram not counted is 0. Without any trusted
+    n-gram every ratio is 0.
     """
     totals = counts.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))
     share = F.try_divide(F.col("targets").cast("double"), F.col("raws"))
@@ -60,53 +63,48 @@ def log_ratios(counts: DataFrame, bits: int, prior: float) -> DataFrame:
         (F.col("target") + F.lit(prior) * share) / (share * (F.col("raw") + F.lit(prior)))
     )
     weight = F.when(share > 0, F.round(ratio * SCALE).cast("long")).otherwise(F.lit(0).cast("long"))
-    every = counts.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("bucket"))
-    by_bucket = (
-        every.join(counts, "bucket", "left")
-        .na.fill(0, ["raw", "target"])
-        .join(F.broadcast(totals))  # one row
-        .select("bucket", weight.alias("w"))
-    )
-    in_order = F.sort_array(F.collect_list(F.struct("bucket", "w")))
-    return by_bucket.agg(F.transform(in_order, lambda x: x["w"]).alias("weights"))
+    by_bucket = counts.join(F.broadcast(totals))  # one row
+    return by_bucket.select(
+        "bucket", weight.alias("w"), (F.col("raw") > FREQUENT * F.col("raws")).alias("frequent")
+    ).where("w != 0")
 
 
-def gram_counts(
-    docs: DataFrame, trusted: Column, bits: int, text: str = "text", once: bool = False
-) -> DataFrame:
-    """bucket, raw, target: n-gram occurrences in all texts and in those where ``trusted`` holds.
+def buckets(text: Column, bits: int) -> Column:
+    """The upper ``bits`` of the hash of every n-gram occurrence."""
+    hashed = W.grams(W.word_hashes(W.words(text)))
+    return F.transform(hashed, lambda g: F.shiftrightunsigned(g, 64 - bits))
 
-    ``once`` counts an n-gram once for each text that has it.
-    """
-    hashed = W.grams(W.word_hashes(W.words(F.col(text))))
-    hashed = F.array_distinct(hashed) if once else hashed
+
+def gram_counts(docs: DataFrame, trusted: Column, bits: int, text: str = "text") -> DataFrame:
+    """bucket, raw, target: n-gram occurrences in all texts and in those where ``trusted`` holds."""
     return (
-        docs.select(trusted.alias("trusted"), F.explode(hashed).alias("gram"))
-        .groupBy(W.bucket(F.col("gram"), bits).alias("bucket"))
+        docs.select(trusted.alias("trusted"), F.explode(buckets(F.col(text), bits)).alias("bucket"))
+        .groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("raw"), F.count_if("trusted").alias("target"))
     )
 
 
 def fit(docs: DataFrame, labels: DataFrame, rules: QualityRules, text: str = "text") -> DataFrame:
-    """The model, one row: counts of all texts against those of trusted texts."""
+    """The model, a row for an n-gram: counts of all texts against those of trusted texts."""
     ids = trusted_ids(labels, rules.target_documents).withColumnRenamed("doc_id", "trusted_id")
     marked = docs.select("doc_id", text).join(
         F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left"
     )
     counts = gram_counts(marked, F.col("trusted_id").isNotNull(), rules.bits, text)
-    return log_ratios(counts, rules.bits, rules.prior)
-
+    return log_ratios(written(counts, "grams"), rules.prior)
 
-def literal(model: DataFrame) -> Column:
-    """The weights as a constant array. The driver sees ``2**bits`` numbers, whatever the corpus."""
-    weights = model.first()["weights"]
-    return F.split(F.lit(",".join(map(str, weights))), ",").cast("array<int>")
 
+def totals(texts: DataFrame, model: DataFrame, bits: int) -> DataFrame:
+    """scored, total: the sum of the scaled log ratios of each ``row``'s n-grams in ``text``, if any.
 
-def score(grams: Column, weights: Column, bits: int) -> Column:
-    """Sum of the scaled log ratios of hashed n-grams."""
-    zero = F.lit(0).cast("long")
-    return F.aggregate(grams, zero, lambda sum_, g: sum_ + F.get(weights, W.bucket(g, bits)))
+    Frequent n-grams meet a broadcast table of bounded size, so that no join key is hot.
+    """
+    entries = texts.select("row", F.explode(buckets(F.col("text"), bits)).alias("bucket"))
+    frequent = F.broadcast(model.where("frequent").select("bucket", "w"))
+    common = entries.join(frequent, "bucket").groupBy("row").agg(F.sum("w").alias("w"))
+    others = entries.join(frequent, "bucket", "left_anti").join(model.where("NOT frequent"), "bucket")
+    rare = others.groupBy("row").agg(F.sum("w").alias("w"))
+    return common.union(rare).groupBy(F.col("row").alias("scored")).agg(F.sum("w").alias("total"))
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -154,7 +152,6 @@ def quality_rules(
     Windows are compared by 64-bit hash: two different 3-word windows of one text are taken as equal
     with probability n²/2⁶⁵ for n words.
     """
-    weights = literal(model)
     symbols = F.regexp_count(W.whole(F.col(text)), F.lit("[#*$%&|<>]"))
 
     def of_words(words: Column, hashes: Column, grams: Column) -> Column:
@@ -163,7 +160,6 @@ def quality_rules(
             F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
             W.let(W.windows(hashes, 3), repeated_words).cast("long").alias("n_repeat_words"),
             F.size(grams).cast("long").alias("n_grams"),
-            score(grams, weights, rules.bits).alias("total"),
         )
 
     counts = W.let(
@@ -173,12 +169,16 @@ def quality_rules(
             lambda h: W.let(W.grams(h), lambda g: of_words(w, h, g)),
         ),
     )
-    measured = packed(
+    counted = packed(
         docs,
+        F.monotonically_increasing_id().alias("row"),
         symbols.cast("long").alias("n_symbols"),
         duplicate_lines(F.col(text)).cast("long").alias("n_dup_lines"),
         counts.alias("of_words"),
-    ).select("r", "n_symbols", "n_dup_lines", "of_words.*")
+    ).select("row", ROW, "n_symbols", "n_dup_lines", "of_words.*")
+    rows = written(counted, "counted")
+    sums = totals(rows.select("row", field(text).alias("text")), model, rules.bits)
+    measured = rows.join(sums, F.col("row") == F.col("scored"), "left").na.fill(0, ["total"])
     failed = (F.col("n_words") < rules.least_words) | (
         100 * F.col("n_repeat_words") > rules.most_repeated * F.col("n_words")
     )

@@ -47,11 +47,6 @@ def windows(hashes: Column, width: int) -> Column:
     return F.slice(runs, F.lit(1), F.greatest(F.size(hashes) - (width - 1), F.lit(0)))
 
 
-def bucket(gram: Column, bits: int) -> Column:
-    """The upper ``bits`` of a hash."""
-    return F.shiftrightunsigned(gram, 64 - bits).cast("int")
-
-
 def grams(hashes: Column) -> Column:
     """Hashes of all single words and of all pairs of neighbours."""
     return let(hashes, lambda h: F.concat(h, windows(h, 2)))

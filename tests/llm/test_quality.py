@@ -82,6 +82,19 @@ def test_counts_scores_and_verdicts_equal_brute_force(spark):
         assert r["words"] in ("x", None) and r["r"] in ("y", None)
 
 
+def test_every_word_of_a_large_corpus_has_its_own_ratio(spark):
+    """A word of bad texts alone, one in 200, is told from the many others whatever their number."""
+    rows = [(i, " ".join(f"w{60 * i + j}" for j in range(60)) + " spam" * (i % 200 == 0)) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, 1, 0) for i in range(1, 4000, 2)], "doc_id long, quality int, toxic int")
+    rules = QualityRules(prior=2.0)
+    words_of = spark.createDataFrame([(1, "spam"), (2, "w120"), (3, "w180 w181"), (4, "never")], "doc_id long, text string")
+    got = {r["doc_id"]: r["mean_log_ratio"] for r in dicts(quality.quality_rules(words_of, quality.fit(docs, lab, rules), rules))}
+    own = {n: math.log((n + 1) / (0.5 * 3)) for n in (0, 1)}
+    assert abs(got[1] - math.log(1 / (0.5 * 22))) < 0.05 and abs(got[2] - own[0]) < 0.01
+    assert abs(got[3] - own[1]) < 0.01 and got[4] == 0
+
+
 def test_empty_table_and_no_labels(spark):
     docs, lab = odd_documents(spark), labels(spark)
     none = lab.limit(0)
