@@ -4,6 +4,10 @@ A span is a run of consecutive sentences with enough words. Every sentence begin
 another, each as short as the limit allows, so a repeated passage of twice the limit is covered
 whatever stands before and after it. Spans are joined by hash over all documents; sentences inside a
 span that an earlier place has already are removed.
+
+Passages without such a span, of few or long or cut sentences, are found by their words: every window
+of twice the limit that holds no repeated span is joined as well, and loses its words. Only windows
+that can repeat are made: of the runs of half a window inside it, the one with the least hash repeats.
 """
 
 from __future__ import annotations
@@ -24,12 +28,16 @@ from sedimenta.llm.shingles import mixed
 SENTENCE = re.compile(r"[^\n]*?(?:[.!?]+[\"'»”)\]]*(?=\s)|(?=\n)|\Z)\s*|\n\s*")
 
 
+#: Sets hashes of words apart from those of sentences.
+WORDS = 0xD6E8FEB86659FD93
+
+
 @dataclass(frozen=True)
 class SentenceSpans:
     """Parameters.
 
     words      a span has at least so many words
-    sentences  and at least so many sentences, or else twice the words
+    sentences  and at least so many sentences, or else twice the words; windows have twice the words
     """
 
     words: int = 25
@@ -81,6 +89,49 @@ def span_hashes(hashes: np.ndarray, spans: np.ndarray) -> np.ndarray:
     return mixed(inner ^ mixed((last - first + 1).astype(np.uint64)))
 
 
+def word_values(text: str) -> np.ndarray:
+    import xxhash
+
+    words = text.split()
+    return mixed(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)))
+
+
+def runs(n: int, width: int) -> np.ndarray:
+    """First and last of every run of ``width`` out of ``n``, at least one."""
+    first = np.arange(n - width + 1)
+    return np.stack([first, first + width - 1], 1)
+
+
+def least_runs(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place and hash of the run of ``width`` words with the least hash in each window of twice as many."""
+    if len(values) < 2 * width:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    hashes = span_hashes(values, runs(len(values), width))
+    inside = np.lib.stride_tricks.sliding_window_view(hashes, width + 1)
+    places = np.unique(np.arange(len(inside)) + inside.argmin(1))
+    return places, mixed(hashes[places] ^ np.uint64(WORDS))
+
+
+def window_places(n: int, width: int, repeated: list[int], covered: list[tuple[int, int]]) -> np.ndarray:
+    """First words of the windows of ``2 * width`` that hold a repeated run and no ``covered`` words."""
+    size = n - 2 * width + 1
+    if size <= 0 or not repeated:
+        return np.empty(0, np.int64)
+
+    def over(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Windows from one of ``low`` to that of ``high``."""
+        low, high = np.maximum(low, 0), np.minimum(high, size - 1)
+        some = low <= high
+        steps = np.zeros(size + 1, np.int64)
+        np.add.at(steps, low[some], 1)
+        np.add.at(steps, high[some] + 1, -1)
+        return np.cumsum(steps[:-1]) > 0
+
+    at = np.asarray(repeated, np.int64)
+    first, end = np.asarray(covered, np.int64).reshape(-1, 2).T
+    return np.flatnonzero(over(at - width, at) & ~over(end - 2 * width, first))
+
+
 def _hashed(params: SentenceSpans):
     import xxhash
 
@@ -91,6 +142,12 @@ def _hashed(params: SentenceSpans):
                 tokens = [text[a:b].split() for a, b in sentences(text)]
                 counts = np.fromiter(map(len, tokens), np.int64, len(tokens))
                 spans = spans_of(counts, params)
+                if counts.sum() >= 2 * params.words:
+                    places, values = least_runs(word_values(text), params.words)
+                    keys.append(values.view(np.int64))
+                    rows.append(np.full(len(places), row, np.int64))
+                    firsts.append(places.astype(np.int32))
+                    lasts.append(np.full(len(places), -1, np.int32))
                 if not len(spans):
                     continue
                 values = np.fromiter((xxhash.xxh64_intdigest(" ".join(t)) for t in tokens), np.uint64, len(tokens))
@@ -105,18 +162,70 @@ def _hashed(params: SentenceSpans):
     return hashed
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without the sentences of their repeated spans."""
+def _windows(params: SentenceSpans):
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, rows, firsts = [], [], []
+            given = (batch.column(name).to_pylist() for name in ("row", "text", "repeated", "spans"))
+            for row, text, repeated, spans in zip(*given, strict=True):
+                ends = np.cumsum([0, *(len(text[a:b].split()) for a, b in sentences(text))])
+                covered = [(ends[x["first"]], ends[x["last"] + 1]) for x in spans or ()]
+                places = window_places(int(ends[-1]), params.words, repeated, covered)
+                if len(places):
+                    spots = np.stack([places, places + 2 * params.words - 1], 1)
+                    keys.append(span_hashes(word_values(text), spots).view(np.int64))
+                    rows.append(np.full(len(places), row, np.int64))
+                    firsts.append(places.astype(np.int32))
+            if rows:
+                columns = [pa.array(np.concatenate(c)) for c in (keys, rows, firsts)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "row", "first"])
+
+    return windows
+
+
+def without(text: str, gone: np.ndarray) -> str:
+    """The text without some of its words and the blanks after them."""
+    out, at = [], 0
+    for found, cut in zip(re.finditer(r"\S+\s*", text), gone, strict=True):
+        if cut:
+            out.append(text[at : found.start()])
+            at = found.end()
+    return "".join(out) + text[at:]
+
+
+def _cut(params: SentenceSpans):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _without_repeats(batches, 2 * params.words)
+
+    return cut
+
+
+def _without_repeats(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Texts without the sentences of their repeated spans and the words of their repeated windows."""
     for batch in batches:
         texts, totals, removed, gone = [], [], [], []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+        given = (batch.column(name).to_pylist() for name in ("text", "spans", "windows"))
+        for text, spans, windows in zip(*given, strict=True):
             parts = sentences(text)
-            drop = sorted({s for span in spans or () for s in range(span["first"], span["last"] + 1)})
-            out = set(drop)
-            texts.append("".join(text[a:b] for i, (a, b) in enumerate(parts) if i not in out) if drop else text)
+            out = {s for span in spans or () for s in range(span["first"], span["last"] + 1)}
+            if not out and not windows:
+                texts.append(text)
+                totals.append(len(parts))
+                removed.append([])
+                gone.append(0)
+                continue
+            ends = np.cumsum([0, *(len(text[a:b].split()) for a, b in parts)])
+            steps = np.zeros(int(ends[-1]) + 1, np.int64)
+            np.add.at(steps, np.asarray(windows or [], np.int64), 1)
+            np.add.at(steps, np.asarray(windows or [], np.int64) + width, -1)
+            lost = np.cumsum(steps[:-1]) > 0
+            for i in out:
+                lost[ends[i] : ends[i + 1]] = True
+            out |= {i for i in range(len(parts)) if ends[i] < ends[i + 1] and lost[ends[i] : ends[i + 1]].all()}
+            texts.append("".join(without(text[a:b], lost[ends[i] : ends[i + 1]]) for i, (a, b) in enumerate(parts) if i not in out))
             totals.append(len(parts))
-            removed.append(drop)
-            gone.append(sum(len(text[a:b].split()) for i, (a, b) in enumerate(parts) if i in out) if drop else 0)
+            removed.append(sorted(out))
+            gone.append(int(lost.sum()))
         columns = {
             "clean": pa.array(texts, pa.string()),
             "n_sentences": pa.array(totals, pa.int64()),
@@ -134,8 +243,9 @@ def remove_repeated_spans(
 
     New columns: ``n_sentences``, ``removed`` (places of removed sentences, from 0), ``n_removed``,
     ``n_removed_words``. The first place of a span, by id (null last), then row, then place in the
-    text, keeps its sentences; every other loses them. Sentences are compared by their words. Null
-    and empty texts have none and stay as they are; of repeated rows the first stays whole. Texts
+    text, keeps its sentences; every other loses them. So do windows of words that hold no repeated
+    span; of a sentence that is not wholly inside, the other words stay, and it is not in ``removed``.
+    A window that overlaps its first place stays. Sentences are compared by their words. Null and empty texts have none and stay as they are; of repeated rows the first stays whole. Texts
     are read whole. Input columns named like an output are replaced.
     """
     rows = staged(docs, "spans-input")
@@ -147,15 +257,32 @@ def remove_repeated_spans(
     counts = spans.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     places = written(spans.join(counts, "key", "left_semi").join(ids, "row"), "repeated-spans")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "row", F.col("first").alias("first"))
-    lead = places.groupBy("key").agg(F.min(order).alias("lead"))
-    later = places.join(lead, "key").where((F.col("row") != F.col("lead.row")) | (F.col("first") != F.col("lead.first")))
-    # At most two spans for each sentence of a text.
-    by_row = later.select("row", "first", "last").distinct().groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    sentence_places = places.where("last >= 0")
+    lead = sentence_places.groupBy("key").agg(F.min(order).alias("lead"))
+    later = sentence_places.join(lead, "key").where((F.col("row") != F.col("lead.row")) | (F.col("first") != F.col("lead.first")))
+    # At most two spans for each sentence of a text, and fewer windows than words.
+    span = F.struct("first", "last")
+    by_row = later.select("row", "first", "last").distinct().groupBy("row").agg(F.collect_list(span).alias("spans"))
+    # Both copies of a window hold the same spans, so both have it or none.
+    known = places.groupBy(F.col("row").alias("of")).agg(
+        F.collect_list(F.when(F.col("last") < 0, F.col("first"))).alias("repeated"),
+        F.collect_list(F.when(F.col("last") >= 0, span)).alias("spans"),
+    )
+    open_texts = texts.join(known.where(F.size("repeated") > 0), F.col("row") == F.col("of")).drop("of")
+    windows = written(open_texts.mapInArrow(_windows(params), "key long, row long, first int"), "windows")
+    twice = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    spots = windows.join(twice, "key", "left_semi").join(ids, "row")
+    origin = spots.groupBy("key").agg(F.min(order).alias("lead"))
+    again = spots.join(origin, "key").where(
+        (F.col("row") != F.col("lead.row")) | (F.col("first") >= F.col("lead.first") + 2 * params.words)
+    )
+    cuts = again.groupBy(F.col("row").alias("cut")).agg(F.collect_list("first").alias("windows"))
     matched = rows.join(by_row.withColumnRenamed("row", "hit"), F.col("row") == F.col("hit"), "left")
-    given = matched.select("row", F.col("r").dropFields(text).alias("r"), field(text).alias("text"), "spans")
+    matched = matched.join(cuts, F.col("row") == F.col("cut"), "left")
+    given = matched.select("row", F.col("r").dropFields(text).alias("r"), field(text).alias("text"), "spans", "windows")
     schema = given.schema
     out = given.mapInArrow(
-        _cut,
+        _cut(params),
         f"row long, r {schema['r'].dataType.simpleString()}, clean string, n_sentences long, removed array<int>, n_removed_words long",
     )
     return unpacked(

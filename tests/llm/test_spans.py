@@ -93,6 +93,34 @@ def test_rows_equal_brute_force(spark):
         assert r["n_removed_words"] == len(text.split()) - len(r["text"].split())
 
 
+def plain(rng, n):
+    return " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+
+
+@pytest.mark.parametrize("lengths", [[20, 20, 20], [30, 30], [60], [15, 1, 14, 1, 2, 25], [120], [5] * 12])
+def test_passages_cut_at_both_ends_are_removed(spark, lengths):
+    """However long its sentences, a passage glued to other text on both sides stays once only."""
+    rng = random.Random(sum(lengths))
+    passage = ". ".join(plain(rng, n) for n in lengths)
+    rows = [(i, f"{plain(rng, 12)}. {plain(rng, 7)} {passage} {plain(rng, 9)}. {plain(rng, 11)}.") for i in range(6)]
+    rows += [(9, f"{plain(rng, 60)}. {plain(rng, 70)}.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(dicts(remove_repeated_spans(docs)), key=lambda r: r["doc_id"])
+    words = set(passage.split())
+    left = [sum(w in words for w in r["text"].split()) for r in got]
+    ends = 0 if min(lengths) > 5 or len(lengths) < 12 else 10  # next to whole sentences, cut ones stay
+    assert left[0] == len(passage.split()) and max(left[1:]) <= ends and left[6] == 0
+    for r, (_, text) in zip(got, rows, strict=True):
+        assert set(text.split()) - words == set(r["text"].split()) - words
+        assert r["n_removed_words"] == len(text.split()) - len(r["text"].split())
+
+
+def test_text_that_repeats_its_own_words_keeps_one_window(spark):
+    docs = spark.createDataFrame([(1, "a b c d e " * 30), (2, "x y z " * 5)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"].split() for r in dicts(remove_repeated_spans(docs))}
+    assert got[1] == list("abcde") * 10 and got[2] == list("xyz") * 5
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     got = dicts(remove_repeated_spans(docs))
