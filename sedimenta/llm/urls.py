@@ -40,14 +40,14 @@ class PolicyRule:
 
 @dataclass(frozen=True)
 class Mining:
-    """A rule holds for ``support`` of the labelled URLs, ``least`` of them at least, and in
-    ``confidence`` of those with its tokens.
+    """A rule holds for ``least`` labelled URLs, whatever their number, and in ``confidence`` of
+    those with its tokens; ``support`` can ask for a share of all labelled URLs besides.
 
-    A URL has at most ``2 + tokens`` items, so at most ``2**(2 + tokens) / support`` combinations
-    are frequent, whatever the corpus.
+    A URL has at most ``2 + tokens`` items, so at most ``2**(2 + tokens) / least`` combinations
+    for each labelled URL are frequent.
     """
 
-    support: float = 0.01
+    support: float = 0.0
     least: int = 20
     confidence: float = 0.8
     tokens: int = 8
@@ -93,7 +93,8 @@ def url_tokens(host: Column, path: Column, url: Column, most: int) -> Column:
 def mine(labelled: DataFrame, mining: Mining) -> DataFrame:
     """rule, tokens, verdict, confidence, support from rows ``tokens`` and ``verdict``."""
     items = labelled.select(F.array_append("tokens", F.concat(F.lit(LABEL), "verdict")).alias("items"))
-    support = max(mining.support, min(1.0, mining.least / max(1, items.count())))
+    # Half a URL less than ``least``: the share is multiplied and rounded up again.
+    support = max(mining.support, min(1.0, (mining.least - 0.5) / max(1, items.count())))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=mining.confidence).fit(items)
     token_only = F.size(F.filter("antecedent", lambda t: F.startswith(t, F.lit(LABEL)))) == 0
     rules = model.associationRules.where(F.startswith(F.get("consequent", F.lit(0)), F.lit(LABEL)) & token_only)
@@ -108,23 +109,15 @@ def mine(labelled: DataFrame, mining: Mining) -> DataFrame:
 
 def pruned(rules: DataFrame) -> DataFrame:
     """Rules but those that a rule of fewer of their tokens makes with no less confidence."""
-    entry = rules.select("rule", "verdict", "confidence", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    shorter = entry.select(
-        "token",
-        F.col("rule").alias("other"),
-        F.col("verdict").alias("other_verdict"),
-        F.col("confidence").alias("other_confidence"),
-        F.col("n").alias("other_n"),
-    )
-    implied = (
-        entry.join(shorter, "token")
-        .where("n > other_n AND verdict = other_verdict AND confidence <= other_confidence")
-        .groupBy("rule", "other", "other_n")
-        .count()
-        .where("count = other_n")
-        .select("rule")
-        .distinct()
-    )
+    tokens = F.col("tokens")
+    power = lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), n)
+    # Every proper part of the tokens by the bits of a number; parts keep the order of the tokens.
+    numbers = F.sequence(F.lit(1).cast("long"), power(F.size(tokens)) - 2)
+    longer = rules.where(F.size(tokens) > 1).select("rule", "verdict", "confidence", "tokens", F.explode(numbers).alias("bits"))
+    part = F.filter(tokens, lambda _, i: F.col("bits").bitwiseAND(power(i)) != 0)
+    parts = longer.select("rule", "confidence", F.xxhash64(part, "verdict").alias("part"))
+    shorter = rules.select(F.col("rule").alias("part"), F.col("confidence").alias("other_confidence"))
+    implied = parts.join(shorter, "part").where("confidence <= other_confidence").select("rule").distinct()
     return written(rules.join(implied, "rule", "left_anti"), "pruned-rules")
 
 

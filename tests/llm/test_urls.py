@@ -104,6 +104,17 @@ def test_rows_keep_their_columns_and_repeats(spark):
     assert all(r["tokens"] in ("t", "x") and r["fixed"] in ("f", "x") for r in got)
 
 
+def test_the_urls_a_rule_needs_do_not_grow_with_the_corpus(spark):
+    """A site with 25 of 5,000 labelled URLs, all of them bad, is blocked; one with 19 is not."""
+    known = [(f"http://www.spam.org/page/{i}", "block") for i in range(25)]
+    known += [(f"http://www.few.org/page/{i}", "block") for i in range(19)]
+    known += [(f"http://www.good{i % 100}.org/page/{i}", "allow") for i in range(4956)]
+    labelled = spark.createDataFrame(known, "url string, verdict string")
+    more = [(1, "http://www.spam.org/page/99", *["x"] * 4), (2, "http://www.few.org/page/99", *["x"] * 4)]
+    got = {r["page_id"]: r["verdict"] for r in dicts(judge_urls(spark.createDataFrame(more, SCHEMA), [], labelled))}
+    assert got == {1: "block", 2: "allow"}
+
+
 def test_nothing_given_and_nothing_labelled(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x", *["x"] * 4)], SCHEMA)
     none = spark.createDataFrame([], "url string, verdict string")
