@@ -43,14 +43,13 @@ class Mining:
     """A rule holds for ``least`` labelled URLs, whatever their number, and in ``confidence`` of
     those with its tokens; ``support`` can ask for a share of all labelled URLs besides.
 
-    A URL has at most ``2 + tokens`` items, so at most ``2**(2 + tokens) / least`` combinations
-    for each labelled URL are frequent.
+    Tokens that fewer labelled URLs have are left out first, and tokens that the same labelled URLs
+    have count as one, so that deep paths do not multiply combinations.
     """
 
     support: float = 0.0
     least: int = 20
     confidence: float = 0.8
-    tokens: int = 8
 
 
 def host_of(url: Column) -> Column:
@@ -72,11 +71,16 @@ def policy_rule(policy: list[PolicyRule], host: Column, path: Column) -> Column:
     return found
 
 
-def url_tokens(host: Column, path: Column, url: Column, most: int) -> Column:
-    """What a URL is made of: domains, first folders, ending, query keys; numbers count as one."""
+def url_tokens(host: Column, path: Column, url: Column) -> Column:
+    """What a URL is made of, each once: all host labels and folders, ending, query keys and values.
+
+    The first and the last labels and the first two folders also count by place; numbers count as one.
+    """
+    plain = lambda s: F.regexp_replace(s, "[0-9]+", "0")
     labels = F.filter(F.split(host, r"\."), lambda s: s != "")
     folders = F.filter(F.split(path, "/"), lambda s: s != "")
-    plain = lambda s: F.regexp_replace(s, "[0-9]+", "0")
+    query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
+    pairs = F.filter(F.split(query, "&"), lambda s: s != "")
     parts = F.array(
         F.concat(F.lit("top:"), F.element_at(labels, -1)),
         F.concat(F.lit("site:"), F.array_join(F.slice(labels, F.greatest(F.size(labels) - 2, F.lit(1)), 3), ".")),
@@ -84,10 +88,35 @@ def url_tokens(host: Column, path: Column, url: Column, most: int) -> Column:
         F.concat(F.lit("folder:"), plain(F.get(folders, F.lit(0)))),
         F.concat(F.lit("second:"), plain(F.get(folders, F.lit(1)))),
         F.concat(F.lit("end:"), F.nullif(F.regexp_extract(path, r"\.([A-Za-z]+)$", 1), F.lit(""))),
-        F.concat(F.lit("query:"), F.nullif(F.regexp_extract(url, r"\?([^=&#]+)", 1), F.lit(""))),
         F.concat(F.lit("mark:"), F.when(F.contains(url, F.lit("#")), F.lit("yes"))),
     )
-    return F.slice(F.array_distinct(F.array_compact(parts)), 1, most)
+    every = F.concat(
+        parts,
+        F.transform(labels, lambda s: F.concat(F.lit("label:"), plain(s))),
+        F.transform(folders, lambda s: F.concat(F.lit("path:"), plain(s))),
+        F.transform(pairs, lambda s: F.concat(F.lit("query:"), F.substring_index(s, "=", 1))),
+        F.transform(pairs, lambda s: F.concat(F.lit("value:"), plain(s))),
+    )
+    return F.array_distinct(F.array_compact(every))
+
+
+def token_classes(labelled: DataFrame, least: int) -> DataFrame:
+    """token, class: tokens of ``least`` labelled URLs; those that the same URLs have share a class.
+
+    Two sums of hashes stand for the set of URLs that have a token.
+    """
+    numbered = written(labelled.select(F.monotonically_increasing_id().alias("row"), "tokens"), "labelled")
+    sums = [F.sum(F.shiftrightunsigned(F.xxhash64("row", F.lit(i)), 24)).alias(f"sum{i}") for i in (0, 1)]
+    of = numbered.select("row", F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"), *sums)
+    frequent = written(of.where(F.col("n") >= least), "tokens")
+    names = frequent.groupBy("n", "sum0", "sum1").agg(F.min("token").alias("class"))
+    return frequent.join(names, ["n", "sum0", "sum1"]).select("token", "class")
+
+
+def in_classes(urls: DataFrame, classes: DataFrame, *key: str) -> DataFrame:
+    """Rows with ``tokens`` in place of which their classes stand; each row has its own ``key``."""
+    found = urls.select(*key, F.explode_outer("tokens").alias("token")).join(classes, "token", "left")
+    return found.groupBy(*key).agg(F.collect_set("class").alias("tokens"))
 
 
 def mine(labelled: DataFrame, mining: Mining) -> DataFrame:
@@ -157,21 +186,23 @@ def judge_urls(
     parsed = parsed.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     parsed = parsed.select(
         "url",
-        url_tokens(F.col("host"), F.col("path"), F.col("url"), mining.tokens).alias("tokens"),
+        url_tokens(F.col("host"), F.col("path"), F.col("url")).alias("tokens"),
         policy_rule(policy, F.col("host"), F.col("path")).alias("fixed"),
         (F.col("host") != "").alias("whole"),
     )
     urls = written(parsed.where("whole"), "urls")
     if labelled is None:
-        known = urls.where("fixed IS NOT NULL").select("tokens", F.col("fixed.verdict").alias("verdict"))
+        known = urls.where("fixed IS NOT NULL").select("url", "tokens", F.col("fixed.verdict").alias("verdict"))
     else:
         votes = labelled.where("url IS NOT NULL AND verdict IS NOT NULL").groupBy("url", "verdict").count()
         given = votes.groupBy("url").agg(F.max(F.struct("count", "verdict")).alias("v")).select("url", "v.verdict")
         known = given.select(
-            url_tokens(host_of(F.col("url")), path_of(F.col("url")), F.col("url"), mining.tokens).alias("tokens"), "verdict"
+            "url", url_tokens(host_of(F.col("url")), path_of(F.col("url")), F.col("url")).alias("tokens"), "verdict"
         )
-    rules = pruned(mine(known, mining))
-    mined = matched(urls.where("fixed IS NULL").select("url", "tokens"), rules)
+    # A URL has a class if it has any of its tokens: rules over classes stand for those over tokens.
+    classes = token_classes(known, mining.least)
+    rules = pruned(mine(written(in_classes(known, classes, "url", "verdict"), "known"), mining))
+    mined = matched(in_classes(urls.where("fixed IS NULL"), classes, "url"), rules)
     rows = packed(
         pages,
         F.col(url).alias("u"),

@@ -115,6 +115,25 @@ def test_the_urls_a_rule_needs_do_not_grow_with_the_corpus(spark):
     assert got == {1: "block", 2: "allow"}
 
 
+def test_the_whole_url_counts(spark):
+    """Deep folders, later query keys, values and inner host labels tell block from allow."""
+    bad = ["http://h{}.org/a/b/casino/{}", "http://h{}.org/a?id=1&aff=spam{}", "http://h{}.org/a?page=2&ref={}", "http://x.bets.y.h{}.org/a/{}"]
+    good = ["http://h{}.org/a/b/news/{}", "http://h{}.org/a?id=1&from=feed{}", "http://h{}.org/a?page=2&at={}", "http://x.blog.y.h{}.org/a/{}"]
+    known = [(u.format(i, i), v) for us, v in ((bad, "block"), (good, "allow")) for u in us for i in range(30)]
+    labelled = spark.createDataFrame(known, "url string, verdict string")
+    more = [(i, u.format(77, 77), *["x"] * 4) for i, u in enumerate([*bad, *good])]
+    got = {r["page_id"]: r["verdict"] for r in dicts(judge_urls(spark.createDataFrame(more, SCHEMA), [], labelled))}
+    assert got == {i: "block" if i < 4 else "allow" for i in range(8)}
+
+
+def test_deep_paths_do_not_multiply_rules(spark):
+    deep = "/".join(f"d{chr(97 + i)}" for i in range(24))
+    known = [(f"http://h.org/{deep}/{i}", "block") for i in range(30)] + [(f"http://g{i}.org/{i}", "allow") for i in range(30)]
+    more = spark.createDataFrame([(1, f"http://h.org/{deep}/77", *["x"] * 4)], SCHEMA)
+    got = dicts(judge_urls(more, [], spark.createDataFrame(known, "url string, verdict string")))
+    assert got[0]["verdict"] == "block"
+
+
 def test_nothing_given_and_nothing_labelled(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x", *["x"] * 4)], SCHEMA)
     none = spark.createDataFrame([], "url string, verdict string")
