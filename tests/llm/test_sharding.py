@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from sedimenta.llm import queries
 from sedimenta.llm.sharding import Shuffle, communication_matrix, hypergeometric, random_shards
 from tests.llm.cases import dicts, empty_documents, odd_documents
 
@@ -78,3 +79,12 @@ def test_empty_table(spark):
 
 def test_no_python_in_the_plan(spark):
     assert "Python" not in random_shards(odd_documents(spark))._jdf.queryExecution().toString()
+
+
+def test_the_query_shards_whole_texts(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(queries.sharding, "random_shards", lambda docs: given.append(docs) or random_shards(docs))
+    got = dicts(queries.op4_shards(spark, "/root/testdata/sf0.001"))
+    assert given[0].columns == ["doc_id", "text"] and len(got) == given[0].count()
+    size = {r["doc_id"]: len((r["text"] or "").encode()) + 8 for r in dicts(given[0])}
+    assert all(r["size"] == size[r["doc_id"]] for r in got)
