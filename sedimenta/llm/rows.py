@@ -30,8 +30,10 @@ def packed(df: DataFrame, *new: Column) -> DataFrame:
 
 
 def unpacked(df: DataFrame, **new: Column) -> DataFrame:
-    """Input columns again, then the new ones; a new one takes the place of an input column of its name."""
-    fields = [f.name for f in df.schema[ROW].dataType.fields if f.name not in new]
+    """Input columns again, then the new ones; a new one takes the place of an input column of its name,
+    in whatever letter case."""
+    taken = {name.lower() for name in new}
+    fields = [f.name for f in df.schema[ROW].dataType.fields if f.name.lower() not in taken]
     return df.select(
         *[field(name).alias(name) for name in fields], *[c.alias(name) for name, c in new.items()]
     )
