@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from sedimenta.llm import collocations as C
+from sedimenta.llm.fmindex import phrases
+from tests.llm.cases import dicts, empty_documents, odd_documents
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows: list[tuple[str | None, str | None]], params: C.Collocations) -> list[dict]:
+    """The contract by hand, one language after the other."""
+    counts: dict[str, Counter] = {}
+    for lang, text in rows:
+        f = counts.setdefault("und" if lang is None else lang, Counter())
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for k in range(1, params.longest + 1):
+                f.update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    out = []
+    for lang, f in counts.items():
+        n = sum(c for p, c in f.items() if len(p) == 1)
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= params.least}
+        kept = []
+        for p, a in candidates.items():
+            longer = any(
+                len(q) > len(p) and 100 * b >= params.contained * a
+                and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))
+                for q, b in candidates.items()
+            )
+            if longer:
+                continue
+            cuts = [(1000 * a * n // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            kept.append({"lang": lang, "phrase": " ".join(p), "a": a, "l": f[p[:k]], "r": f[p[k:]], "n": n, "score": score})
+        kept.sort(key=lambda r: (-r["score"], -r["a"], r["phrase"].encode()))
+        out += [r | {"rank": i} for i, r in enumerate(kept[: params.most], 1)]
+    return out
+
+
+def _sorted(rows: list[dict]) -> list[dict]:
+    return sorted(rows, key=lambda r: (r["lang"], r["rank"]))
+
+
+def random_rows(seed: int, n: int = 120) -> list[tuple[str | None, str | None]]:
+    rng = random.Random(seed)
+    words = ["the", "The", "of", "a", "é", "É", "漢字", "b c", "x-y", "\x1f", "\x00", *[f"w{i}" for i in range(12)]]
+    passage = "one two three four five six seven"
+    rows: list[tuple[str | None, str | None]] = []
+    for _ in range(n):
+        text = "".join(
+            rng.choice([*words, passage]) + rng.choice([" "] * 12 + ["  ", "\t", ". ", ",", "\n", "\r\n", "\x0b", ";", "!?"])
+            for _ in range(rng.randrange(60))
+        )
+        rows.append((rng.choice(["en", "en", "de", None, "und", ""]), text))
+    return [*rows, ("en", None), (None, ""), ("xx", "..."), ("en", "the of " * 700), ("en", passage), ("de", "a a a a a a a")]
+
+
+@pytest.mark.parametrize(
+    "params",
+    [
+        C.Collocations(least=8, shard_words=400),
+        C.Collocations(least=3, longest=3, most=20, shard_words=150),
+        C.Collocations(least=5, longest=2, shard_words=10_000),
+        C.Collocations(least=6, contained=70, shard_words=300),
+    ],
+)
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_brute_force(spark, params, seed):
+    rows = random_rows(seed)
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    found = _sorted(dicts(C.mine(docs, params)))
+    assert found == _sorted(brute(rows, params))
+    assert found
+
+
+def test_phrase_frequent_in_no_shard_is_found(spark):
+    """Frequencies are sums: each of 40 texts is a shard of its own."""
+    rows = [("en", f"one two q{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    found = dicts(C.mine(docs, C.Collocations(least=40, shard_words=1)))
+    assert [(r["phrase"], r["a"], r["n"]) for r in found] == [("one two", 40, 120)]
+
+
+def test_products_beyond_64_bits(spark):
+    candidates = spark.createDataFrame([("en", "a b", 7_000_000_000_003)], "lang string, phrase string, f long")
+    words = spark.createDataFrame([("en", "a", 8_000_000_000_009), ("en", "b", 7_100_000_000_001)], candidates.schema)
+    totals = spark.createDataFrame([("en", 90_000_000_000_000_007)], "lang string, n long")
+    (row,) = C._scored(candidates, words, totals).collect()
+    assert row["cut"]["score"] == 1000 * 7_000_000_000_003 * 90_000_000_000_000_007 // (8_000_000_000_009 * 7_100_000_000_001)
+
+
+def test_odd_rows_and_clashing_names(spark):
+    docs = odd_documents(spark).withColumnRenamed("source", "lang").withColumnRenamed("key", "phrase")
+    rows = [(r["lang"], r["text"]) for r in docs.collect()]
+    params = C.Collocations(least=4, shard_words=5000)
+    assert _sorted(dicts(C.mine(docs, params))) == _sorted(brute(rows, params))
+
+
+def test_no_rows(spark):
+    docs = empty_documents(spark).withColumnRenamed("source", "lang")
+    assert C.mine(docs).collect() == []
+
+
+@pytest.mark.parametrize("longest", [2, 3, 4, 5, 6])
+def test_index_lists_every_phrase_once(longest):
+    rng = random.Random(longest)
+    for size in (1, 2, 3, 30, 400):
+        text = np.array([0] + [rng.choice([0, 1, 1, 2, 3, 4]) for _ in range(size)])
+        pieces = [p for p in "".join(map(str, text)).split("0") if p]
+        for k, (columns, counts) in enumerate(phrases(text, longest), 2):
+            want = Counter(p[i : i + k] for p in pieces for i in range(len(p) - k + 1))
+            found = {"".join(map(str, w)): int(n) for *w, n in zip(*columns, counts, strict=True)}
+            assert found == want
