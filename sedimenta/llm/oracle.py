@@ -107,8 +107,137 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(b, doc_id))
 FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least_id USING (doc_id)
 """
 
+_DRAW = "CAST('0x' || substr(sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), {at}, 8) AS BIGINT)"
+
+_FIM = rf"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         {_DRAW.format(at=1)} AS h1, {_DRAW.format(at=9)} AS h2,
+         {_DRAW.format(at=17)} AS h3, {_DRAW.format(at=25)} AS h4
+  FROM documents
+), cuts AS (
+  SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS one,
+         greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS two,
+         CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM units
+), parts AS (
+  SELECT *, array_to_string(list_slice(u, 1, one), '') AS p,
+         array_to_string(list_slice(u, one + 1, two), '') AS m,
+         array_to_string(list_slice(u, two + 1, n), '') AS s
+  FROM cuts
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+_COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+  )
+), runs AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+  FROM (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+    FROM pieces, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k
+  )
+), often AS (
+  SELECT lang, k, phrase, count(*) AS f FROM runs GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f) AS n FROM often WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w FROM often WHERE k > 1 AND f >= 100
+), inside AS (
+  SELECT lang, a, unnest([array_to_string(w[:len(w) - 1], ' '), array_to_string(w[2:], ' ')]) AS phrase
+  FROM candidates WHERE len(w) > 2
+), cuts AS (
+  SELECT lang, phrase, a, j, array_to_string(w[:j], ' ') AS one, array_to_string(w[j + 1:], ' ') AS two
+  FROM (SELECT *, unnest(range(1, len(w))) AS j FROM candidates)
+), scored AS (
+  SELECT lang, cuts.phrase, a, j, x.f AS l, y.f AS r, CAST(n AS BIGINT) AS n,
+         CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts JOIN totals USING (lang)
+  JOIN often x ON x.lang = cuts.lang AND x.phrase = one
+  JOIN often y ON y.lang = cuts.lang AND y.phrase = two
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest WHERE NOT EXISTS (
+    SELECT 1 FROM inside WHERE inside.lang = lowest.lang AND inside.phrase = lowest.phrase
+    AND 100 * inside.a >= 100 * lowest.a
+  )
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM placed WHERE rank <= 2000
+"""
+
+#: CRC-32 of the id as text, a byte and a bit at a time, by its fixed polynomial.
+_CRC = """
+xor(4294967295, list_reduce(
+  list_concat([4294967295], list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''),
+                                           lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda crc, byte: list_reduce(
+    list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))
+))
+"""
+
+_LANGUAGE = rf"""
+WITH docs AS (
+  SELECT doc_id, lang, {_CRC} % 5 = 0 AS held_out,
+         regexp_extract_all(lower(coalesce(text, '')), '\pL+') AS w
+  FROM documents
+), words AS (
+  SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word FROM docs) GROUP BY ALL
+), padded AS (
+  SELECT doc_id, n, ' ' || word || ' ' AS word FROM words
+), grams AS (
+  SELECT doc_id, substr(word, CAST(i AS BIGINT), k) AS gram, sum(n) AS n
+  FROM (
+    SELECT doc_id, word, n, k, unnest(range(1, length(word) - k + 2)) AS i
+    FROM padded, (SELECT unnest([1, 2, 3]) AS k)
+  ) WHERE substr(word, CAST(i AS BIGINT), k) <> ' ' GROUP BY ALL
+), ranked AS (
+  SELECT doc_id, gram, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, length(gram), gram) AS own
+  FROM grams QUALIFY own <= 400
+), learned AS (
+  SELECT lang, gram, sum(n) AS n FROM grams JOIN docs USING (doc_id)
+  WHERE NOT held_out AND lang IS NOT NULL GROUP BY lang, gram
+), profiles AS (
+  SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, length(gram), gram) AS rank
+  FROM learned QUALIFY rank <= 400
+), distances AS (
+  SELECT doc_id, langs.lang AS lang, count(*) AS m,
+         sum(CASE WHEN rank IS NULL THEN 400 ELSE abs(rank - own) END) AS d
+  FROM ranked CROSS JOIN (SELECT DISTINCT lang FROM profiles) langs
+  LEFT JOIN profiles ON profiles.lang = langs.lang AND profiles.gram = ranked.gram
+  GROUP BY ALL
+), answers AS (
+  SELECT doc_id, arg_min(lang, (d, lang)) AS lang_pred,
+         list_sort(list(CAST(d AS DOUBLE))) AS d, max(m) * 400 AS most
+  FROM distances GROUP BY doc_id
+)
+SELECT doc_id, held_out, coalesce(lang_pred, 'und') AS lang_pred,
+       CASE WHEN lang_pred IS NULL OR coalesce(d[2], most) = 0 THEN 0
+            ELSE 1 - d[1] / coalesce(d[2], most) END AS score
+FROM docs LEFT JOIN answers USING (doc_id)
+"""
+
 SQL: dict[str, str] = {
     "op2_decontaminate": _DECONTAMINATE,
     "op9_chat": _CHAT,
     "op10_near_duplicates": _NEAR,
+    "op11_fill_in_middle": _FIM,
+    "op12_collocations": _COLLOCATIONS,
+    "op13_language": _LANGUAGE,
 }

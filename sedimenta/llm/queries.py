@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm import (
     chat,
+    collocations,
     decontaminate,
+    fim,
     importance,
+    language,
     mixing,
     neardup,
     quality,
@@ -141,6 +144,33 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fim.fill_in_middle(docs)
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        F.length("prefix").cast("long").alias("prefix_chars"),
+        F.length("middle").cast("long").alias("middle_chars"),
+        digest(F.col("output")).alias("output_sha256"),
+        digest(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(whole(F.col("doc_id").cast("string")).cast("binary")) % 5 == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
+    profiles = language.fit(docs, ~F.col("held_out"))
+    judged = language.identify(docs.drop("lang"), profiles)
+    return judged.select("doc_id", "held_out", "lang_pred", "score")
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontaminate": op2_decontaminate,
@@ -152,4 +182,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_chat": op9_chat,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_collocations": op12_collocations,
+    "op13_language": op13_language,
 }
