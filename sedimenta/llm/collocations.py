@@ -5,10 +5,16 @@ has its own bidirectional FM-index, which lists its phrases with their counts; t
 shards are the frequencies. A phrase is as frequent as asked for only if its words are, and its
 pairs of words, so the texts are cut at rare words first and at rare pairs then, before phrases of
 full length are listed: what the shards send grows with what is frequent.
+
+Shards send their counts in blocks, one for each bucket of keys. A task adds up one bucket, and
+answers every block with one bit a key. Words and phrases are their own keys. Pairs are asked by
+hash: two pairs that share one can seem frequent together, which leaves text in that the last step
+counts exactly, but none that is frequent is lost.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +30,7 @@ from pyspark.sql import functions as F
 from sedimenta.llm.fmindex import phrases
 from sedimenta.llm.ranked import first_rows
 from sedimenta.llm.rows import written
+from sedimenta.llm.shingles import mixed
 from sedimenta.llm.words import whole
 from sedimenta.session import session_conf
 
@@ -37,8 +45,10 @@ UNKNOWN = "und"
 
 #: Parts of phrases are joined in so many copies: one word may be in a third of all phrases.
 COPIES = 8
-#: Shards that one Arrow batch holds.
-SHARDS_AT_ONCE = {"spark.sql.execution.arrow.maxRecordsPerBatch": "8"}
+#: Shards or blocks that one Arrow batch holds.
+FEW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "8"}
+#: Keys that a bucket holds, more or less; a key that all shards send is one of them for each.
+BUCKET = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -51,18 +61,56 @@ class Collocations:
     contained    a candidate inside a longer one that has this share of its occurrences, in
                  percent, is dropped
     shard_words  words of a shard, and of one text more
+    hash_bits    pairs are asked by so many bits; fewer leave more text to be counted exactly
     """
 
     least: int = 100
     longest: int = 5
     most: int = 2000
     contained: int = 100
-    shard_words: int = 1_000_000
+    shard_words: int = 2_000_000
+    hash_bits: int = 40
+
+
+def _zipped(data: bytes) -> bytes:
+    """Compressed, with the length in front."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unzipped(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
+def _numbers(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(_unzipped(data), kind)
+
+
+def _hashes_zipped(hashes: np.ndarray) -> bytes:
+    """Hashes in order as differences, a byte of all of them after the other."""
+    return _zipped(np.diff(hashes, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _hashes(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(_unzipped(data), np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _keys(data: bytes) -> list[bytes]:
+    """Words or phrases of a block; none of them holds the end of a line."""
+    text = _unzipped(data)
+    return text.split(b"\n") if text else []
+
+
+def _row(names: str, *values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names.split())
 
 
 class _Shard:
     """Texts of one language as numbers of words in order of first use; 0 ends a piece."""
 
+    columns = "shard lang words kinds text keys counts"
+    schema = "shard long, lang string, words long, kinds long, text binary, keys binary, counts binary"
+
     def __init__(self) -> None:
         self.numbers: defaultdict[bytes, int] = defaultdict()
         self.numbers.default_factory = self.numbers.__len__
@@ -80,13 +128,9 @@ class _Shard:
 
     def row(self, shard: int, lang: str) -> pa.RecordBatch:
         text = np.concatenate(self.texts)
-        words = pa.array(list(self.numbers)[1:], pa.binary()).cast(pa.string(), safe=False)
         counts = np.bincount(text, minlength=len(self.numbers))[1:]
-        return _row(shard=shard, lang=lang, text=_bytes(text), words=words, counts=pa.array(counts, pa.int64()))
-
-
-def _bytes(text: np.ndarray) -> bytes:
-    return _joined_breaks(text).astype(np.int32).tobytes()
+        stored = (_joined_breaks(text).tobytes(), b"\n".join([*self.numbers][1:]), counts.tobytes())
+        return _row(self.columns, shard, lang, int(counts.sum()), len(counts), *map(_zipped, stored))
 
 
 def _joined_breaks(text: np.ndarray) -> np.ndarray:
@@ -94,17 +138,6 @@ def _joined_breaks(text: np.ndarray) -> np.ndarray:
     return text[np.concatenate(([True], (text[1:] != 0) | (text[:-1] != 0)))]
 
 
-def _row(**columns) -> pa.RecordBatch:
-    """One row; an array becomes a list."""
-
-    def of(value) -> pa.Array:
-        if isinstance(value, pa.Array):
-            return pa.ListArray.from_arrays(pa.array([0, len(value)], pa.int32()), value)
-        return pa.array([value])
-
-    return pa.RecordBatch.from_arrays([of(v) for v in columns.values()], list(columns))
-
-
 def _shards(shard_words: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -116,7 +149,7 @@ def _shards(shard_words: int):
                 words += held[lang].add(text)
                 # A full shard goes; so do all of many languages' small ones.
                 full = [lang] if held[lang].size >= shard_words else []
-                for done in [*held] if words >= 4 * shard_words else full:
+                for done in [*held] if words >= 2 * shard_words else full:
                     words -= held[done].size
                     yield held[done].row(number, done)
                     del held[done]
@@ -127,16 +160,104 @@ def _shards(shard_words: int):
     return build
 
 
-def _strings(words: pa.Array, columns: list[np.ndarray]) -> pa.Array:
-    """Phrases as text: words by their numbers from 1, with blanks between."""
-    parts = [words.take(pa.array(c - 1)) for c in columns]
-    return pc.binary_join_element_wise(*parts, " ")
+# Blocks: what one shard asks of one bucket.
+_BLOCK = "lang bucket shard keys counts"
+_BLOCK_SCHEMA = "lang string, bucket long, shard long, keys binary, counts binary"
+_ANSWER_SCHEMA = "lang string, bucket long, shard long, bits binary, phrase string, f long"
+
+
+def _dealt(keys: list[bytes], buckets: int) -> np.ndarray:
+    """Bucket of each word or phrase."""
+    return np.fromiter(map(zlib.crc32, keys), np.int64, len(keys)) % buckets
+
+
+def _in_buckets(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket that has keys, with their places in order."""
+    order = np.argsort(bucket, kind="stable")
+    starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    for places in np.split(order, starts[1:]) if len(order) else []:
+        yield int(bucket[places[0]]), places
+
+
+def _ask(keys: list[bytes], counts: np.ndarray, buckets: int, lang: str, shard: int) -> Iterator[pa.RecordBatch]:
+    for bucket, places in _in_buckets(_dealt(keys, buckets)):
+        some = b"\n".join([keys[i] for i in places.tolist()])
+        yield _row(_BLOCK, lang, bucket, shard, _zipped(some), _zipped(counts[places].tobytes()))
+
+
+def _answer(least: int, bits: bool):
+    """Frequent words or phrases of a bucket with their frequencies, and a bit for each key asked."""
+
+    def add(table: pa.Table) -> pa.Table:
+        blocks = [_keys(data) for data in table.column("keys").to_pylist()]
+        counts = [_numbers(data, np.int64) for data in table.column("counts").to_pylist()]
+        number: dict[bytes, int] = {}
+        numbers = [np.fromiter((number.setdefault(k, len(number)) for k in b), np.int64, len(b)) for b in blocks]
+        sums = np.zeros(len(number), np.int64)
+        for places, n in zip(numbers, counts, strict=True):
+            sums[places] += n  # a key stands in a block once
+        often = sums >= least
+        found = [(k.decode("utf-8", "replace"), int(n)) for k, n, ok in zip(number, sums, often) if ok]
+        lang, bucket = table.column("lang")[0].as_py(), table.column("bucket")[0].as_py()
+        rows = [(lang, None, None, None, phrase, n) for phrase, n in found]
+        if bits:
+            shards = table.column("shard").to_pylist()
+            packed = (np.packbits(often[places]).tobytes() for places in numbers)
+            rows += [(lang, bucket, s, b, None, None) for s, b in zip(shards, packed, strict=True)]
+        return _answers(rows)
+
+    return add
+
+
+def _answer_hashes(least: int):
+    """A bit for each hash asked."""
+
+    def add(table: pa.Table) -> pa.Table:
+        blocks = [_hashes(data) for data in table.column("keys").to_pylist()]
+        kind = np.min_scalar_type(least)
+        counts = np.concatenate([_numbers(data, kind) for data in table.column("counts").to_pylist()])
+        _, numbers = np.unique(np.concatenate(blocks), return_inverse=True)
+        often = np.bincount(numbers, weights=counts) >= least
+        answers = np.split(often[numbers], np.cumsum([len(b) for b in blocks])[:-1])
+        columns = (table.column(c).to_pylist() for c in ("lang", "bucket", "shard"))
+        packed = (np.packbits(a).tobytes() for a in answers)
+        return _answers([(lang, b, s, bits, None, None) for lang, b, s, bits in zip(*columns, packed, strict=True)])
+
+    return add
+
+
+_ANSWER = pa.schema(
+    [("lang", pa.string()), ("bucket", pa.int64()), ("shard", pa.int64()), ("bits", pa.binary()), ("phrase", pa.string()), ("f", pa.int64())]
+)
+
+
+def _answers(rows: list[tuple]) -> pa.Table:
+    columns = zip(*rows) if rows else [[] for _ in _ANSWER]
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ANSWER)], schema=_ANSWER)
+
+
+def _marked(bucket: np.ndarray, answers: list[dict]) -> np.ndarray:
+    """Whether each key is frequent, put together from the bits of its bucket."""
+    bits = {a["bucket"]: a["bits"] for a in answers}
+    kept = np.zeros(len(bucket), bool)
+    for number, places in _in_buckets(bucket):
+        if number in bits:
+            kept[places] = np.unpackbits(np.frombuffer(bits[number], np.uint8), count=len(places)).astype(bool)
+    return kept
+
+
+def _ask_words(buckets: int):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from _ask(_keys(row["keys"]), _numbers(row["counts"], np.int64), buckets, row["lang"], row["shard"])
+
+    return ask
 
 
 def _cut_at_rare_words(text: np.ndarray, kept: np.ndarray) -> np.ndarray:
-    """The text with the kept words (places from 0) numbered anew from 1, the others as breaks."""
-    renumbered = np.zeros(max(int(text.max()), int(kept.max(initial=0)) + 1) + 1, np.int64)
-    renumbered[kept + 1] = np.arange(1, len(kept) + 1)
+    """The text with the kept words (a flag for each, from number 1) numbered anew, the others as breaks."""
+    renumbered = np.append(0, np.where(kept, np.cumsum(kept), 0))
     text = _joined_breaks(renumbered[text])
     following, preceding = np.append(text[1:], 0), np.append(0, text[:-1])
     return _joined_breaks(np.where((following == 0) & (preceding == 0), 0, text))
@@ -155,37 +276,55 @@ def _cut_at_rare_pairs(text: np.ndarray, first: np.ndarray, second: np.ndarray)
     return _joined_breaks(np.append(0, cut[stays]))
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shards cut at rare words, with their pairs of words."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            shard, lang, text, kept = (batch.column(c)[i] for c in ("shard", "lang", "text", "kept"))
-            at, words = kept.values.field("at").to_numpy(), kept.values.field("word")
-            cut = _cut_at_rare_words(np.frombuffer(text.as_py(), np.int32), at)
-            for columns, counts in phrases(cut, 2):
-                yield _row(
-                    shard=shard.as_py(), lang=lang.as_py(), text=_bytes(cut), words=words,
-                    phrases=_strings(words, columns), counts=pa.array(counts, pa.int64()),
-                )
+class _Pairs:
+    """A shard cut at rare words: its words, its text, and the hashes of its pairs in order."""
+
+    def __init__(self, row: dict, word_buckets: int, bits: int) -> None:
+        self.bits = bits
+        words = _keys(row["keys"])
+        kept = _marked(_dealt(words, word_buckets), row["answers"])
+        self.words = [w for w, ok in zip(words, kept.tolist()) if ok]
+        self.text = _cut_at_rare_words(_numbers(row["text"], np.int32), kept)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
+        (first, second), counts = next(phrases(self.text, 2), ((np.zeros(0, np.int64),) * 2, np.zeros(0, np.int64)))
+        pair = mixed(mixed(hashes[first - 1]) + hashes[second - 1]) >> np.uint64(64 - bits)
+        order = np.argsort(pair, kind="stable")
+        self.first, self.second, self.counts, self.hashes = (c[order] for c in (first, second, counts, pair))
+
+    def buckets(self, number: int) -> np.ndarray:
+        """Neighbouring hashes share a bucket, and compress well as a block."""
+        width = -(-(1 << self.bits) // number)
+        return (self.hashes // np.uint64(width)).astype(np.int64)
 
 
-def _phrases(longest: int):
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Phrases of shards cut at rare pairs."""
+def _ask_pairs(word_buckets: int, pair_buckets: int, least: int, bits: int):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                lang, text, words, kept = (batch.column(c)[i] for c in ("lang", "text", "words", "kept"))
-                parts = pc.list_flatten(pc.split_pattern(kept.values, " "))
-                numbers = pc.index_in(parts, value_set=words.values).to_numpy().astype(np.int64) + 1
-                whole_text = np.frombuffer(text.as_py(), np.int32).astype(np.int64)
-                cut = _cut_at_rare_pairs(whole_text, numbers[0::2], numbers[1::2])
-                for columns, counts in phrases(cut, longest):
-                    if len(counts):
-                        found = _strings(words.values, columns)
-                        langs = pa.repeat(lang, len(found))
-                        yield pa.RecordBatch.from_arrays([langs, found, pa.array(counts, pa.int64())], ["lang", "phrase", "n"])
+            for row in batch.to_pylist():
+                pairs = _Pairs(row, word_buckets, bits)
+                # Counts beyond what is asked for make no difference.
+                counts = np.minimum(pairs.counts, least).astype(np.min_scalar_type(least))
+                for bucket, places in _in_buckets(pairs.buckets(pair_buckets)):
+                    keys, n = _hashes_zipped(pairs.hashes[places]), _zipped(counts[places].tobytes())
+                    yield _row(_BLOCK, row["lang"], bucket, row["shard"], keys, n)
 
-    return find
+    return ask
+
+
+def _list_phrases(word_buckets: int, pair_buckets: int, longest: int, bits: int):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                pairs = _Pairs(row, word_buckets, bits)
+                kept = _marked(pairs.buckets(pair_buckets), row["pair_answers"])
+                text = _cut_at_rare_pairs(pairs.text, pairs.first[kept], pairs.second[kept])
+                words = pa.array(pairs.words, pa.binary())
+                for columns, counts in phrases(text, longest):
+                    parts = [words.take(pa.array(c - 1)) for c in columns]
+                    keys = pc.binary_join_element_wise(*parts, b" ").to_pylist()
+                    yield from _ask(keys, counts, pair_buckets, row["lang"], row["shard"])
+
+    return ask
 
 
 def frequencies(docs: DataFrame, params: Collocations, lang: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -193,39 +332,29 @@ def frequencies(docs: DataFrame, params: Collocations, lang: str, text: str) ->
     given = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), whole(F.col(text)).alias("text")
     )
-    built = given.mapInArrow(
-        _shards(params.shard_words), "shard long, lang string, text binary, words array<string>, counts array<long>"
-    )
-    shards = written(built, "shards")
-    sizes = shards.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda n, c: n + c).alias("n"))
-    totals = sizes.groupBy("lang").agg(F.sum("n").alias("n"))
-
-    def often(found: DataFrame, label: str) -> DataFrame:
-        sums = found.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-        return written(sums.where(F.col("f") >= params.least), label)
-
-    entries = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "entry"))
-    entries = entries.select("shard", "lang", "at", F.col("entry.words").alias("phrase"), F.col("entry.counts").alias("n"))
-    words = often(entries, "words")
-    known = entries.join(words, ["lang", "phrase"]).groupBy("shard").agg(
-        F.collect_list(F.struct("at", F.col("phrase").alias("word"))).alias("kept")
-    )
-    with session_conf(docs.sparkSession, SHARDS_AT_ONCE):
-        paired = written(
-            shards.select("shard", "lang", "text").join(known, "shard").mapInArrow(
-                _pairs,
-                "shard long, lang string, text binary, words array<string>, phrases array<string>, counts array<long>",
-            ),
-            "pairs",
-        )
-        each = paired.select("shard", "lang", F.explode(F.arrays_zip("phrases", "counts")).alias("entry"))
-        each = each.select("shard", "lang", F.col("entry.phrases").alias("phrase"), F.col("entry.counts").alias("n"))
-        pairs = often(each, "frequent-pairs")
-        linked = each.join(pairs, ["lang", "phrase"]).groupBy("shard").agg(F.collect_list("phrase").alias("kept"))
-        found = paired.select("shard", "lang", "text", "words").join(linked, "shard").mapInArrow(
-            _phrases(params.longest), "lang string, phrase string, n long"
-        )
-        return words, often(found, "phrases"), totals
+    shards = written(given.mapInArrow(_shards(params.shard_words), _Shard.schema), "shards")
+    totals = shards.groupBy("lang").agg(F.sum("words").alias("n"))
+    words, kinds = shards.agg(F.sum("words"), F.sum("kinds")).first()
+    word_buckets, pair_buckets = (1 + (n or 0) // BUCKET for n in (kinds, words))
+
+    def added(blocks: DataFrame, answer, label: str) -> DataFrame:
+        return written(blocks.groupBy("lang", "bucket").applyInArrow(answer, _ANSWER_SCHEMA), label)
+
+    def for_shards(answers: DataFrame, name: str) -> DataFrame:
+        each = answers.where("shard IS NOT NULL").groupBy("shard")
+        return each.agg(F.collect_list(F.struct("bucket", "bits")).alias(name))
+
+    often = lambda answers: answers.where("phrase IS NOT NULL").select("lang", "phrase", "f")
+    with session_conf(docs.sparkSession, FEW_ROWS):
+        asked = shards.select("lang", "shard", "keys", "counts").mapInArrow(_ask_words(word_buckets), _BLOCK_SCHEMA)
+        word_answers = added(asked, _answer(params.least, True), "words")
+        read = shards.select("shard", "lang", "text", "keys").join(for_shards(word_answers, "answers"), "shard")
+        asked = read.mapInArrow(_ask_pairs(word_buckets, pair_buckets, params.least, params.hash_bits), _BLOCK_SCHEMA)
+        pair_answers = added(asked, _answer_hashes(params.least), "pairs")
+        read = read.join(for_shards(pair_answers, "pair_answers"), "shard")
+        listed = read.mapInArrow(_list_phrases(word_buckets, pair_buckets, params.longest, params.hash_bits), _BLOCK_SCHEMA)
+        found = added(listed, _answer(params.least, False), "phrases")
+    return often(word_answers), often(found), totals
 
 
 def _scored(candidates: DataFrame, words: DataFrame, totals: DataFrame) -> DataFrame:

@@ -88,6 +88,25 @@ def test_phrase_frequent_in_no_shard_is_found(spark):
     assert [(r["phrase"], r["a"], r["n"]) for r in found] == [("one two", 40, 120)]
 
 
+@pytest.mark.parametrize("least", [2, 300])
+def test_many_buckets(spark, monkeypatch, least):
+    """Every key in a bucket of its own, or nearly so; frequencies beyond a byte."""
+    monkeypatch.setattr(C, "BUCKET", 50)
+    rows = random_rows(5, 60) + [("en", "one two three " * 200)] * 2
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    params = C.Collocations(least=least, shard_words=300)
+    found = _sorted(dicts(C.mine(docs, params)))
+    assert found == _sorted(brute(rows, params))
+    assert found
+
+
+def test_pairs_that_share_a_hash_lose_nothing(spark):
+    rows = random_rows(6)
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    params = C.Collocations(least=6, shard_words=500, hash_bits=3)
+    assert _sorted(dicts(C.mine(docs, params))) == _sorted(brute(rows, params))
+
+
 def test_products_beyond_64_bits(spark):
     candidates = spark.createDataFrame([("en", "a b", 7_000_000_000_003)], "lang string, phrase string, f long")
     words = spark.createDataFrame([("en", "a", 8_000_000_000_009), ("en", "b", 7_100_000_000_001)], candidates.schema)
