@@ -341,8 +341,9 @@ def frequencies(docs: DataFrame, params: Collocations, lang: str, text: str) ->
         return written(blocks.groupBy("lang", "bucket").applyInArrow(answer, _ANSWER_SCHEMA), label)
 
     def for_shards(answers: DataFrame, name: str) -> DataFrame:
+        """Bits for each shard; joined by sorting at any size, as they grow with the corpus."""
         each = answers.where("shard IS NOT NULL").groupBy("shard")
-        return each.agg(F.collect_list(F.struct("bucket", "bits")).alias(name))
+        return each.agg(F.collect_list(F.struct("bucket", "bits")).alias(name)).hint("merge")
 
     often = lambda answers: answers.where("phrase IS NOT NULL").select("lang", "phrase", "f")
     with session_conf(docs.sparkSession, FEW_ROWS):
