@@ -6,36 +6,39 @@ or a directory of part files.
 
 from __future__ import annotations
 
+import posixpath
 import re
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import timedelta, timezone
+from functools import reduce
 from math import ceil
 
 from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, DataFrameReader, Row, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.contracts import ContractError, TableContract, quoted_column
 from sedimenta.functions.period import (
+    ANCHORS,
     PERIOD_IN_PATH,
-    PeriodRange,
+    Period,
     PeriodSlice,
     period_by_slice,
     period_of,
     slice_of,
 )
 from sedimenta.session import session_conf
+from sedimenta.sources.footers import FAULT, FINGERPRINT, NO_CLIENT, fingerprinted
 
 # Every *.parquet below the root, at any depth; the suffix is matched case-sensitively.
 FILE_SET = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
 
-#: Column of rejected rows that names their file.
-SOURCE_PATH = "source_path"
-
 _PROBES_AT_ONCE = 8
 
 
@@ -45,11 +48,16 @@ class EmptyLanding(Exception):
 
 @dataclass(frozen=True)
 class LandingSummary:
-    """What the listing says about a file set; one entry per month, not per file."""
+    """What the listing says about a file set; one entry per month, not per file.
+
+    ``anchor`` is the way to name the place of the period that needs the fewest ``slices``.
+    """
 
     files: int
     bytes: int
     files_without_period: int
+    months: frozenset[tuple[int, int]]
+    anchor: str
     slices: frozenset[PeriodSlice]
 
 
@@ -59,8 +67,7 @@ class LandingScan:
 
     ``groups``: one DataFrame per footer schema and period position, source columns plus
     year and month.
-    ``without_period``: one DataFrame per footer schema of the files that name no period, with
-    the path of each row.
+    ``without_period``: one DataFrame per footer schema of the files that name no period.
     """
 
     groups: tuple[DataFrame, ...]
@@ -88,19 +95,33 @@ def _empty_if_missing(root: str) -> Iterator[None]:
         raise
 
 
+def file_key() -> Column:
+    """Number of a landing file in one state, from its path, size and time: the same in a listing
+    and in the rows read. Two of n files share one with probability n²/2⁶⁵."""
+    at = F.col("_metadata")
+    parts = (at.getField(f"file_{name}") for name in ("path", "size", "modification_time"))
+    return F.xxhash64(*parts)
+
+
 def landing_files(spark: SparkSession, root: str, pattern: str = PERIOD_IN_PATH) -> DataFrame:
-    """One row per file: drop, bytes, year, month, slice. No file content is read."""
+    """One row per file: path, drop, bytes, modified, key, year, month, the slice by each anchor.
+
+    No file content is read.
+    """
     with _empty_if_missing(root):
         files = _reader(spark).format("binaryFile").load(root)
     uri = F.col("_metadata.file_path")
     year, month = period_of(uri, pattern)
     drop = F.regexp_extract("path", f"^(.*?(?:{pattern})[^/]*)", 1)
     return files.select(
+        "path",
         F.when(drop == "", F.col("path")).otherwise(drop).alias("drop"),
         F.col("length").alias("bytes"),
+        F.col("modificationTime").alias("modified"),
+        file_key().alias("key"),
         year.alias("year"),
         month.alias("month"),
-        slice_of(uri, pattern).alias("slice"),
+        *[slice_of(uri, pattern, anchor).alias(f"at_{anchor}") for anchor in ANCHORS],
     )
 
 
@@ -120,19 +141,28 @@ def _listing_tasks(spark: SparkSession) -> dict[str, str]:
 def _summarise(spark: SparkSession, files: DataFrame, root: str) -> LandingSummary:
     months = _listing(
         spark,
-        files.groupBy("year", "month", "slice").agg(
-            F.count("*").alias("files"), F.sum("bytes").alias("bytes")
+        files.groupBy("year", "month").agg(
+            F.count("*").alias("files"),
+            F.sum("bytes").alias("bytes"),
+            *[F.collect_set(f"at_{anchor}").alias(f"at_{anchor}") for anchor in ANCHORS],
         ),
     )
     if not months:
         raise EmptyLanding(f"no Parquet file under {root} for the months asked for")
     dated = [m for m in months if m["year"] is not None and m["month"] is not None]
     total = sum(m["files"] for m in months)
+    slices = {
+        anchor: frozenset(PeriodSlice(**at.asDict()) for m in dated for at in m[f"at_{anchor}"])
+        for anchor in ANCHORS
+    }
+    anchor = min(ANCHORS, key=lambda a: len(slices[a]))
     return LandingSummary(
         files=total,
         bytes=sum(m["bytes"] for m in months),
         files_without_period=total - sum(m["files"] for m in dated),
-        slices=frozenset(PeriodSlice(**m["slice"].asDict()) for m in dated),
+        months=frozenset((m["year"], m["month"]) for m in dated),
+        anchor=anchor,
+        slices=slices[anchor],
     )
 
 
@@ -243,54 +273,192 @@ def scan(
     root: str,
     contract: TableContract,
     pattern: str = PERIOD_IN_PATH,
-    period: PeriodRange | None = None,
+    period: Period | None = None,
+    listed: DataFrame | None = None,
+    wanted: DataFrame | None = None,
+    known: DataFrame | None = None,
+    keep: str | None = None,
 ) -> LandingScan:
-    """Scan every drop under ``root`` (within ``period``) with its year and month.
+    """Scan every drop under ``root`` with its year and month.
 
-    One scan of the root when all footers agree; else :func:`_scan_drops`. The scan is
-    created before the listing that checks it, so a file arriving in between is listed but
-    not read, never read unchecked.
+    ``period`` and ``wanted`` (a frame of ``path``) limit the files that are read. One scan of the
+    root when all of them are read and all footers agree; else one scan per distinct schema and
+    place of the period, see :func:`_scan_files`. The scan of the root is created before the listing
+    that checks it, so a file arriving in between is listed but not read, never read unchecked.
+
+    With ``keep`` the files that are read are written there with their fingerprints, and those of
+    ``known`` files are taken from a load before; ``listed`` is a listing that is there already.
     """
     with session_conf(spark, _listing_tasks(spark)):
+        every = period is None and wanted is None
         whole = None
-        if period is None:
+        if every and keep is None:
             with _empty_if_missing(root):
                 whole = _merged(spark, [root])
-        files = landing_files(spark, root, pattern)
-        if period is not None:
-            undated = F.col("year").isNull() | F.col("month").isNull()
-            files = files.where(undated | period.holds(F.col("year"), F.col("month")))
-        summary = _summarise(spark, files, root)
+        if listed is None:
+            listed = landing_files(spark, root, pattern)
+        files = listed.withColumn("inside", in_period(period))
+        if wanted is not None:
+            marked = wanted.select(F.col("path").alias("__path")).distinct()
+            files = files.join(marked, F.col("path") == F.col("__path"), "left")
+            files = files.withColumn("inside", F.col("inside") & F.col("__path").isNotNull()).drop("__path")
+        summary = _summarise(spark, files.where("inside"), root)
         if whole is not None and summary.files_without_period == 0 and len(summary.slices) == 1:
             frames = [(whole, next(iter(summary.slices)))]
         else:
-            disagree = period is None and whole is None and summary.files_without_period == 0
-            frames = _scan_drops(spark, files, disagree)
-
-        without_period: list[DataFrame] = []
-        if summary.files_without_period:
-            undated_drops = files.where("year IS NULL OR month IS NULL").select("drop")
-            paths = [r["drop"] for r in _listing(spark, undated_drops)]
-            without_period = [
-                df.withColumn(SOURCE_PATH, F.col("_metadata.file_path"))
-                for df, _ in schema_groups(spark, paths)
-            ]
+            disagree = every and whole is None and summary.files_without_period == 0
+            frames = _scan_files(spark, files, summary.anchor, root, disagree, known, keep)
 
     return LandingScan(
-        groups=tuple(_with_period(df, contract, at) for df, at in frames),
-        without_period=tuple(without_period),
+        groups=tuple(_with_period(df, contract, at) for df, at in frames if at is not None),
+        without_period=tuple(df for df, at in frames if at is None),
         summary=summary,
     )
 
 
-def _scan_drops(
-    spark: SparkSession, files: DataFrame, disagree: bool
-) -> list[tuple[DataFrame, PeriodSlice]]:
-    """One scan per distinct schema and period position, over named drops."""
-    dated = files.where("year IS NOT NULL AND month IS NOT NULL").select("drop", "slice").distinct()
-    drops: dict[PeriodSlice, list[str]] = {}
-    for row in _listing(spark, dated):
-        drops.setdefault(PeriodSlice(**row["slice"].asDict()), []).append(row["drop"])
+def in_period(period: Period | None) -> Column:
+    """Whether a listed file is of the months asked for; one without a month always is."""
+    if period is None:
+        return F.lit(True)
+    undated = F.col("year").isNull() | F.col("month").isNull()
+    return undated | period.holds(F.col("year"), F.col("month"))
+
+
+Frames = list[tuple[DataFrame, PeriodSlice | None]]
+
+
+def _scan_files(
+    spark: SparkSession,
+    files: DataFrame,
+    anchor: str,
+    root: str,
+    disagree: bool,
+    known: DataFrame | None,
+    keep: str | None,
+) -> Frames:
+    """One scan per distinct schema and place of the period; no place for files without period.
+
+    A constant number of jobs, and one for each distinct schema, however many files there are and
+    in whatever order their types change.
+    """
+    dated = F.col("year").isNotNull() & F.col("month").isNotNull()
+    place = F.when(dated, F.col(f"at_{anchor}")).alias("at")
+    columns = ("path", "bytes", "modified", "year", "month", "drop")
+    asked = files.where("inside").select(*columns, place)
+    tasks = spark.sparkContext.defaultParallelism
+    if known is None:
+        read = fingerprinted(asked, tasks)
+    else:
+        state = known.select("path", "bytes", "modified", FINGERPRINT)
+        both = asked.join(state, ["path", "bytes", "modified"], "left")
+        new = both.where(F.col(FINGERPRINT).isNull()).drop(FINGERPRINT)
+        old = both.where(F.col(FINGERPRINT).isNotNull()).withColumn(FAULT, F.lit(None).cast("string"))
+        read = fingerprinted(new, tasks).unionByName(old)
+    if keep is not None:
+        read.write.parquet(keep)
+        return _frames(spark, files, spark.read.schema(read.schema).parquet(keep), root, disagree)
+    read = read.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _frames(spark, files, read, root, disagree)
+    finally:
+        read.unpersist()
+
+
+def _frames(
+    spark: SparkSession, files: DataFrame, read: DataFrame, root: str, disagree: bool
+) -> Frames:
+    kinds = _listing(
+        spark,
+        read.groupBy(FINGERPRINT, FAULT).agg(
+            F.min("path").alias("path"), F.max("modified").alias("modified")
+        ),
+    )
+    for kind in kinds:
+        if kind[FAULT] == NO_CLIENT:
+            return _scan_drops(spark, read, disagree)
+        if kind[FAULT] is not None:
+            raise ContractError(f"CANNOT_READ_FILE_FOOTER {kind['path']}: {kind[FAULT]}")
+    schemas = _agreeing_kinds(
+        [(k[FINGERPRINT], _reader(spark).parquet(_literal_path(k["path"])).schema) for k in kinds]
+    )
+    number = reduce(
+        lambda rest, kind: F.when(F.col(FINGERPRINT).isin(kind[1][1]), kind[0]).otherwise(rest),
+        enumerate(schemas),
+        F.lit(None).cast("int"),
+    )
+    names = _names(spark, files, read.select("path", "at", number.alias("schema")), root)
+    return [
+        (_reader_of(spark, schemas[number][0], paths, kinds), at)
+        for (number, at), paths in names.items()
+    ]
+
+
+def _agreeing_kinds(
+    kinds: list[tuple[str, T.StructType]],
+) -> list[tuple[T.StructType, list[str]]]:
+    """Schemas that one scan can read put together, each with its fingerprints."""
+    groups: list[tuple[T.StructType, list[str]]] = []
+    for fingerprint, schema in sorted(kinds):
+        for i, (have, members) in enumerate(groups):
+            both = _agreeing(have, schema)
+            if both is not None:
+                groups[i] = (both, [*members, fingerprint])
+                break
+        else:
+            groups.append((schema, [fingerprint]))
+    return groups
+
+
+def _reader_of(
+    spark: SparkSession, schema: T.StructType, paths: list[str], kinds: list[Row]
+) -> DataFrame:
+    """Scan of the named files and folders, without files that came after the listing."""
+    after = max(k["modified"] for k in kinds) + timedelta(milliseconds=1)
+    reader = _reader(spark).schema(schema).option("timeZone", "UTC")
+    reader = reader.option("modifiedBefore", after.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f"))
+    return reader.parquet(*map(_literal_path, paths))
+
+
+def _names(
+    spark: SparkSession, files: DataFrame, grouped: DataFrame, root: str
+) -> dict[tuple[int, PeriodSlice | None], list[str]]:
+    """What to read for each schema and place: the highest folders that hold nothing else, and
+    single files where a folder holds several kinds."""
+    kinds = files.select("path").join(
+        grouped.select(F.col("path").alias("__path"), "schema", "at"), F.col("path") == F.col("__path"), "left"
+    )
+    kinds = kinds.select("path", F.when(F.col("__path").isNotNull(), F.struct("schema", "at")).alias("kind"))
+    # A root that is a pattern may have neighbours in its folders that are not asked for.
+    if re.search(r"[*?\[{]", root):
+        tops = kinds.where("kind IS NOT NULL").select("kind", F.col("path").alias("top"))
+    else:
+        first, last = kinds.agg(F.min("path"), F.max("path")).first()
+        shared = len(posixpath.commonprefix([first.split("/"), last.split("/")]))
+        depths = F.sequence(F.lit(shared), F.size(F.split("path", "/")))
+        above = kinds.withColumn("depth", F.explode(depths))
+        above = above.withColumn("name", F.expr("substring_index(path, '/', depth)"))
+        pure = above.groupBy("name").agg(
+            F.min("kind").alias("low"),
+            F.max("kind").alias("high"),
+            F.count_if(F.col("kind").isNull()).alias("others"),
+        )
+        pure = pure.where("others = 0 AND low <=> high").select("name")
+        tops = above.join(pure, "name").groupBy("path", "kind").agg(F.min_by("name", "depth").alias("top"))
+    found: dict[tuple[int, PeriodSlice | None], list[str]] = {}
+    for row in _listing(spark, tops.select("kind", "top").distinct()):
+        at = row["kind"]["at"]
+        key = (row["kind"]["schema"], PeriodSlice(**at.asDict()) if at else None)
+        found.setdefault(key, []).append(row["top"])
+    ordered = {kind: sorted(paths) for kind, paths in found.items()}
+    return dict(sorted(ordered.items(), key=lambda entry: entry[1]))
+
+
+def _scan_drops(spark: SparkSession, files: DataFrame, disagree: bool) -> Frames:
+    """The same where tasks cannot open the files: Spark merges footers of pieces of the drops."""
+    drops: dict[PeriodSlice | None, list[str]] = {}
+    for row in _listing(spark, files.select("drop", "at").distinct()):
+        at = PeriodSlice(**row["at"].asDict()) if row["at"] else None
+        drops.setdefault(at, []).append(row["drop"])
     return [
         (frame, at)
         for at, paths in drops.items()
@@ -302,5 +470,8 @@ def _with_period(
     df: DataFrame, contract: TableContract, at: PeriodSlice
 ) -> DataFrame:
     period = period_by_slice(F.col("_metadata.file_path"), at)
+    added = [p.alias(n) for p, n in zip(period, contract.partition_by)]
+    if contract.file_key:
+        added.append(file_key().alias(contract.file_key))
     kept = [F.col(quoted_column(c)) for c in df.columns if c.lower() not in contract.derived]
-    return df.select(*kept, *(p.alias(n) for p, n in zip(period, contract.partition_by)))
+    return df.select(*kept, *added)

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -14,7 +16,9 @@ from pyspark.sql import types as T
 from sedimenta.contracts import TableContract
 from sedimenta.functions.period import LEFTMOST_PERIOD, PeriodRange
 from sedimenta.operators.conform import conform_all
+from sedimenta.session import session_conf
 from sedimenta.sources import landing
+from sedimenta.sources.footers import NO_CLIENT, fingerprinted
 from sedimenta.sources.landing import EmptyLanding, scan, schema_groups
 from tests.conftest import plan_of, rows_of
 
@@ -164,7 +168,7 @@ def test_files_without_period_are_kept_apart(spark, drop):
     found = scan(spark, root, CONTRACT)
     (undated,) = found.without_period
     assert undated.count() == 3
-    assert undated.first()["source_path"].endswith("a_undated.parquet")
+    assert undated.inputFiles()[0].endswith("a_undated.parquet")
     assert found.summary.files_without_period == 1
     assert landed(spark, root).where("ano IS NULL OR mes IS NULL").count() == 0
     assert landed(spark, root).count() == 2
@@ -183,21 +187,133 @@ def test_range_of_months_reads_no_other_file(spark, drop):
 def test_names_of_different_form(spark, drop):
     drop("a_2023-01.parquet", VendorID=longs(1))
     root = drop("long_prefix_2023-02.parquet", VendorID=longs(2))
+    assert len(scan(spark, root, CONTRACT).groups) == 1
+    drop("b_2023-03_late.parquet", VendorID=longs(3))
     assert len(scan(spark, root, CONTRACT).groups) == 2
-    assert rows_of(landed(spark, root).select("VendorID", "mes")) == [(1, 1), (2, 2)]
+    assert rows_of(landed(spark, root).select("VendorID", "mes")) == [(1, 1), (2, 2), (3, 3)]
 
 
-def test_many_name_forms_need_no_pattern_for_each_row(spark, drop):
-    count = 70
+@pytest.mark.parametrize(
+    "name",
+    [
+        lambda i: f"{'a' * (i + 1)}_2023-{i % 12 + 1:02d}.parquet",  # names that begin differently
+        lambda i: f"2023-{i % 12 + 1:02d}_{'a' * (i + 1)}.parquet",  # names that end differently
+        lambda i: f"{'f/' * i}x_2023-{i % 12 + 1:02d}_{'b' * (i % 3)}.parquet",  # folders of 200 depths
+        lambda i: f"{'ç' * (i % 50 + 1)}/2023-{i % 12 + 1:02d}/{'b' * (i + 1)}.parquet",  # a dated folder
+    ],
+)
+def test_any_depth_and_length_of_names_is_one_scan(spark, drop, name):
+    count = 200
     for i in range(count):
-        root = drop(f"{'a' * (i + 1)}_2023-{i % 12 + 1:02d}.parquet", VendorID=longs(i))
+        root = drop(name(i), VendorID=longs(i))
     found = scan(spark, root, CONTRACT)
-    assert len(found.groups) == count
-    assert not any("regexp" in plan_of(df) for df in found.groups)
+    assert len(found.groups) == 1
+    assert "regexp" not in plan_of(found.groups[0])
     df = conform_all(found.groups, CONTRACT).rows.select("VendorID", "mes")
     assert rows_of(df) == sorted(((i, i % 12 + 1) for i in range(count)), key=repr)
 
 
+def jobs_of(spark, action) -> int:
+    """Spark jobs that an action starts."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    action()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("", "")
+    return len(jobs)
+
+
+def alternating(drop, count: int, root: str) -> str:
+    for i in range(count):
+        kind = doubles if i % 2 else longs
+        folder = drop(f"a_{2000 + i // 12}-{i % 12 + 1:02d}.parquet", root, VendorID=kind(i))
+    return folder
+
+
+def test_types_that_alternate_cost_a_constant_number_of_jobs(spark, drop, monkeypatch):
+    small, large = alternating(drop, 8, "small"), alternating(drop, 64, "large")
+    monkeypatch.setattr(landing, "schema_groups", None)
+    found = []
+    # Listing beyond 32 named files is a job for each scan.
+    listing = {"spark.sql.sources.parallelPartitionDiscovery.threshold": "1000"}
+    with session_conf(spark, listing):
+        few = jobs_of(spark, lambda: scan(spark, small, CONTRACT))
+        many = jobs_of(spark, lambda: found.append(scan(spark, large, CONTRACT)))
+    # Adaptive execution may take one job more or less for a join.
+    assert abs(many - few) <= 1 and many <= 24
+    assert sorted(len(df.inputFiles()) for df in found[0].groups) == [32, 32]
+    rows = conform_all(found[0].groups, CONTRACT).rows.select("VendorID", "ano", "mes")
+    assert rows_of(rows) == sorted(((i, 2000 + i // 12, i % 12 + 1) for i in range(64)), key=repr)
+
+
+def test_folders_of_one_schema_are_named_by_their_top(spark, drop, monkeypatch):
+    for i in range(12):
+        for part in range(3):
+            kind = doubles if i % 2 else longs
+            root = drop(f"k{i % 2}/deep/a_2023-{i + 1:02d}.parquet/part-{part}.parquet", VendorID=kind(i))
+    drop("k2/a_2024-01.parquet", VendorID=longs(50))
+    drop("k2/a_2024-02.parquet", VendorID=doubles(51))
+    named = []
+    reader_of = landing._reader_of
+    monkeypatch.setattr(landing, "_reader_of", lambda s, schema, p, k: named.append(p) or reader_of(s, schema, p, k))
+    assert landed(spark, root).count() == 38
+    tops = sorted(path.partition("/landing/")[2] for paths in named for path in paths)
+    assert tops == ["k0", "k1", "k2/a_2024-01.parquet", "k2/a_2024-02.parquet"]
+
+
+def test_neighbours_of_a_root_with_a_pattern_are_not_read(spark, drop):
+    drop("in1/a_2023-01.parquet", VendorID=longs(1))
+    drop("in2/a_2023-02.parquet", VendorID=doubles(2))
+    root = drop("out/a_2023-03.parquet", VendorID=doubles(3))
+    found = conform_all(scan(spark, f"{root}/in*", CONTRACT).groups, CONTRACT).rows
+    assert rows_of(found.select("VendorID", "mes")) == [(1, 1), (2, 2)]
+    one = scan(spark, f"{root}/in2/a_2023-02.parquet", CONTRACT, period=PeriodRange((2023, 2), (2023, 2)))
+    assert rows_of(conform_all(one.groups, CONTRACT).rows.select("VendorID", "mes")) == [(2, 2)]
+
+
+def test_file_that_comes_after_the_listing_is_not_read(spark, drop):
+    drop("a_2023-01.parquet", VendorID=longs(1))
+    root = drop("a_2023-02.parquet", VendorID=doubles(2))
+    drop("b/a_2023-03.parquet", VendorID=doubles(3))
+    names = landing._names
+
+    def late(*args):
+        found = names(*args)
+        time.sleep(0.01)
+        drop("b/a_2023-04.parquet", VendorID=longs(4))
+        return found
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(landing, "_names", late)
+        found = scan(spark, root, CONTRACT)
+    assert rows_of(conform_all(found.groups, CONTRACT).rows.select("VendorID", "mes")) == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_store_without_a_client_in_the_tasks(spark, drop, monkeypatch):
+    """Spark's own merging of footers takes over."""
+    monkeypatch.setattr(landing, "fingerprinted", lambda files, tasks: files.selectExpr("*", "string(null) fingerprint", f"'{NO_CLIENT}' fault"))
+    drop("a_2023-01.parquet", VendorID=longs(1))
+    drop("a_2023-02.parquet", VendorID=doubles(2))
+    root = drop("a_undated.parquet", VendorID=longs(3))
+    found = scan(spark, root, CONTRACT)
+    assert rows_of(conform_all(found.groups, CONTRACT).rows.select("VendorID", "mes")) == [(1, 1), (2, 2)]
+    assert [df.count() for df in found.without_period] == [1]
+
+
+def test_same_types_give_the_same_fingerprint(spark, drop, tmp_path):
+    root = drop("a.parquet", VendorID=longs(1), RatecodeID=doubles(1))
+    drop("b.parquet", VendorID=longs(2, 3), RatecodeID=doubles(None, 2))
+    drop("c.parquet", VendorID=ints(2), RatecodeID=doubles(2))
+    drop("d.parquet", RatecodeID=doubles(2), VendorID=longs(2))
+    (tmp_path / "landing" / "e.parquet").write_bytes(b"no parquet file at all")
+    paths = spark.createDataFrame([(f"file:{root}/{n}.parquet",) for n in "abcde"] + [("nowhere://x/y",)], "path string")
+    found = [(r["fingerprint"], r["fault"]) for r in fingerprinted(paths, 2).orderBy("path").collect()]
+    a, b, c, d, e, other = found
+    assert a == b and len({a, c, d}) == 3 and a[1] is None
+    assert e[0] is None and "Parquet" in e[1]
+    assert other == (None, NO_CLIENT)
+
+
 def test_odd_characters_in_paths(spark, drop):
     drop("a [x] {y} 10%_2023-01.parquet", VendorID=longs(1))
     drop("a [x] {y} 10%_2023-02.parquet", VendorID=doubles(2.0))
