@@ -10,6 +10,8 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATING = (T.FloatType, T.DoubleType)
 _NUMBERS = (*_INTEGRAL, *_FLOATING, T.DecimalType)
 _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+#: Digits before and behind the point of whole numbers.
+_DIGITS = {T.ByteType: (3, 0), T.ShortType: (5, 0), T.IntegerType: (10, 0), T.LongType: (19, 0)}
 _LAST_SECOND = 253402300799  # the end of the year 9999
 
 
@@ -30,6 +32,42 @@ def castable(source: T.DataType, target: T.DataType) -> bool:
     return isinstance(source, _TIMES) and isinstance(target, _TIMES)
 
 
+def common_type(one: T.DataType, other: T.DataType) -> T.DataType:
+    """The narrowest type that values of both go into.
+
+    Whole numbers widen, and become floating with floating ones (beyond 2⁵³ rounded); dates become
+    times, zoned times wall-clock times with those without a zone; everything else meets as text,
+    nested values as JSON.
+    """
+    if one == other or isinstance(other, T.NullType):
+        return one
+    if isinstance(one, T.NullType):
+        return other
+    kinds = (one, other)
+    if all(isinstance(t, _INTEGRAL) for t in kinds):
+        return max(kinds, key=lambda t: _INTEGRAL.index(type(t)))
+    if all(isinstance(t, (*_INTEGRAL, T.DecimalType)) for t in kinds):
+        digits = [_DIGITS.get(type(t)) or (t.precision - t.scale, t.scale) for t in kinds]
+        whole, part = (max(d[i] for d in digits) for i in (0, 1))
+        return T.DecimalType(whole + part, part) if whole + part <= 38 else T.DoubleType()
+    if all(isinstance(t, _NUMBERS) for t in kinds):
+        return T.DoubleType()
+    if all(isinstance(t, _TIMES) for t in kinds):
+        zoned = any(isinstance(t, T.TimestampType) for t in kinds)
+        wall = any(isinstance(t, T.TimestampNTZType) for t in kinds)
+        return T.TimestampType() if zoned and not wall else T.TimestampNTZType()
+    return T.StringType()
+
+
+def as_common(column: Column, source: T.DataType, target: T.DataType) -> Column:
+    """``column`` in a type that :func:`common_type` gave."""
+    if source == target:
+        return column
+    if isinstance(source, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(column)
+    return column.cast(target)
+
+
 def convert(column: Column, source: T.DataType, target: T.DataType) -> Column:
     """``column`` as ``target``; a value that does not fit becomes NULL.
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import math
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.contracts import ContractError, TableContract
-from sedimenta.functions.casts import castable, may_lose
+from sedimenta.functions.casts import castable, common_type, may_lose
 from sedimenta.operators.conform import conform, conform_all
 from tests.conftest import plan_of, rows_of
 
@@ -105,10 +106,46 @@ def test_groups_go_together_and_conflicting_extras_are_refused(spark):
         (2023, 1, "x", 1.0),
         (2023, 2, None, 2.5),
     ]
-    third = spark.createDataFrame([(2.5, 7, 2023, 2)], "v double, note int, ano int, mes int")
-    with pytest.raises(ContractError, match="note"):
-        conform_all([first, third], contract)
-    assert conform_all([first, third], contract, "drop").rows.count() == 2
+    third = spark.createDataFrame([(2.5, 7, 2023, 2)], "v double, NOTE int, ano int, mes int")
+    both = conform_all([first, third], contract).rows
+    assert rows_of(both.select("v", "note")) == [("7", 2.5), ("x", 1.0)]
+    assert conform_all([first, third], contract, "drop").rows.columns == ["v", "ano", "mes"]
+
+
+_LITERALS = {
+    "tinyint": "7Y", "smallint": "-300S", "int": "70000", "bigint": "4294967296L", "float": "float(0.5)",
+    "double": "0.1D", "decimal(9,2)": "-7.25BD", "string": "'text'", "boolean": "true",
+    "date": "date'2024-02-29'", "timestamp_ntz": "timestamp_ntz'2024-02-29 12:00:00.5'",
+    "timestamp": "timestamp'2024-02-29 12:00:00.5'", "void": "NULL", "array<int>": "array(1, 2)",
+    "struct<a:int>": "named_struct('a', 1)",
+}
+
+
+@pytest.mark.parametrize("one", list(_LITERALS))
+@pytest.mark.parametrize("other", list(_LITERALS))
+def test_undeclared_columns_of_any_two_types_keep_their_values(spark, one, other):
+    contract = TableContract("t", struct(v=DOUBLE))
+    parts = [spark.range(1).selectExpr(f"{_LITERALS[t]} AS x", "2023 AS ano", "1 AS mes") for t in (one, other)]
+    rows = conform_all(parts, contract).rows
+    kind = rows.schema["x"].dataType
+    assert kind == common_type(parts[0].schema["x"].dataType, parts[1].schema["x"].dataType)
+    assert kind == common_type(parts[1].schema["x"].dataType, parts[0].schema["x"].dataType)
+    found = [r["x"] for r in rows.collect()]
+    for value, t in zip(found, (one, other), strict=True):
+        own = spark.sql(f"SELECT {_LITERALS[t]}").first()[0]
+        if t == "void":
+            assert value is None
+        elif kind.simpleString() != "string":
+            back = spark.createDataFrame([(value,)], f"x {kind.simpleString()}").selectExpr(f"CAST(x AS {t})")
+            assert back.first()[0] == own
+        else:
+            assert isinstance(value, str) and value
+
+
+def test_three_types_meet_in_the_same_one_in_any_order(spark):
+    kinds = [T._parse_datatype_string(t) for t in _LITERALS if t != "void"]
+    for a, b, c in itertools.permutations(kinds, 3):
+        assert common_type(common_type(a, b), c) == common_type(a, common_type(b, c))
 
 
 def test_nested_source_for_a_plain_column_is_refused(spark):
