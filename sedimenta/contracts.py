@@ -28,7 +28,8 @@ class TableContract:
     ``columns`` holds the business columns only. ``partition_by`` names the year and the
     month column, in that order; ``loaded_at`` names the load timestamp, or is None where
     the layer has none; ``event_time`` names the column that validation compares with the
-    partition of a row.
+    partition of a row; ``file_key`` names a column that tells from which landing file a row came,
+    so that a file is appended once only.
     """
 
     name: str
@@ -36,18 +37,21 @@ class TableContract:
     partition_by: tuple[str, str] = ("ano", "mes")
     loaded_at: str | None = None
     event_time: str | None = None
+    file_key: str | None = None
 
     @property
     def derived(self) -> frozenset[str]:
         """Lower-cased names that the pipeline computes and never takes from a source."""
-        return frozenset(c.lower() for c in (*self.partition_by, self.loaded_at) if c)
+        return frozenset(c.lower() for c in (*self.partition_by, self.loaded_at, self.file_key) if c)
 
     @property
     def table_schema(self) -> T.StructType:
-        """Business columns, load timestamp, partition columns: the order of the DDL."""
+        """Business columns, load timestamp, file key, partition columns: the order of the DDL."""
         fields = list(self.columns.fields)
         if self.loaded_at:
             fields.append(T.StructField(self.loaded_at, T.TimestampType()))
+        if self.file_key:
+            fields.append(T.StructField(self.file_key, T.LongType()))
         fields += [T.StructField(c, T.IntegerType()) for c in self.partition_by]
         return T.StructType(fields)
 

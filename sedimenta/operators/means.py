@@ -6,6 +6,8 @@ task, however many rows a group has.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +49,20 @@ def mean_by_hour(
     for condition in wanted:
         df = df.where(condition)
     return df.groupBy(F.hour(time).alias(hour_name)).agg(F.avg(value).alias(name))
+
+
+def mean_states(
+    df: DataFrame, value: str, keys: Sequence[Column], period: tuple[str, str] = ("ano", "mes")
+) -> DataFrame:
+    """What a mean of any months is put together from: ``total`` and ``n`` per month and key.
+
+    ``keys`` are all columns that a result groups or filters by, so that a month's states are
+    those of all its rows.
+    """
+    return df.groupBy(*keys, *period).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
+
+
+def merged_mean(states: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Mean per key from the states of all months; NULL where no row had a value."""
+    mean = F.try_divide(F.sum("total").cast("double"), F.sum("n"))
+    return states.groupBy(*keys).agg(mean.alias(name))

@@ -6,11 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.functions.period import PeriodRange
+from sedimenta.functions.period import MonthSet, Period
 from sedimenta.operators.layers import WriteMode, distinct_locations
 from sedimenta.operators.materialize import MaterializeMode
 from sedimenta.plans.bronze import Dataset, LoadReport, run_bronze
-from sedimenta.plans.gold import GoldResult, run_gold
+from sedimenta.plans.gold import GoldResult, IncrementalResult, run_gold
 from sedimenta.plans.silver import PipelineError, SilverLayer, run_silver
 
 
@@ -20,14 +20,14 @@ class Pipeline:
 
     bronze: tuple[Dataset, ...]
     silver: SilverLayer
-    gold: tuple[GoldResult, ...]
+    gold: tuple[GoldResult | IncrementalResult, ...]
 
     def __post_init__(self) -> None:
         distinct_locations(
             *(d.landing for d in self.bronze),
-            *(d.location for d in self.bronze),
+            *(folder for d in self.bronze for folder in d.folders),
             self.silver.location,
-            *(g.location for g in self.gold),
+            *(folder for g in self.gold for folder in g.folders),
         )
 
 
@@ -38,9 +38,12 @@ class RunResult:
 
 
 def require_loaded(
-    reports: list[LoadReport], allow_rejected: bool = False, allow_lossy: bool = False
+    reports: list[LoadReport],
+    allow_rejected: bool = False,
+    allow_lossy: bool = False,
+    allow_empty: bool = False,
 ) -> None:
-    """Raise if a dataset failed, or rows or values of it are missing, unless that is allowed.
+    """Raise if a dataset failed or had no file, or rows or values of it are missing, unless allowed.
 
     No later layer is built on half the data.
     """
@@ -49,7 +52,9 @@ def require_loaded(
         lost = ", ".join(f"{n} values of {name}" for name, n in r.values_lost.items())
         if r.status == "failed":
             faults.append(f"{r.dataset}: {r.message}")
-        if r.rows_without_period and not allow_rejected:
+        if r.status == "empty" and not allow_empty:
+            faults.append(f"{r.dataset}: {r.message}")
+        if r.rejected and not allow_rejected:
             faults.append(f"{r.dataset}: {r.rows_without_period} rows rejected, {r.message}")
         if lost and not allow_lossy:
             faults.append(f"{r.dataset}: {lost} do not fit")
@@ -63,19 +68,27 @@ def run_pipeline(
     bronze_mode: WriteMode = "replace_partitions",
     silver_mode: WriteMode | None = None,
     gold_mode: MaterializeMode = "refresh",
-    period: PeriodRange | None = None,
+    period: Period | None = None,
     allow_rejected: bool = False,
     allow_lossy: bool = False,
+    allow_empty: bool = False,
+    changed_only: bool = False,
 ) -> RunResult:
     """Load, unify, aggregate. ``period`` limits the landing files that are loaded.
 
-    Silver is replaced as a whole, or with a ``period`` in its months, unless told otherwise.
+    Silver is replaced as a whole, or with a ``period`` in its months, unless told otherwise. With
+    ``changed_only`` Bronze loads changed months only (see :func:`ingest`), and Silver and the stored
+    states of Gold follow in those months.
     """
-    reports = run_bronze(spark, pipeline.bronze, bronze_mode, period)
-    require_loaded(reports, allow_rejected, allow_lossy)
-    silver_mode = silver_mode or ("replace_partitions" if period else "replace_all")
-    run_silver(
-        spark, pipeline.silver, silver_mode, period if silver_mode != "replace_all" else None
-    )
-    stored = run_gold(spark, pipeline.gold, pipeline.silver.contract.name, gold_mode)
+    reports = run_bronze(spark, pipeline.bronze, bronze_mode, period, changed_only)
+    require_loaded(reports, allow_rejected, allow_lossy, allow_empty)
+    months: Period | None = period
+    if changed_only:
+        months = MonthSet(frozenset(m for r in reports for m in r.months))
+    silver_mode = silver_mode or ("replace_partitions" if months else "replace_all")
+    if silver_mode == "replace_all":
+        months = None
+    if not isinstance(months, MonthSet) or months.months:
+        run_silver(spark, pipeline.silver, silver_mode, months)
+    stored = run_gold(spark, pipeline.gold, pipeline.silver.contract.name, gold_mode, months)
     return RunResult(tuple(reports), stored)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from sedimenta.contracts import TableContract, quoted
-from sedimenta.functions.period import PeriodRange
+from sedimenta.functions.period import Period
 from sedimenta.operators.layers import MB, WriteMode, write_layer
 from sedimenta.operators.unify import SourceMapping, map_source, unify
 from sedimenta.plans.bronze import register
@@ -32,7 +33,7 @@ class SilverLayer:
 
 
 def unified(
-    spark: SparkSession, layer: SilverLayer, period: PeriodRange | None = None
+    spark: SparkSession, layer: SilverLayer, period: Period | None = None
 ) -> DataFrame:
     """Rows of all sources under the unified columns; raises unless every source is there."""
     missing = [s.source for s in layer.sources if not spark.catalog.tableExists(quoted(s.source))]
@@ -52,7 +53,7 @@ def run_silver(
     spark: SparkSession,
     layer: SilverLayer,
     mode: WriteMode = "replace_all",
-    period: PeriodRange | None = None,
+    period: Period | None = None,
 ) -> None:
     """Write the unified table and register its partitions.
 
@@ -63,6 +64,9 @@ def run_silver(
     if period is not None and mode == "replace_all":
         raise ValueError("a range of months with replace_all would drop all other months")
     check_table(spark, layer.contract, layer.location)
-    rows = unified(spark, layer, period)
+    seen = Observation()
+    months = F.collect_set(F.struct(*layer.contract.partition_by)).alias("months")
+    rows = unified(spark, layer, period).observe(seen, months)
     write_layer(rows, layer.location, layer.contract.partition_by, mode, _SPLIT)
-    register(spark, layer.contract, layer.location, replaced_all=mode == "replace_all")
+    written = frozenset(tuple(m) for m in seen.get["months"])
+    register(spark, layer.contract, layer.location, written, replaced_all=mode == "replace_all")

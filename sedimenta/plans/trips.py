@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.contracts import TableContract
 from sedimenta.functions.period import PERIOD_IN_PATH
 from sedimenta.operators.conform import Extras
-from sedimenta.operators.means import mean_by_hour, mean_by_period
+from sedimenta.operators.means import mean_by_hour, mean_by_period, mean_states, merged_mean
 from sedimenta.operators.unify import SourceMapping
+from sedimenta.operators.validate import Expectations
 from sedimenta.plans.bronze import Dataset
-from sedimenta.plans.gold import GoldResult
+from sedimenta.plans.gold import GoldResult, IncrementalResult
 from sedimenta.plans.pipeline import Pipeline
 from sedimenta.plans.silver import SilverLayer
 
@@ -121,6 +124,39 @@ TRIP_SOURCES = (
 )
 
 
+def _monthly_states(trips: DataFrame) -> DataFrame:
+    return mean_states(trips, "valor_total", [F.col("tipo_taxi")])
+
+
+def _hourly_states(trips: DataFrame) -> DataFrame:
+    hour = F.hour("data_inicio_viagem").alias("hora_do_dia")
+    return mean_states(trips, "quantidade_passageiros", [hour])
+
+
+def _gold(gold: str, incremental: bool) -> tuple[GoldResult | IncrementalResult, ...]:
+    monthly = (MONTHLY_MEAN_TABLE, f"{gold}/media_valor_total_mes_yellow")
+    hourly = (HOURLY_MEAN_TABLE, f"{gold}/media_passageiros_hora_maio")
+    if not incremental:
+        return (
+            GoldResult(*monthly, mean_by_period, ("ano", "mes")),
+            GoldResult(*hourly, mean_by_hour, ("hora_do_dia",)),
+        )
+    return (
+        IncrementalResult(
+            *monthly,
+            _monthly_states,
+            lambda s: merged_mean(s.where("tipo_taxi = 'yellow'"), ("ano", "mes"), "media_valor_total"),
+            ("ano", "mes"),
+        ),
+        IncrementalResult(
+            *hourly,
+            _hourly_states,
+            lambda s: merged_mean(s.where("mes = 5"), ("hora_do_dia",), "media_passageiros"),
+            ("hora_do_dia",),
+        ),
+    )
+
+
 def trips_pipeline(
     landing: str,
     bronze: str,
@@ -129,28 +165,32 @@ def trips_pipeline(
     pattern: str = PERIOD_IN_PATH,
     extras: Extras = "keep",
     compact: bool = False,
+    keep_unfit: bool = False,
+    manifest: str | None = None,
+    expected: Expectations | None = None,
 ) -> Pipeline:
-    """The taxi pipeline below four root folders; landing holds ``yellow`` and ``green``."""
-    options = {"pattern": pattern, "extras": extras, "compact": compact}
+    """The taxi pipeline below four root folders; landing holds ``yellow`` and ``green``.
+
+    ``manifest`` is a fifth one, for runs over changed files only; the results then are put together
+    from stored states. With ``expected`` Bronze loads are published after a check.
+    """
     landing, bronze, silver, gold = (p.rstrip("/") for p in (landing, bronze, silver, gold))
+
+    def dataset(contract: TableContract, folder: str, table: str) -> Dataset:
+        return Dataset(
+            contract,
+            f"{landing}/{folder}",
+            f"{bronze}/{table}",
+            pattern=pattern,
+            extras=extras,
+            compact=compact,
+            keep_unfit=keep_unfit,
+            manifest=f"{manifest.rstrip('/')}/{table}" if manifest else None,
+            expected=expected,
+        )
+
     return Pipeline(
-        bronze=(
-            Dataset(YELLOW, f"{landing}/yellow", f"{bronze}/taxi_yellow", **options),
-            Dataset(GREEN, f"{landing}/green", f"{bronze}/taxi_green", **options),
-        ),
+        bronze=(dataset(YELLOW, "yellow", "taxi_yellow"), dataset(GREEN, "green", "taxi_green")),
         silver=SilverLayer(TRIPS, f"{silver}/corridas_taxi", TRIP_SOURCES),
-        gold=(
-            GoldResult(
-                MONTHLY_MEAN_TABLE,
-                f"{gold}/media_valor_total_mes_yellow",
-                mean_by_period,
-                ("ano", "mes"),
-            ),
-            GoldResult(
-                HOURLY_MEAN_TABLE,
-                f"{gold}/media_passageiros_hora_maio",
-                mean_by_hour,
-                ("hora_do_dia",),
-            ),
-        ),
+        gold=_gold(gold, incremental=manifest is not None),
     )

@@ -1,0 +1,467 @@
+"""Loads one after the other: changed files, rejected rows, checks before publishing, single appends."""
+
+from __future__ import annotations
+
+import os
+from dataclasses import replace
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sedimenta.contracts import ContractError, TableContract
+from sedimenta.functions.period import MonthSet, PeriodRange
+from sedimenta.operators.means import mean_by_hour, mean_by_period, mean_states, merged_mean
+from sedimenta.operators.validate import (
+    Expectations,
+    Rule,
+    ValidationError,
+    nulls,
+    require_passed,
+    row_counts,
+    verdicts,
+)
+from sedimenta.plans import bronze
+from sedimenta.plans.bronze import Dataset, ingest, run_bronze
+from sedimenta.plans.gold import IncrementalResult, run_gold
+from sedimenta.sources import landing
+from sedimenta.sources.catalog import add_months, ensure_database, ensure_table, known_months
+from sedimenta.sources.landing import landing_files, scan
+from sedimenta.sources.manifest import Manifest, changes, to_read
+from sedimenta.sources.rejects import clear, rejected
+from tests.conftest import plan_of, rows_of
+
+
+def longs(*values):
+    return pa.array(values, pa.int64())
+
+
+@pytest.fixture
+def dataset(tmp_path, name):
+    contract = TableContract(name, T.StructType([T.StructField("x", T.LongType())]), loaded_at="at")
+    return Dataset(contract, str(tmp_path / "landing"), str(tmp_path / "t"), manifest=str(tmp_path / "seen"))
+
+
+def months_of(spark, dataset):
+    rows = spark.table(dataset.contract.name).groupBy("ano", "mes").agg(F.sum("x"), F.count_distinct("at"))
+    return {(r[0], r[1]): r[2] for r in rows.collect()}
+
+
+def stamps(spark, dataset):
+    return {(r[0], r[1]): r[2] for r in spark.table(dataset.contract.name).groupBy("ano", "mes").agg(F.max("at")).collect()}
+
+
+def newer(file: str, seconds: int) -> None:
+    """A later time of change, whatever the clock's grain."""
+    at = os.stat(file).st_mtime + seconds
+    os.utime(file, (at, at))
+
+
+# Changed files only
+
+
+def test_only_months_with_changes_are_read_again(spark, drop, dataset):
+    for month in range(1, 6):
+        root = drop(f"a_2023-{month:02d}.parquet", x=longs(month))
+    drop("b_2023-02.parquet", x=longs(20))
+    first = ingest(spark, dataset, changed_only=True)
+    assert (first.status, first.rows_read, len(first.months)) == ("ok", 6, 5)
+    before = stamps(spark, dataset)
+    again = ingest(spark, dataset, changed_only=True)
+    assert (again.status, again.rows_read, again.months) == ("unchanged", 0, frozenset())
+
+    drop("a_2023-02.parquet", x=longs(200))
+    newer(f"{root}/a_2023-02.parquet", 5)
+    drop("a_2023-07.parquet", x=longs(7))
+    read = []
+    scanned = bronze.scan
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(bronze, "scan", lambda *a, **k: read.append(scanned(*a, **k)) or read[-1])
+        third = ingest(spark, dataset, changed_only=True)
+    files = sorted(f.rsplit("/", 1)[1] for df in read[0].groups for f in df.inputFiles())
+    assert files == ["a_2023-02.parquet", "a_2023-07.parquet", "b_2023-02.parquet"]
+    assert third.months == {(2023, 2), (2023, 7)} and third.rows_read == 3
+    assert months_of(spark, dataset) == {(2023, 1): 1, (2023, 2): 220, (2023, 3): 3, (2023, 4): 4, (2023, 5): 5, (2023, 7): 7}
+    after = stamps(spark, dataset)
+    assert {m for m in after if after[m] != before.get(m)} == third.months
+
+
+def test_a_load_that_was_cut_off_is_done_again(spark, drop, dataset, monkeypatch):
+    drop("a_2023-01.parquet", x=longs(1))
+
+    def fails(*args, **kwargs):
+        raise OSError("disk gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(bronze, "write_layer", fails)
+        (report,) = run_bronze(spark, [dataset], changed_only=True)
+    assert (report.status, report.message) == ("failed", "disk gone")
+    assert ingest(spark, dataset, changed_only=True).rows_written == 1
+    assert ingest(spark, dataset, changed_only=True).status == "unchanged"
+
+
+def test_gone_files(spark, drop, dataset):
+    drop("a_2023-01.parquet", x=longs(1))
+    drop("a_2023-02.parquet", x=longs(2))
+    root = drop("b_2023-02.parquet", x=longs(20))
+    ingest(spark, dataset)
+    os.remove(f"{root}/b_2023-02.parquet")
+    assert ingest(spark, dataset, changed_only=True).months == {(2023, 2)}
+    assert months_of(spark, dataset) == {(2023, 1): 1, (2023, 2): 2}
+    os.remove(f"{root}/a_2023-01.parquet")
+    report = ingest(spark, dataset, changed_only=True)
+    assert (report.status, report.message) == ("unchanged", "no file left for 2023-01")
+    assert ingest(spark, dataset, changed_only=True).message == "no file is new, changed or gone"
+    assert months_of(spark, dataset) == {(2023, 1): 1, (2023, 2): 2}
+
+
+def test_known_footers_are_not_read_again(spark, drop, dataset, monkeypatch):
+    """A whole load after another one reads the footers of new files only."""
+    for month in range(1, 5):
+        drop(f"a_2023-{month:02d}.parquet", x=longs(month))
+    ingest(spark, dataset)
+    drop("a_2023-05.parquet", x=pa.array([5.0]))
+    asked = []
+    original = landing.fingerprinted
+    monkeypatch.setattr(
+        landing, "fingerprinted", lambda files, tasks: asked.append(files.count()) or original(files, tasks)
+    )
+    report = ingest(spark, dataset)
+    assert (asked, report.rows_written) == ([1], 5)
+    known = Manifest(dataset.manifest).known(spark)
+    assert known.count() == 5 and known.select("fingerprint").distinct().count() == 2
+
+
+def test_range_with_changes_leaves_other_months_for_later(spark, drop, dataset):
+    for month in (1, 2, 3):
+        drop(f"a_2023-{month:02d}.parquet", x=longs(month))
+    assert ingest(spark, dataset, period=PeriodRange((2023, 2), (2023, 2)), changed_only=True).months == {(2023, 2)}
+    assert ingest(spark, dataset, changed_only=True).months == {(2023, 1), (2023, 3)}
+
+
+def test_undated_files_are_rejected_once(spark, drop, dataset):
+    drop("a_2023-01.parquet", x=longs(1))
+    drop("late.parquet", x=longs(9))
+    assert ingest(spark, dataset, changed_only=True).status == "rejected"
+    drop("a_2023-02.parquet", x=longs(2))
+    second = ingest(spark, dataset, changed_only=True)
+    assert (second.status, second.months) == ("ok", {(2023, 2)})
+    assert rejected(spark, dataset.reject_folder).count() == 1
+    assert rejected(spark, dataset.reject_folder, second.load) is None
+
+
+def test_changed_only_is_refused_where_it_cannot_work(spark, drop, dataset):
+    drop("a_2023-01.parquet", x=longs(1))
+    with pytest.raises(ValueError, match="manifest"):
+        ingest(spark, replace(dataset, manifest=None), changed_only=True)
+    with pytest.raises(ValueError, match="replace_all"):
+        ingest(spark, dataset, "replace_all", changed_only=True)
+
+
+def test_changes_of_a_listing(spark, drop):
+    root = drop("a_2023-01.parquet", x=longs(1))
+    drop("b_2023-01.parquet", x=longs(1))
+    drop("c_2023-02.parquet", x=longs(1))
+    listed = landing_files(spark, root)
+    known = listed.select("path", "bytes", "modified", "year", "month", F.lit("f").alias("fingerprint"))
+    known = spark.createDataFrame(known.collect(), known.schema)
+    assert changes(listed, known).count() == 0
+    drop("d_2023-02.parquet", x=longs(1, 2))
+    os.remove(f"{root}/b_2023-01.parquet")
+    later = landing_files(spark, root)
+    found = changes(later, known)
+    assert {(r[0].rsplit("/", 1)[1], *r[1:]) for r in found.collect()} == {
+        ("b_2023-01.parquet", 2023, 1, True),
+        ("d_2023-02.parquet", 2023, 2, False),
+    }
+    name = lambda df: sorted(r[0].rsplit("/", 1)[1] for r in df.collect())
+    assert name(to_read(later, found, "month")) == ["a_2023-01.parquet", "c_2023-02.parquet", "d_2023-02.parquet"]
+    assert name(to_read(later, found, "file")) == ["d_2023-02.parquet"]
+
+
+# Rejected rows
+
+
+def test_rejected_rows_are_kept_as_they_came(spark, drop, dataset):
+    drop("a_2023-01.parquet", x=longs(1))
+    drop("late.parquet", x=pa.array(["a"]), extra=pa.array(["q"]), load=longs(4), reason=longs(5))
+    report = ingest(spark, dataset)
+    row = rejected(spark, dataset.reject_folder, report.load).first()
+    assert row["row"].asDict() == {"x": "a", "extra": "q", "load": 4, "reason": 5}
+    assert (row["load"], row["reason"]) == (report.load, "no period")
+    assert row["source_path"].endswith("/late.parquet")
+
+
+def test_rejected_rows_of_a_load_stay_apart_and_can_be_cleared(spark, drop, dataset):
+    root = drop("late.parquet", x=longs(1, 2))
+    dataset = replace(dataset, manifest=None)
+    first = ingest(spark, dataset)
+    os.remove(f"{root}/late.parquet")
+    drop("a_2023-01.parquet", x=longs(3))
+    clean = ingest(spark, dataset)
+    assert (clean.status, clean.rejected) == ("ok", False)
+    assert rejected(spark, dataset.reject_folder, clean.load) is None
+    drop("later.parquet", x=pa.array([0.5]), y=pa.array(["z"]))
+    third = ingest(spark, dataset, "append")
+    every = rejected(spark, dataset.reject_folder)
+    assert sorted((r["load"], r["row"]["x"], r["row"]["y"]) for r in every.collect()) == [
+        (first.load, 1.0, None), (first.load, 2.0, None), (third.load, 0.5, "z"),
+    ]
+    clear(spark, dataset.reject_folder, first.load)
+    assert [r["load"] for r in rejected(spark, dataset.reject_folder).collect()] == [third.load]
+    assert rejected(spark, dataset.reject_folder, first.load).count() == 0
+
+
+def test_rows_with_unfit_values_are_kept_if_asked(spark, drop, dataset):
+    columns = T.StructType([T.StructField("x", T.LongType()), T.StructField("y", T.IntegerType())])
+    dataset = replace(dataset, contract=replace(dataset.contract, columns=columns), manifest=None)
+    drop("a_2023-01.parquet", x=pa.array(["1", "no", None, "nor"]), y=pa.array([1.0, 2.0, 3.0, 1e30]), z=longs(1, 2, 3, 4))
+    drop("a_2023-02.parquet", x=longs(5), y=pa.array([5], pa.int32()))
+    plain = ingest(spark, dataset)
+    assert (plain.status, plain.values_lost) == ("lossy", {"x": 2, "y": 1})
+    assert rejected(spark, dataset.reject_folder) is None
+    kept = ingest(spark, replace(dataset, keep_unfit=True))
+    rows = rejected(spark, dataset.reject_folder, kept.load).collect()
+    assert sorted((r["reason"], r["row"]["x"], r["row"]["y"], r["row"]["z"]) for r in rows) == [
+        ("does not fit: x", "no", 2.0, 2),
+        ("does not fit: x, y", "nor", 1e30, 4),
+    ]
+
+
+# Rules
+
+
+def judged(spark, rows, expected, last=None):
+    contract = TableContract(
+        "t", T.StructType([T.StructField("v", T.LongType()), T.StructField("at", T.TimestampNTZType())]), event_time="at"
+    )
+    df = spark.createDataFrame(rows, "v bigint, at timestamp_ntz, ano int, mes int")
+    before = spark.createDataFrame(last, "ano int, mes int, rows bigint") if last is not None else None
+    found = verdicts(df, contract, expected, before)
+    return {(r["ano"], r["mes"], r["rule"]): (r["measured"], r["passed"]) for r in found.collect()}, found
+
+
+def test_verdicts_of_every_kind_of_rule(spark):
+    import datetime as dt
+
+    inside, outside = dt.datetime(2023, 1, 5), dt.datetime(2009, 1, 1)
+    rows = [(1, inside, 2023, 1), (None, inside, 2023, 1), (-3, outside, 2023, 1), (4, None, 2023, 1), (1, None, 2023, 2)]
+    expected = Expectations((nulls("v", 0.25), Rule("negative", "v < 0", 0.2)), 0.2, 2, 0.5, 2.0)
+    found, frame = judged(spark, rows, expected, [(2023, 1, 2), (2023, 3, 9)])
+    assert found == {
+        (2023, 1, "v is null"): (0.25, True),
+        (2023, 1, "negative"): (0.25, False),
+        (2023, 1, "out of period"): (0.25, False),
+        (2023, 1, "rows"): (4.0, True),
+        (2023, 1, "rows against last load"): (2.0, True),
+        (2023, 2, "v is null"): (0.0, True),
+        (2023, 2, "negative"): (0.0, True),
+        (2023, 2, "out of period"): (0.0, True),
+        (2023, 2, "rows"): (1.0, False),
+        (2023, 2, "rows against last load"): (None, True),
+        (2023, 3, "v is null"): (0.0, True),
+        (2023, 3, "negative"): (0.0, True),
+        (2023, 3, "out of period"): (0.0, True),
+        (2023, 3, "rows"): (0.0, False),
+        (2023, 3, "rows against last load"): (0.0, False),
+    }
+    with pytest.raises(ValidationError, match="t: 5 rules failed: 2023-01 negative: 0.25 outside None..0.2"):
+        require_passed(frame, "t")
+    require_passed(frame.where("passed"), "t")
+
+
+def test_rules_are_one_pass(spark):
+    expected = Expectations(tuple(Rule(f"r{i}", f"v = {i}") for i in range(20)), 0.1, 1)
+    _, frame = judged(spark, [(1, None, 2023, 1)], expected)
+    assert plan_of(frame.where("passed")).count("Exchange") == 1
+
+
+# Publishing after a check
+
+
+@pytest.fixture
+def checked(dataset):
+    expected = Expectations((nulls("x", 0.5),), least_rows=1, least_of_last=0.5)
+    return replace(dataset, expected=expected, manifest=None)
+
+
+def test_readers_keep_the_old_rows_until_a_load_has_passed(spark, drop, checked):
+    drop("a_2023-01.parquet", x=longs(1, 2))
+    root = drop("a_2023-02.parquet", x=longs(3, 4))
+    ingest(spark, checked)
+    old = {(2023, 1): 3, (2023, 2): 7}
+    assert months_of(spark, checked) == old
+    reader = spark.table(checked.contract.name).select("x")
+    drop("a_2023-01.parquet", x=longs(10, 20))
+    drop("a_2023-02.parquet", x=longs(None, None))
+    (report,) = run_bronze(spark, [checked])
+    assert report.status == "failed" and "2023-02 x is null: 1 outside None..0.5" in report.message
+    assert months_of(spark, checked) == old and reader.count() == 4
+    drop("a_2023-02.parquet", x=longs(30))
+    (report,) = run_bronze(spark, [checked])
+    assert report.status == "ok"
+    assert months_of(spark, checked) == {(2023, 1): 30, (2023, 2): 30}
+    os.remove(f"{root}/a_2023-01.parquet")
+    drop("a_2023-03.parquet", x=longs(5))
+    ingest(spark, checked)
+    assert months_of(spark, checked) == {(2023, 1): 30, (2023, 2): 30, (2023, 3): 5}
+    with pytest.raises(ValidationError, match="2023-01 rows: 0 outside"):
+        ingest(spark, checked, "replace_all")
+    ingest(spark, replace(checked, expected=Expectations()), "replace_all")
+    assert months_of(spark, checked) == {(2023, 2): 30, (2023, 3): 5}
+
+
+def test_checked_and_plain_loads_do_not_mix(spark, drop, checked, name):
+    drop("a_2023-01.parquet", x=longs(1))
+    ingest(spark, checked)
+    with pytest.raises(ContractError, match="do not go together"):
+        ingest(spark, replace(checked, expected=None))
+    with pytest.raises(ValueError, match="appended"):
+        ingest(spark, checked, "append")
+    plain = replace(checked, expected=None, contract=replace(checked.contract, name=f"{name}2"), location=f"{checked.location}2")
+    ingest(spark, plain)
+    with pytest.raises(ContractError, match="do not go together"):
+        ingest(spark, replace(plain, expected=checked.expected))
+
+
+# Registration
+
+
+def test_only_touched_partitions_are_registered_and_no_folder_is_listed(spark, drop, dataset, monkeypatch):
+    for month in range(1, 4):
+        drop(f"a_2023-{month:02d}.parquet", x=longs(month))
+    dataset = replace(dataset, manifest=None)
+    said = []
+    original = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: said.append(text) or original(self, text, *a, **k))
+    ingest(spark, dataset)
+    ingest(spark, dataset, period=PeriodRange((2023, 2), (2023, 2)))
+    added = [text for text in said if "PARTITION (" in text]
+    assert [text.count("PARTITION (") for text in added] == [3, 1]
+    assert not any("MSCK" in text or "RECOVER" in text for text in said)
+    assert months_of(spark, dataset) == {(2023, 1): 1, (2023, 2): 2, (2023, 3): 3}
+
+
+def test_replace_all_forgets_other_months(spark, drop, dataset):
+    for month in range(1, 4):
+        root = drop(f"a_2023-{month:02d}.parquet", x=longs(month))
+    dataset = replace(dataset, manifest=None)
+    ingest(spark, dataset, "replace_all")
+    os.remove(f"{root}/a_2023-02.parquet")
+    drop("a_2024-01.parquet", x=longs(9))
+    ingest(spark, dataset, "replace_all")
+    assert known_months(spark, dataset.contract.name) == {(2023, 1), (2023, 3), (2024, 1)}
+    assert months_of(spark, dataset) == {(2023, 1): 1, (2023, 3): 3, (2024, 1): 9}
+
+
+def test_partition_statements_for_many_months(spark, tmp_path, name):
+    contract = TableContract(name, T.StructType([T.StructField("x", T.LongType())]))
+    ensure_database(spark, name.split(".")[0])
+    ensure_table(spark, contract, str(tmp_path / "t"))
+    months = {(y, m) for y in range(2000, 2010) for m in range(1, 13)}
+    add_months(spark, contract, months)
+    add_months(spark, contract, {(2000, 1), (2011, 5)}, str(tmp_path / "load 'x'"))
+    assert known_months(spark, name) == months | {(2011, 5)}
+    add_months(spark, contract, {(2011, 5)}, only=True)
+    assert known_months(spark, name) == {(2011, 5)}
+
+
+def test_months_prune_partitions(spark, drop, dataset):
+    for month in range(1, 6):
+        drop(f"a_2023-{month:02d}.parquet", x=longs(month))
+    ingest(spark, replace(dataset, manifest=None))
+    some = MonthSet(frozenset({(2023, 2), (2023, 5), (2022, 1)}))
+    df = spark.table(dataset.contract.name).where(some.holds(F.col("ano"), F.col("mes")))
+    assert len(df.inputFiles()) == 2
+    assert df.agg(F.sum("x")).first()[0] == 7
+    none = spark.table(dataset.contract.name).where(MonthSet(frozenset()).holds(F.col("ano"), F.col("mes")))
+    assert none.count() == 0
+
+
+# Appending once
+
+
+def test_append_with_a_file_key_takes_each_file_once(spark, drop, dataset):
+    dataset = replace(dataset, contract=replace(dataset.contract, file_key="key"), manifest=None)
+    drop("a_2023-01.parquet", x=longs(1, 1))
+    drop("a_2023-02.parquet", x=pa.array([2.0]))
+    assert ingest(spark, dataset, "append").rows_written == 3
+    second = ingest(spark, dataset, "append")
+    assert (second.status, second.message) == ("unchanged", "all files have been appended before")
+    drop("b_2023-01.parquet", x=longs(10))
+    third = ingest(spark, dataset, "append")
+    assert (third.rows_read, third.months) == (1, {(2023, 1)})
+    assert months_of(spark, dataset) == {(2023, 1): 12, (2023, 2): 2}
+    assert spark.table(dataset.contract.name).select("key").distinct().count() == 3
+    keys = {r[0] for r in landing_files(spark, dataset.landing).select("key").collect()}
+    assert keys == {r[0] for r in spark.table(dataset.contract.name).select("key").distinct().collect()}
+
+
+def test_append_that_was_cut_off_before_its_record_is_not_doubled(spark, drop, dataset, monkeypatch):
+    dataset = replace(dataset, contract=replace(dataset.contract, file_key="key"))
+    drop("a_2023-01.parquet", x=longs(1))
+    with monkeypatch.context() as patch:
+        patch.setattr(Manifest, "done", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            ingest(spark, dataset, "append", changed_only=True)
+    assert ingest(spark, dataset, "append", changed_only=True).status == "unchanged"
+    assert months_of(spark, dataset) == {(2023, 1): 1}
+    assert ingest(spark, dataset, "append", changed_only=True).message == "no file is new, changed or gone"
+
+
+def test_append_without_a_key_doubles_on_purpose(spark, drop, dataset):
+    drop("a_2023-01.parquet", x=longs(1))
+    for _ in range(2):
+        ingest(spark, replace(dataset, manifest=None), "append")
+    assert months_of(spark, dataset) == {(2023, 1): 2}
+
+
+# Stored states
+
+
+def test_states_of_changed_months_give_the_whole_mean(spark, tmp_path, name):
+    ensure_database(spark, name.split(".")[0])
+    rows = [(float(v), f"2023-0{m}-01 0{h}:00:00", k, 2023, m) for m in (1, 2, 3) for h in (1, 2) for k, v in (("a", m * h), ("b", h))]
+    rows += [(None, "2023-01-01 09:00:00", "a", 2023, 1)]
+    schema = "v double, at string, kind string, ano int, mes int"
+
+    def silver(values):
+        df = spark.createDataFrame(values, schema).withColumn("at", F.col("at").cast("timestamp_ntz"))
+        df.write.mode("overwrite").partitionBy("ano", "mes").saveAsTable(name)
+        return spark.table(name)
+
+    hour = F.hour("at").alias("h")
+    result = IncrementalResult(
+        f"{name}_r", str(tmp_path / "r"), lambda df: mean_states(df, "v", [hour, F.col("kind")]),
+        lambda s: merged_mean(s.where("kind = 'a'"), ("h",), "mean"), ("h",),
+    )
+    read = []
+
+    def stored(months=None):
+        df = run_gold(spark, (result,), name, months=months)[result.table]
+        return {r[0]: r[1] for r in df.collect()}
+
+    df = silver(rows)
+    whole = lambda df: {r[0]: r[1] for r in mean_by_hour(df.where("kind = 'a'"), "v", "at", None, None, ("ano", "mes"), "h", "mean").collect()}
+    february = MonthSet(frozenset({(2023, 2)}))
+    assert stored(february) == whole(df) == {1: 2.0, 2: 4.0, 9: None}  # nothing stored yet: all months
+    changed = [r for r in rows if r[4] != 2] + [(100.0, "2023-02-01 01:00:00", "a", 2023, 2)]
+    df = silver(changed)
+    original = result.states
+    spied = replace(result, states=lambda df: read.append(len(df.inputFiles())) or original(df))
+    found = run_gold(spark, (spied,), name, months=february)[result.table]
+    assert {r[0]: r[1] for r in found.collect()} == whole(df)
+    assert read[0] < len(df.inputFiles())
+    monthly = merged_mean(spark.read.parquet(result.state_folder).where("kind = 'a'"), ("ano", "mes"), "mean")
+    assert rows_of(monthly) == rows_of(mean_by_period(df, "v", "a", "kind", ("ano", "mes"), "mean"))
+
+
+def test_scan_of_wanted_files_only(spark, drop, dataset):
+    for month in (1, 2, 3):
+        root = drop(f"a_2023-{month:02d}.parquet", x=longs(month))
+    wanted = landing_files(spark, root).where("month <> 2").select("path")
+    found = scan(spark, root, dataset.contract, wanted=wanted)
+    assert found.summary.months == {(2023, 1), (2023, 3)}
+    assert sorted(f[-10:-8] for df in found.groups for f in df.inputFiles()) == ["01", "03"]
+    assert row_counts(found.groups[0], dataset.contract).count() == 2

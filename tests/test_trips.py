@@ -18,11 +18,13 @@ from jobs import trips as job
 from sedimenta.functions.period import PeriodRange
 from sedimenta.operators.means import mean_by_hour, mean_by_period
 from sedimenta.operators.unify import SourceMapping, map_source, unify
+from sedimenta.operators.validate import ValidationError
 from sedimenta.plans import trips
 from sedimenta.plans.bronze import Dataset, report_frame, run_bronze
 from sedimenta.plans.pipeline import Pipeline, run_pipeline
 from sedimenta.plans.silver import PipelineError, SilverLayer, run_silver, unified
 from sedimenta.plans.trips import trips_pipeline
+from sedimenta.sources.rejects import rejected
 from tests.conftest import plan_of, rows_of
 
 YELLOW_FILES = {  # month of the file: type of passenger_count
@@ -176,6 +178,48 @@ def test_job_script_with_csv(spark, lake, tmp_path):
     check_gold({t: spark.table(t) for t in (trips.MONTHLY_MEAN_TABLE, trips.HOURLY_MEAN_TABLE)}, yellow, green)
 
 
+def test_job_script_over_changed_files_only(spark, lake, tmp_path):
+    _, yellow, green, roots = lake
+    arguments = [x for n, path in roots.items() for x in (f"--{n}", path)]
+    arguments += ["--manifest", str(tmp_path / "manifest"), "--changed-only", "--publish-checked"]
+    job.main([*arguments, "--least-rows", "100"])
+    check_gold({t: spark.table(t) for t in (trips.MONTHLY_MEAN_TABLE, trips.HOURLY_MEAN_TABLE)}, yellow, green)
+    more = make_trips(tmp_path, "yellow", "tpep", {(2023, 1): pa.float64(), (2023, 6): pa.int64()}, 7)
+    yellow = [r for r in yellow if r[:2] != (2023, 1)] + more
+    for _ in range(2):  # the second time there is nothing to load
+        job.main(arguments)
+        check_gold({t: spark.table(t) for t in (trips.MONTHLY_MEAN_TABLE, trips.HOURLY_MEAN_TABLE)}, yellow, green)
+    assert spark.table(trips.TRIPS_TABLE).count() == len(yellow) + len(green)
+
+
+def test_job_script_fails_where_a_rule_does(spark, lake):
+    _, _, _, roots = lake
+    arguments = [x for n, path in roots.items() for x in (f"--{n}", path)]
+    with pytest.raises(ValidationError, match="taxi_yellow: 3 rules failed.*corridas_taxi: 3 rules failed"):
+        job.main([*arguments, "--out-of-period", "0"])  # a clock was off in each file
+    job.main([*arguments, "--steps", "validate", "--out-of-period", "0.01", "--least-rows", "200"])
+    with pytest.raises(ValidationError, match="2022-05 rows: 200 outside 201"):
+        job.main([*arguments, "--steps", "validate", "--least-rows", "201"])
+
+
+def test_empty_landing_stops_later_layers_unless_allowed(spark, lake, tmp_path):
+    pipeline, *_ = lake
+    run_pipeline(spark, pipeline)
+    mistyped = replace(pipeline.bronze[0], landing=str(tmp_path / "landing" / "yelow"))
+    wrong = replace(pipeline, bronze=(mistyped, pipeline.bronze[1]))
+    with pytest.raises(PipelineError, match="taxi_yellow: no Parquet file"):
+        run_pipeline(spark, wrong)
+    assert run_pipeline(spark, wrong, allow_empty=True).reports[0].status == "empty"
+
+
+def test_no_folder_may_be_another_layers(lake, tmp_path):
+    pipeline, *_ = lake
+    for option in ("rejects", "manifest"):
+        first = replace(pipeline.bronze[0], **{option: pipeline.silver.location})
+        with pytest.raises(ValueError, match="overlap"):
+            replace(pipeline, bronze=(first, pipeline.bronze[1]))
+
+
 def test_failed_dataset_stops_later_layers_but_not_its_sibling(spark, lake, tmp_path):
     pipeline, *_ = lake
     run_pipeline(spark, pipeline)
@@ -226,17 +270,17 @@ def test_report_of_every_outcome(spark, lake, tmp_path):
             for n in ("nothing", "dirty", "corrupt", "only_undated")
         ],
     )
-    lines = report_frame(spark, reports).drop("message").collect()
+    lines = report_frame(spark, reports).drop("message", "load").collect()
     assert [tuple(r) for r in lines] == [
-        (name, "ok", 600, 600, 0, {}),
-        (f"{name}_nothing", "empty", 0, 0, 0, {}),
-        (f"{name}_dirty", "rejected", 6, 3, 3, {"VendorID": 1, "passenger_count": 2}),
-        (f"{name}_corrupt", "failed", 0, 0, 0, {}),
-        (f"{name}_only_undated", "rejected", 3, 0, 3, {}),
+        (name, "ok", False, False, 600, 600, 0, {}),
+        (f"{name}_nothing", "empty", False, False, 0, 0, 0, {}),
+        (f"{name}_dirty", "rejected", True, True, 6, 3, 3, {"VendorID": 1, "passenger_count": 2}),
+        (f"{name}_corrupt", "failed", False, False, 0, 0, 0, {}),
+        (f"{name}_only_undated", "rejected", True, False, 3, 0, 3, {}),
     ]
-    kept = spark.read.parquet(str(tmp_path / "out" / "dirty_rejects"))
+    kept = rejected(spark, str(tmp_path / "out" / "dirty_rejects"))
     assert kept.count() == 3 and kept.where("source_path LIKE '%undated.parquet'").count() == 3
-    assert kept.where("passenger_count = 1").count() == 1
+    assert kept.where("row.passenger_count = 1 AND row.VendorID = '1'").count() == 1
 
 
 @pytest.mark.parametrize("fault", ["rejected", "lossy"])
