@@ -13,6 +13,8 @@ _LINEITEM = (
 _PERIOD = (
     "CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month"
 )
+_FEBRUARY = "year(l_shipdate) = 1996 AND month(l_shipdate) = 2"
+_TAX_TEXT = "CASE WHEN l_returnflag = 'R' THEN 'n/a' ELSE CAST(l_tax AS VARCHAR) END"
 _ROWS_PER_MONTH = f"SELECT {_PERIOD}, count(*) AS n_rows FROM lineitem GROUP BY ALL"
 
 _SILVER = f"""
@@ -102,9 +104,77 @@ UNION ALL
 VALUES ('mistyped', 'failed', 0, 0, 0, 0), ('nothing', 'empty', 0, 0, 0, 0)
 """,
     "undated_rows": f"""
-SELECT * REPLACE (CASE WHEN l_returnflag <> 'R' THEN l_tax END AS l_tax),
+SELECT * REPLACE ({_TAX_TEXT} AS l_tax), 'n' || l_linenumber AS note, 'no period' AS reason,
        'lineitem_undated.parquet' AS source_drop
 FROM (SELECT {_LINEITEM} FROM lineitem WHERE l_linestatus = 'F')
+""",
+    "unfit_rows": f"""
+SELECT l_orderkey, l_linenumber, {_TAX_TEXT} AS l_tax, 'n' || l_linenumber AS note,
+       'does not fit: l_tax' AS reason
+FROM lineitem WHERE l_linestatus <> 'F' AND l_returnflag = 'R'
+""",
+    "alternating_types": f"SELECT {_LINEITEM}, {_PERIOD} FROM lineitem",
+    "extras_widened": f"""
+SELECT l_orderkey, l_linenumber, {_PERIOD},
+       CASE WHEN year(l_shipdate) <= 1996 THEN CAST(l_linenumber AS VARCHAR)
+            WHEN year(l_shipdate) <= 1998 THEN CAST(l_quantity AS VARCHAR)
+            ELSE l_returnflag END AS note,
+       CASE WHEN year(l_shipdate) <= 1998 THEN CAST(l_linenumber AS DOUBLE)
+            ELSE l_quantity / 4 END AS weight
+FROM lineitem
+""",
+    "incremental_reload": f"""
+SELECT {_PERIOD}, count(*) AS n_rows,
+       year(l_shipdate) = 1996 AND month(l_shipdate) = 2 AS reread,
+       (SELECT count(*) FROM lineitem WHERE {_FEBRUARY} AND l_returnflag = 'R') AS rows_read_again
+FROM lineitem WHERE l_returnflag = 'R' OR NOT ({_FEBRUARY}) GROUP BY ALL
+""",
+    "append_twice_once": _ROWS_PER_MONTH,
+    "validation_verdicts": f"""
+WITH filed AS (
+  SELECT *, {_FEBRUARY} AS misfiled FROM lineitem
+), counted AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS year,
+         CAST(CASE WHEN misfiled THEN 3 ELSE month(l_shipdate) END AS INTEGER) AS month,
+         count(*) AS n, count(*) FILTER (WHERE l_returnflag = 'R') AS untaxed,
+         count(*) FILTER (WHERE l_extendedprice < 2000) AS cheap,
+         count(*) FILTER (WHERE misfiled) AS misfiled
+  FROM filed GROUP BY 1, 2
+), before AS ({_ROWS_PER_MONTH}), both_loads AS (
+  SELECT year, month, coalesce(n, 0) AS n, coalesce(untaxed, 0) AS untaxed, coalesce(cheap, 0) AS cheap,
+         coalesce(misfiled, 0) AS misfiled, n_rows
+  FROM before LEFT JOIN counted USING (year, month)
+), judged AS (
+  SELECT year, month, 'l_tax is null' AS rule,
+         CASE WHEN n = 0 THEN 0 ELSE untaxed / n END AS measured,
+         CAST(NULL AS DOUBLE) AS low, CAST(0.25 AS DOUBLE) AS high FROM both_loads
+  UNION ALL
+  SELECT year, month, 'cheap', CASE WHEN n = 0 THEN 0 ELSE cheap / n END, NULL, 0.01 FROM both_loads
+  UNION ALL
+  SELECT year, month, 'out of period', CASE WHEN n = 0 THEN 0 ELSE misfiled / n END, NULL, 0 FROM both_loads
+  UNION ALL
+  SELECT year, month, 'rows', n, 100, NULL FROM both_loads
+  UNION ALL
+  SELECT year, month, 'rows against last load', n / n_rows, 0.5, 1.5 FROM both_loads
+)
+SELECT year, month, rule, measured, low, high,
+       coalesce(measured >= low, true) AND coalesce(measured <= high, true) AS passed
+FROM judged
+""",
+    "staged_publish": f"""
+SELECT {_PERIOD}, count(*) AS n_rows, count(l_tax) AS n_taxed, true AS refused
+FROM lineitem
+WHERE l_returnflag = 'R' OR NOT (year(l_shipdate) = 1996 AND month(l_shipdate) = 3) GROUP BY ALL
+""",
+    "gold_incremental": f"""
+WITH silver AS ({_SILVER})
+SELECT CAST(hour(start_ts) AS INTEGER) AS hour_of_day, kind, round(avg(quantity), 6) AS mean_quantity
+FROM (
+  SELECT start_ts, kind, quantity FROM silver WHERE kind = 'events'
+  UNION ALL
+  SELECT l_shipdate, 'lineitem', CAST(trunc(l_quantity) AS INTEGER) FROM lineitem
+  WHERE l_returnflag = 'R' OR NOT ({_FEBRUARY})
+) GROUP BY ALL
 """,
     "grown_contract": f"SELECT {_LINEITEM}, {_PERIOD} FROM lineitem",
     "written_codec": f"""

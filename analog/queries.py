@@ -23,15 +23,17 @@ from sedimenta.functions.period import PeriodRange
 from sedimenta.operators.conform import conform, conform_all
 from sedimenta.operators.layers import export_csv, reprocess_partition, write_layer
 from sedimenta.operators.materialize import materialize
-from sedimenta.operators.means import mean_by_hour, mean_by_period
+from sedimenta.operators.means import mean_by_hour, mean_by_period, mean_states, merged_mean
 from sedimenta.operators.unify import SourceMapping, map_source
+from sedimenta.operators.validate import Expectations, Rule, ValidationError, nulls, row_counts, verdicts
 from sedimenta.operators.validate import validate_table as validate
 from sedimenta.plans.bronze import ingest, report_frame, run_bronze
-from sedimenta.plans.gold import GoldResult
+from sedimenta.plans.gold import GoldResult, IncrementalResult
 from sedimenta.plans.pipeline import Pipeline, run_pipeline
 from sedimenta.plans.silver import unified
 from sedimenta.sources.catalog import ensure_table, read_table, recover
 from sedimenta.sources.landing import scan
+from sedimenta.sources.rejects import rejected
 
 def _monthly(df: DataFrame, kind: str = "lineitem") -> DataFrame:
     means = mean_by_period(df, "amount", kind, "kind", PERIOD, "mean_amount")
@@ -231,10 +233,11 @@ def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stage_dirty(whole: DataFrame, landing: str) -> None:
-    """Tax as text, unreadable in returned lines; finished lines under a name without a month."""
+    """Tax as text, unreadable in returned lines; finished lines under a name without a month; a
+    column that is not declared."""
     tax = F.when(F.col("l_returnflag") == "R", "n/a").otherwise(F.col("l_tax").cast("string"))
     stage(
-        whole.withColumn("l_tax", tax),
+        whole.withColumn("l_tax", tax).withColumn("note", F.concat(F.lit("n"), "l_linenumber")),
         landing,
         F.when(F.col("l_linestatus") == "F", "lineitem_undated.parquet").otherwise(
             monthly_drop("lineitem", "l_shipdate")
@@ -280,13 +283,22 @@ def dataset_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def undated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reject folder of a landing in which one drop names no month."""
+    """Rejected rows, as they came, of a landing in which one drop names no month."""
     at = lake(spark, sf_dir)
     dataset = at.lineitem_dataset("undated", _dirty(at))
-    ingest(spark, dataset)
-    rows = spark.read.parquet(dataset.reject_folder)
+    report = ingest(spark, dataset)
+    rows = rejected(spark, dataset.reject_folder, report.load)
     source = F.regexp_extract("source_path", r"([^/=]+\.parquet)/", 1).alias("source_drop")
-    return rows.select("*", source).drop("source_path")
+    return rows.select("row.*", "reason", source)
+
+
+def unfit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of dated drops of which a value does not fit, as they came."""
+    at = lake(spark, sf_dir)
+    dataset = replace(at.lineitem_dataset("unfit", _dirty(at)), keep_unfit=True)
+    report = ingest(spark, dataset)
+    rows = rejected(spark, dataset.reject_folder, report.load).where("reason <> 'no period'")
+    return rows.select("row.l_orderkey", "row.l_linenumber", "row.l_tax", "row.note", "reason")
 
 
 def grown_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -388,6 +400,156 @@ def all_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.gold[table]
 
 
+def _stage_alternating(whole: DataFrame, landing: str) -> None:
+    """Line number as bigint in odd months and as double in even ones."""
+    drop, number = monthly_drop("lineitem", "l_shipdate"), F.col("l_linenumber")
+    odd = F.month("l_shipdate") % 2 == 1
+    stage(whole.where(odd).withColumn("l_linenumber", number.cast("bigint")), landing, drop, "append")
+    stage(whole.where(~odd).withColumn("l_linenumber", number.cast("double")), landing, drop, "append")
+
+
+def alternating_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = lake(spark, sf_dir)
+    landing = at.landing("alternating", lambda to: _stage_alternating(at.table("lineitem"), to))
+    dataset = at.lineitem_dataset("alternated", landing)
+    ingest(spark, dataset)
+    return spark.table(dataset.contract.name).drop("ingestion_ts")
+
+
+def _stage_extras(whole: DataFrame, landing: str) -> None:
+    """Two undeclared columns whose types change: whole numbers, floating ones, and text."""
+    drop, year = monthly_drop("lineitem", "l_shipdate"), F.year("l_shipdate")
+    spans = (
+        (year <= 1996, "l_linenumber", F.col("l_linenumber")),
+        (year.between(1997, 1998), "l_quantity", F.col("l_linenumber").cast("bigint")),
+        (year >= 1999, "l_returnflag", F.col("l_quantity") / 4),
+    )
+    for span, note, weight in spans:
+        stage(whole.where(span).withColumns({"note": F.col(note), "weight": weight}), landing, drop, "append")
+
+
+def extras_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Undeclared columns of several types: one type for all rows."""
+    at = lake(spark, sf_dir)
+    landing = at.landing("extras", lambda to: _stage_extras(at.table("lineitem"), to))
+    dataset = at.lineitem_dataset("widened", landing)
+    ingest(spark, dataset)
+    rows = spark.read.parquet(dataset.location)
+    return rows.select("l_orderkey", "l_linenumber", "note", "weight", *PERIOD)
+
+
+def _replace_drop(rows: DataFrame, landing: str) -> None:
+    """The drops of these rows hold them and nothing else from now on."""
+    dealt = rows.withColumn("drop", monthly_drop("lineitem", "l_shipdate"))
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("drop").parquet(landing)
+
+
+def _of(year: int, month: int):
+    shipped = F.col("l_shipdate")
+    return (F.year(shipped) == year) & (F.month(shipped) == month)
+
+
+def _own_landing(at: Lake, label: str) -> str:
+    """Lineitem drops that a query may change."""
+    landing, _ = at.fresh(f"landing_{label}")
+    stage(at.table("lineitem"), landing, monthly_drop("lineitem", "l_shipdate"))
+    return landing
+
+
+def incremental_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, the second after one drop has changed: rows of every month, and whether the second
+    load has written it."""
+    at = lake(spark, sf_dir)
+    landing = _own_landing(at, "reload")
+    dataset = replace(at.lineitem_dataset("reloaded", landing), manifest=at.fresh("manifest")[0])
+    ingest(spark, dataset)
+    _replace_drop(at.table("lineitem").where(_of(1996, 2) & (F.col("l_returnflag") == "R")), landing)
+    again = ingest(spark, dataset, changed_only=True)
+    stamps = spark.table(dataset.contract.name).groupBy(*PERIOD).agg(
+        F.count("*").alias("n_rows"), F.min("ingestion_ts").alias("at")
+    )
+    first = stamps.agg(F.min("at")).first()[0]
+    return stamps.select(*PERIOD, "n_rows", (F.col("at") > F.lit(first)).alias("reread")).withColumn(
+        "rows_read_again", F.lit(again.rows_read).cast("bigint")
+    )
+
+
+def append_twice_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The early months appended, then all of them, then all again: each row once."""
+    at = lake(spark, sf_dir)
+    dataset = at.lineitem_dataset("keyed")
+    dataset = replace(dataset, contract=replace(dataset.contract, file_key="file_key"))
+    for months in (PeriodRange((1990, 1), (1997, 6)), None, None):
+        ingest(spark, dataset, "append", months)
+    return _rows_per_month(spark.table(dataset.contract.name))
+
+
+def validation_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules on a table with misfiled rows, its sizes compared with those of a clean load."""
+    at = lake(spark, sf_dir)
+    landing = at.landing("misfiled", lambda to: _stage_misfiled(at.table("lineitem"), to))
+    dataset = at.lineitem_dataset("judged", landing)
+    ingest(spark, dataset)
+    clean = spark.table(at.bronze[0].contract.name)
+    expected = Expectations(
+        rules=(nulls("l_tax", 0.25), Rule("cheap", "l_extendedprice < 2000", 0.01)),
+        out_of_period=0.0,
+        least_rows=100,
+        least_of_last=0.5,
+        most_of_last=1.5,
+    )
+    return verdicts(spark.table(dataset.contract.name), dataset.contract, expected, row_counts(clean, dataset.contract))
+
+
+def staged_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads, each published after a check: all months, one month that fails, one that passes."""
+    at = lake(spark, sf_dir)
+    whole = at.table("lineitem")
+    expected = Expectations(rules=(nulls("l_tax", 0.5),), least_rows=1)
+    dataset = replace(at.lineitem_dataset("published"), expected=expected)
+    ingest(spark, dataset, "replace_all")
+    untaxed, returned = at.fresh("untaxed")[0], at.fresh("returned")[0]
+    drop = monthly_drop("lineitem", "l_shipdate")
+    stage(whole.where(_of(1996, 2)).withColumn("l_tax", F.lit(None).cast("double")), untaxed, drop)
+    stage(whole.where(_of(1996, 3) & (F.col("l_returnflag") == "R")), returned, drop)
+    try:
+        ingest(spark, replace(dataset, landing=untaxed))
+    except ValidationError:
+        refused = True
+    else:
+        refused = False
+    ingest(spark, replace(dataset, landing=returned))
+    rows = spark.table(dataset.contract.name).groupBy(*PERIOD)
+    return rows.agg(F.count("*").alias("n_rows"), F.count("l_tax").alias("n_taxed")).withColumn(
+        "refused", F.lit(refused)
+    )
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means per hour and kind over all months, from stored states, after one month has changed."""
+    at = lake(spark, sf_dir)
+    landing = _own_landing(at, "incremental")
+    lineitem = replace(at.lineitem_dataset("lineitem", landing), manifest=at.fresh("manifest")[0])
+    events = replace(at.events_dataset("events"), manifest=at.fresh("manifest")[0])
+    location, table = at.fresh("hourly_mean")
+    keys = ("hour_of_day", "kind")
+    result = IncrementalResult(
+        table,
+        location,
+        lambda df: mean_states(df, "quantity", [F.hour("start_ts").alias("hour_of_day"), F.col("kind")], PERIOD),
+        lambda states: merged_mean(states, keys, "mean_quantity"),
+        keys,
+        PERIOD,
+    )
+    datasets = (lineitem, events)
+    pipeline = Pipeline(datasets, at.silver_layer(datasets), (result,))
+    run_pipeline(spark, pipeline)
+    _replace_drop(at.table("lineitem").where(_of(1996, 2) & (F.col("l_returnflag") == "R")), landing)
+    run = run_pipeline(spark, pipeline, changed_only=True)
+    return run.gold[table].withColumn("mean_quantity", F.round("mean_quantity", 6))
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -412,6 +574,14 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         csv_export,
         dataset_status,
         undated_rows,
+        unfit_rows,
+        alternating_types,
+        extras_widened,
+        incremental_reload,
+        append_twice_once,
+        validation_verdicts,
+        staged_publish,
+        gold_incremental,
         grown_contract,
         written_codec,
         load_stamp,
