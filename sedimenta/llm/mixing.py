@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm import words as W
-from sedimenta.llm.rows import field, quoted, staged, unpacked, written
+from sedimenta.llm.rows import field, packed, quoted, unpacked, written
 
 
 @dataclass(frozen=True)
@@ -156,12 +156,13 @@ def mix(docs: DataFrame, size: Column, mixture: Mixture = Mixture(), source: str
     like an output are replaced.
     """
     # Places decide nothing but which of two equal rows is which.
-    rows = staged(docs.withColumn("__size", F.coalesce(size.cast("long"), F.lit(0).cast("long"))), "mixture")
+    words = F.coalesce(size.cast("long"), F.lit(0).cast("long")).alias("size")
+    rows = written(packed(docs, F.monotonically_increasing_id().alias("row"), words), "mixture")
     hashed = [c.name for c in docs.schema.fields if "map" not in c.dataType.simpleString() and "variant" not in c.dataType.simpleString()]
     narrow = rows.select(
         "row",
         field(source).alias("source"),
-        field("__size").alias("size"),
+        "size",
         F.xxhash64(F.lit(mixture.seed), *[field(c) for c in hashed]).alias("k"),
     )
     by_source = written(
@@ -188,9 +189,8 @@ def mix(docs: DataFrame, size: Column, mixture: Mixture = Mixture(), source: str
     extra = rounded(state, most, mixture)
     copied = known.select("row", "source_size", "target", sure.alias("sure")).join(extra, "row")
     joined = rows.join(copied.select("row", "source_size", "target", (F.col("sure") + F.col("extra")).alias("copies")), "row")
-    kept = joined.withColumn("size", field("__size")).withColumn("r", F.col("r").dropFields("__size"))
     return unpacked(
-        kept,
+        joined,
         size=F.col("size"),
         source_size=F.col("source_size"),
         target=F.col("target"),
@@ -201,5 +201,6 @@ def mix(docs: DataFrame, size: Column, mixture: Mixture = Mixture(), source: str
 
 def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The mix itself: every row as often as it is taken."""
-    again = mixed.where("copies > 0").withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
-    return again.select(*[quoted(c) for c in columns])
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("copies")))
+    again = mixed.where("copies > 0").select(F.struct(*[quoted(c) for c in columns]).alias("row"), copies.alias("copy"))
+    return again.select(*[F.col("row").getField(c).alias(c) for c in columns])
