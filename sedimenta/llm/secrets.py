@@ -46,7 +46,9 @@ class Entropy:
     allowed: tuple[str, ...] = (
         r"^[0-9+/_=-]+$",  # numbers, dates, rules of signs
         r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUIDs
-        r"(?i)example|placeholder|changeme|xxxx|0000",
+        # Nothing but words that stand for a secret; a random run that holds one is none.
+        r"(?i)^(?:(?:example|placeholder|changeme|sample|dummy|test|your|key|token|secret|password"
+        r"|x{4,}+|0{4,}+)[0-9]{0,4}+[/+_=-]*+)++$",
         r"^[A-Za-z]+([/_-][A-Za-z]+)*[/_-]?[0-9]*$",  # words with signs between, as in paths
     )
 

@@ -80,3 +80,22 @@ def test_odd_rows(spark):
     check(got, Entropy())
     assert dicts(secret_spans(empty_documents(spark))) == []
     assert "Python" not in found._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize(
+    ("run", "found"),
+    [
+        ("aB3dE5gH7jK9" + "0000" + "mN2pQ4rS6tU8vW1x", True),
+        ("q8Zexample7Yt2Wb5Nc9Kd4Lf6", True),
+        ("xxxx9fKq27LmZs83PwVt51Rb", True),
+        ("your-api0000-example-key-token-0001", True),
+        ("your-example-key-token-0001", False),
+        ("EXAMPLE_SECRET_KEY_0000000000", False),
+        ("xxxxxxxxxxxxxxxxxxxxxxxx0000", False),
+        ("x" * 3000 + "0q", False),
+    ],
+)
+def test_placeholders_hide_themselves_only(spark, run, found):
+    docs = spark.createDataFrame([(1, f"see {run} there")], "doc_id long, text string")
+    (row,) = secret_spans(docs, Entropy(mixed_bits=2.5)).collect()
+    assert bool(row["entropy"]) == found
