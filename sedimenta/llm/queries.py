@@ -93,10 +93,8 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "source", mixing.word_count(F.col("text")).alias("size")
-    )
-    mixed = mixing.mix(docs, F.col("size"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(docs, mixing.word_count(F.col("text")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
