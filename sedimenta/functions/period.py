@@ -113,6 +113,9 @@ class PeriodRange:
         if self.first > self.last or not months_fit:
             raise ValueError(f"no range of months: {self.first} to {self.last}")
 
+    def has(self, year: int, month: int) -> bool:
+        return self.first <= (year, month) <= self.last
+
     def holds(self, year: Column, month: Column) -> Column:
         """Row test built from plain comparisons, so it prunes partitions."""
         (y0, m0), (y1, m1) = self.first, self.last
@@ -129,6 +132,9 @@ class MonthSet:
 
     months: frozenset[tuple[int, int]]
 
+    def has(self, year: int, month: int) -> bool:
+        return (year, month) in self.months
+
     def holds(self, year: Column, month: Column) -> Column:
         """Row test built from plain comparisons, so it prunes partitions; false for no month."""
         found = F.lit(False)

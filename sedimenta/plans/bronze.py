@@ -177,11 +177,11 @@ def ingest(
         target = f"{dataset.loads_folder}/load={load}" if dataset.expected else dataset.location
         counts = _write(conformed, dataset, target, "replace_all" if dataset.expected else mode)
         read += counts["read"]
-        written, lost, months = counts["written"], counts["lost"], counts["months"]
+        written, lost, months = counts["written"], counts["lost"], staged.summary.months
         if lost and dataset.keep_unfit:
             _keep_unfit(staged, dataset, load)
         if dataset.expected is not None:
-            _publish(spark, dataset, target, mode, months)
+            months = _publish(spark, dataset, target, mode)
         else:
             register(spark, contract, dataset.location, months, replaced_all=mode == "replace_all")
     if manifest:
@@ -195,7 +195,7 @@ def ingest(
         values_lost=lost,
         message=message,
         load=load,
-        months=frozenset(m for m in months if None not in m),
+        months=months,
     )
 
 
@@ -291,7 +291,7 @@ def _not_appended(spark: SparkSession, contract: TableContract, listed: DataFram
 
 
 def _write(conformed: Conformed, dataset: Dataset, target: str, mode: WriteMode) -> dict:
-    """Write the rows; what was read, written and lost, and in which months."""
+    """Write the rows; how many were read and written, and which values were lost."""
     contract = dataset.contract
     scanned = Observation()
     rows = conformed.rows.observe(scanned, F.count("*").alias("rows"))
@@ -299,8 +299,7 @@ def _write(conformed: Conformed, dataset: Dataset, target: str, mode: WriteMode)
         rows = compacted(rows, contract.partition_by)
     # Observed behind the shuffle, if there is one: a rerun of its tasks counts once.
     seen = Observation()
-    months = F.collect_set(F.struct(*contract.partition_by)).alias("__months")
-    rows = rows.observe(seen, F.count("*").alias("__rows"), months, *conformed.lost_counts())
+    rows = rows.observe(seen, F.count("*").alias("__rows"), *conformed.lost_counts())
     rows = rows.drop(*conformed.lost_flags)
     if contract.loaded_at:
         rows = rows.withColumn(contract.loaded_at, F.current_timestamp())
@@ -309,7 +308,6 @@ def _write(conformed: Conformed, dataset: Dataset, target: str, mode: WriteMode)
     return {
         "read": scanned.get["rows"],
         "written": counts.pop("__rows"),
-        "months": frozenset(tuple(m) for m in counts.pop("__months")),
         "lost": {name: n for name, n in counts.items() if n},
     }
 
@@ -325,22 +323,21 @@ def _keep_unfit(staged: LandingScan, dataset: Dataset, load: str) -> None:
 
 
 def _publish(
-    spark: SparkSession,
-    dataset: Dataset,
-    target: str,
-    mode: WriteMode,
-    months: frozenset[tuple[int, int]],
-) -> None:
-    """Check a load in its folder, then let the table's partitions point there.
+    spark: SparkSession, dataset: Dataset, target: str, mode: WriteMode
+) -> frozenset[tuple[int, int]]:
+    """Check a load in its folder, then let the table's partitions point there; returns its months.
 
     A load that does not pass stays in its folder; readers keep what they have. The switch is one
     catalog call for each month that the table has already, so a run that is cut off there can leave
     some months at the new load; a rerun of the load completes it.
     """
     contract = dataset.contract
+    new = spark.read.schema(contract.table_schema).parquet(target)
+    # Reads no column of the files.
+    found = new.select(*contract.partition_by).distinct().collect()
+    months = frozenset((year, month) for year, month in found)
     if any(None in month for month in months):
         raise ContractError(f"{contract.name}: rows without a period cannot be published")
-    new = spark.read.schema(contract.table_schema).parquet(target)
     there = spark.catalog.tableExists(quoted(contract.name))
     last = None
     if there:
@@ -355,6 +352,7 @@ def _publish(
     if not there:
         spark.sql(f"ALTER TABLE {quoted(contract.name)} SET TBLPROPERTIES ('{BY_LOAD}' = 'true')")
     add_months(spark, contract, months, target, only=mode == "replace_all")
+    return months
 
 
 def register(
@@ -366,12 +364,12 @@ def register(
 ) -> None:
     """Database, table and partitions of a layer that has just been written.
 
-    ``months`` are those that were written; without them the folders of the table are listed.
+    ``months`` are those of the rows written, or more; without them the table's folders are listed.
     """
     if "." in contract.name:
         ensure_database(spark, contract.name.rsplit(".", 1)[0])
     ensure_table(spark, contract, location)
-    if months is None or any(None in month for month in months):
+    if months is None:
         recover(spark, contract.name, drop_missing=replaced_all)
     else:
         add_months(spark, contract, months, only=replaced_all)

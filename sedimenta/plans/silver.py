@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from sedimenta.contracts import TableContract, quoted
 from sedimenta.functions.period import Period
 from sedimenta.operators.layers import MB, WriteMode, write_layer
 from sedimenta.operators.unify import SourceMapping, map_source, unify
 from sedimenta.plans.bronze import register
-from sedimenta.sources.catalog import check_table, read_table
+from sedimenta.sources.catalog import check_table, known_months, read_table
 
 # Silver reads about a third of a Bronze file's columns; a task takes a whole large file, to
 # write one of 128 MB or more.
@@ -64,9 +63,18 @@ def run_silver(
     if period is not None and mode == "replace_all":
         raise ValueError("a range of months with replace_all would drop all other months")
     check_table(spark, layer.contract, layer.location)
-    seen = Observation()
-    months = F.collect_set(F.struct(*layer.contract.partition_by)).alias("months")
-    rows = unified(spark, layer, period).observe(seen, months)
+    rows = unified(spark, layer, period)
     write_layer(rows, layer.location, layer.contract.partition_by, mode, _SPLIT)
-    written = frozenset(tuple(m) for m in seen.get["months"])
-    register(spark, layer.contract, layer.location, written, replaced_all=mode == "replace_all")
+    months = _months(spark, layer, period)
+    register(spark, layer.contract, layer.location, months, replaced_all=mode == "replace_all")
+
+
+def _months(
+    spark: SparkSession, layer: SilverLayer, period: Period | None
+) -> frozenset[tuple[int, int]] | None:
+    """Months of the source tables, as the catalog has them; None if a mapping makes its own."""
+    partition_by = layer.contract.partition_by
+    if any(s.columns.get(c) != c for s in layer.sources for c in partition_by):
+        return None
+    months = frozenset().union(*(known_months(spark, s.source) for s in layer.sources))
+    return months if period is None else frozenset(m for m in months if period.has(*m))

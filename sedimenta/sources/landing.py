@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import timedelta, timezone
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 from math import ceil
 
@@ -41,6 +41,9 @@ FILE_SET = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
 
 _PROBES_AT_ONCE = 8
 
+#: So many file names are put in order by one task; more by several, in the same way.
+_FEW = 10_000
+
 
 class EmptyLanding(Exception):
     """There is no Parquet file to read."""
@@ -75,6 +78,10 @@ class LandingScan:
     summary: LandingSummary
 
 
+#: Scans with the place of the period in their paths, None for files without one.
+Frames = list[tuple[DataFrame, PeriodSlice | None]]
+
+
 def _reader(spark: SparkSession) -> DataFrameReader:
     return spark.read.options(**FILE_SET)
 
@@ -138,15 +145,22 @@ def _listing_tasks(spark: SparkSession) -> dict[str, str]:
     return {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(min(tasks, 10000))}
 
 
-def _summarise(spark: SparkSession, files: DataFrame, root: str) -> LandingSummary:
+def _summarise(
+    spark: SparkSession, files: DataFrame, root: str
+) -> tuple[LandingSummary, str, str, datetime]:
+    """What the listing says of the files inside; the first and the last path and the last time of all."""
     months = _listing(
         spark,
-        files.groupBy("year", "month").agg(
+        files.groupBy("inside", "year", "month").agg(
             F.count("*").alias("files"),
             F.sum("bytes").alias("bytes"),
+            F.min("path").alias("first"),
+            F.max("path").alias("last"),
+            F.max("modified").alias("modified"),
             *[F.collect_set(f"at_{anchor}").alias(f"at_{anchor}") for anchor in ANCHORS],
         ),
     )
+    every, months = months, [m for m in months if m["inside"]]
     if not months:
         raise EmptyLanding(f"no Parquet file under {root} for the months asked for")
     dated = [m for m in months if m["year"] is not None and m["month"] is not None]
@@ -156,7 +170,7 @@ def _summarise(spark: SparkSession, files: DataFrame, root: str) -> LandingSumma
         for anchor in ANCHORS
     }
     anchor = min(ANCHORS, key=lambda a: len(slices[a]))
-    return LandingSummary(
+    summary = LandingSummary(
         files=total,
         bytes=sum(m["bytes"] for m in months),
         files_without_period=total - sum(m["files"] for m in dated),
@@ -164,15 +178,20 @@ def _summarise(spark: SparkSession, files: DataFrame, root: str) -> LandingSumma
         anchor=anchor,
         slices=slices[anchor],
     )
+    bounds = (min(m["first"] for m in every), max(m["last"] for m in every))
+    return summary, *bounds, max(m["modified"] for m in every)
 
 
-def _merged(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
+def _merged(
+    spark: SparkSession, paths: Sequence[str], settled: dict[str, str] | None = None
+) -> DataFrame | None:
     """The paths under one merged footer schema, or None if their types disagree.
 
     Spark reads and merges the footers in a distributed job; an unreadable file raises.
     """
     try:
-        return _reader(spark).option("mergeSchema", "true").parquet(*paths)
+        reader = _reader(spark).options(**(settled or {}))
+        return reader.option("mergeSchema", "true").parquet(*paths)
     except (PySparkException, Py4JJavaError) as error:
         # A condition of its own only where Spark converts the error; else it stands in the text.
         condition = error.getCondition() if isinstance(error, PySparkException) else None
@@ -302,12 +321,12 @@ def scan(
             marked = wanted.select(F.col("path").alias("__path")).distinct()
             files = files.join(marked, F.col("path") == F.col("__path"), "left")
             files = files.withColumn("inside", F.col("inside") & F.col("__path").isNotNull()).drop("__path")
-        summary = _summarise(spark, files.where("inside"), root)
-        if whole is not None and summary.files_without_period == 0 and len(summary.slices) == 1:
-            frames = [(whole, next(iter(summary.slices)))]
-        else:
-            disagree = every and whole is None and summary.files_without_period == 0
-            frames = _scan_files(spark, files, summary.anchor, root, disagree, known, keep)
+        # Asked for each file once: a listing task looks every file up.
+        files = files.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            frames, summary = _read(spark, files, root, whole, every, known, keep)
+        finally:
+            files.unpersist()
 
     return LandingScan(
         groups=tuple(_with_period(df, contract, at) for df, at in frames if at is not None),
@@ -316,6 +335,29 @@ def scan(
     )
 
 
+def _read(
+    spark: SparkSession,
+    files: DataFrame,
+    root: str,
+    whole: DataFrame | None,
+    every: bool,
+    known: DataFrame | None,
+    keep: str | None,
+) -> tuple[Frames, LandingSummary]:
+    """The scans of the files inside: as few as their schemas and places of the period allow."""
+    summary, first, last, modified = _summarise(spark, files, root)
+    if whole is not None and summary.files_without_period == 0 and len(summary.slices) == 1:
+        return [(whole, next(iter(summary.slices)))], summary
+    places = _Places(spark, files, summary, root, first, last, _settled(modified))
+    disagree = every and whole is None
+    frames = None
+    if keep is None and not disagree:
+        frames = places.if_all_agree()
+    if frames is None:
+        frames = _scan_files(spark, places, disagree, known, keep)
+    return frames, summary
+
+
 def in_period(period: Period | None) -> Column:
     """Whether a listed file is of the months asked for; one without a month always is."""
     if period is None:
@@ -324,14 +366,81 @@ def in_period(period: Period | None) -> Column:
     return undated | period.holds(F.col("year"), F.col("month"))
 
 
-Frames = list[tuple[DataFrame, PeriodSlice | None]]
+@dataclass(frozen=True)
+class _Places:
+    """The listed files, those ``inside`` marked, and how to name them."""
+
+    spark: SparkSession
+    files: DataFrame
+    summary: LandingSummary
+    root: str
+    first: str
+    last: str
+    settled: dict[str, str]  # reader options that leave out files which came after the listing
+
+    @property
+    def asked(self) -> DataFrame:
+        """Files inside, with the place of the period: none for files without one."""
+        dated = F.col("year").isNotNull() & F.col("month").isNotNull()
+        columns = ("path", "bytes", "modified", "year", "month", "drop")
+        place = F.when(dated, F.col(f"at_{self.summary.anchor}")).alias("at")
+        return self.files.where("inside").select(*columns, place)
+
+    def names(self, grouped: DataFrame) -> dict[tuple[int, PeriodSlice | None], list[str]]:
+        """What to read for each schema and place of ``grouped`` (path, schema, at): the highest folders
+        that hold nothing else, and single files where a folder holds several kinds."""
+        inside = grouped.select(F.col("path").alias("__path"), F.struct("schema", "at").alias("kind"))
+        kinds = self.files.select("path").join(inside, F.col("path") == F.col("__path"), "left").drop("__path")
+        return self._tops(kinds)
+
+    def _tops(self, kinds: DataFrame) -> dict[tuple[int, PeriodSlice | None], list[str]]:
+        if self.summary.files <= _FEW:
+            kinds = kinds.repartition(1)  # no exchange from here on
+        # A root that is a pattern may have neighbours in its folders that are not asked for.
+        if re.search(r"[*?\[{]", self.root):
+            tops = kinds.where("kind IS NOT NULL").select("kind", F.col("path").alias("top"))
+        else:
+            shared = len(posixpath.commonprefix([self.first.split("/"), self.last.split("/")]))
+            depths = F.sequence(F.lit(shared), F.size(F.split("path", "/")))
+            above = kinds.withColumn("depth", F.explode(depths))
+            above = above.withColumn("name", F.expr("substring_index(path, '/', depth)"))
+            pure = above.groupBy("name").agg(
+                F.min("kind").alias("low"),
+                F.max("kind").alias("high"),
+                F.count_if(F.col("kind").isNull()).alias("others"),
+            )
+            pure = pure.where("others = 0 AND low <=> high").select("name")
+            tops = above.join(pure, "name").groupBy("path", "kind").agg(F.min_by("name", "depth").alias("top"))
+        found: dict[tuple[int, PeriodSlice | None], list[str]] = {}
+        for row in _listing(self.spark, tops.select("kind", "top").distinct()):
+            at = row["kind"]["at"]
+            key = (row["kind"]["schema"], PeriodSlice(**at.asDict()) if at else None)
+            found.setdefault(key, []).append(row["top"])
+        ordered = {kind: sorted(paths) for kind, paths in found.items()}
+        return dict(sorted(ordered.items(), key=lambda entry: entry[1]))
+
+    def if_all_agree(self) -> Frames | None:
+        """One scan per place of the period, under the merged schema of its files; None if the types
+        of one disagree."""
+        dated = F.col("year").isNotNull() & F.col("month").isNotNull()
+        kind = F.struct(F.lit(0).alias("schema"), F.when(dated, F.col(f"at_{self.summary.anchor}")).alias("at"))
+        frames: Frames = []
+        for (_, at), paths in self._tops(self.files.select("path", F.when(F.col("inside"), kind).alias("kind"))).items():
+            merged = _merged(self.spark, [_literal_path(p) for p in paths], self.settled)
+            if merged is None:
+                return None
+            frames.append((merged, at))
+        return frames
+
+
+def _settled(last: datetime) -> dict[str, str]:
+    after = (last + timedelta(milliseconds=1)).astimezone(timezone.utc)
+    return {"timeZone": "UTC", "modifiedBefore": after.strftime("%Y-%m-%dT%H:%M:%S.%f")}
 
 
 def _scan_files(
     spark: SparkSession,
-    files: DataFrame,
-    anchor: str,
-    root: str,
+    places: _Places,
     disagree: bool,
     known: DataFrame | None,
     keep: str | None,
@@ -341,11 +450,7 @@ def _scan_files(
     A constant number of jobs, and one for each distinct schema, however many files there are and
     in whatever order their types change.
     """
-    dated = F.col("year").isNotNull() & F.col("month").isNotNull()
-    place = F.when(dated, F.col(f"at_{anchor}")).alias("at")
-    columns = ("path", "bytes", "modified", "year", "month", "drop")
-    asked = files.where("inside").select(*columns, place)
-    tasks = spark.sparkContext.defaultParallelism
+    asked, tasks = places.asked, spark.sparkContext.defaultParallelism
     if known is None:
         read = fingerprinted(asked, tasks)
     else:
@@ -356,17 +461,15 @@ def _scan_files(
         read = fingerprinted(new, tasks).unionByName(old)
     if keep is not None:
         read.write.parquet(keep)
-        return _frames(spark, files, spark.read.schema(read.schema).parquet(keep), root, disagree)
+        return _frames(spark, places, spark.read.schema(read.schema).parquet(keep), disagree)
     read = read.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _frames(spark, files, read, root, disagree)
+        return _frames(spark, places, read, disagree)
     finally:
         read.unpersist()
 
 
-def _frames(
-    spark: SparkSession, files: DataFrame, read: DataFrame, root: str, disagree: bool
-) -> Frames:
+def _frames(spark: SparkSession, places: _Places, read: DataFrame, disagree: bool) -> Frames:
     kinds = _listing(
         spark,
         read.groupBy(FINGERPRINT, FAULT).agg(
@@ -386,9 +489,9 @@ def _frames(
         enumerate(schemas),
         F.lit(None).cast("int"),
     )
-    names = _names(spark, files, read.select("path", "at", number.alias("schema")), root)
+    names = places.names(read.select("path", "at", number.alias("schema")))
     return [
-        (_reader_of(spark, schemas[number][0], paths, kinds), at)
+        (_reader_of(spark, schemas[number][0], paths, places.settled), at)
         for (number, at), paths in names.items()
     ]
 
@@ -410,47 +513,10 @@ def _agreeing_kinds(
 
 
 def _reader_of(
-    spark: SparkSession, schema: T.StructType, paths: list[str], kinds: list[Row]
+    spark: SparkSession, schema: T.StructType, paths: list[str], settled: dict[str, str]
 ) -> DataFrame:
     """Scan of the named files and folders, without files that came after the listing."""
-    after = max(k["modified"] for k in kinds) + timedelta(milliseconds=1)
-    reader = _reader(spark).schema(schema).option("timeZone", "UTC")
-    reader = reader.option("modifiedBefore", after.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f"))
-    return reader.parquet(*map(_literal_path, paths))
-
-
-def _names(
-    spark: SparkSession, files: DataFrame, grouped: DataFrame, root: str
-) -> dict[tuple[int, PeriodSlice | None], list[str]]:
-    """What to read for each schema and place: the highest folders that hold nothing else, and
-    single files where a folder holds several kinds."""
-    kinds = files.select("path").join(
-        grouped.select(F.col("path").alias("__path"), "schema", "at"), F.col("path") == F.col("__path"), "left"
-    )
-    kinds = kinds.select("path", F.when(F.col("__path").isNotNull(), F.struct("schema", "at")).alias("kind"))
-    # A root that is a pattern may have neighbours in its folders that are not asked for.
-    if re.search(r"[*?\[{]", root):
-        tops = kinds.where("kind IS NOT NULL").select("kind", F.col("path").alias("top"))
-    else:
-        first, last = kinds.agg(F.min("path"), F.max("path")).first()
-        shared = len(posixpath.commonprefix([first.split("/"), last.split("/")]))
-        depths = F.sequence(F.lit(shared), F.size(F.split("path", "/")))
-        above = kinds.withColumn("depth", F.explode(depths))
-        above = above.withColumn("name", F.expr("substring_index(path, '/', depth)"))
-        pure = above.groupBy("name").agg(
-            F.min("kind").alias("low"),
-            F.max("kind").alias("high"),
-            F.count_if(F.col("kind").isNull()).alias("others"),
-        )
-        pure = pure.where("others = 0 AND low <=> high").select("name")
-        tops = above.join(pure, "name").groupBy("path", "kind").agg(F.min_by("name", "depth").alias("top"))
-    found: dict[tuple[int, PeriodSlice | None], list[str]] = {}
-    for row in _listing(spark, tops.select("kind", "top").distinct()):
-        at = row["kind"]["at"]
-        key = (row["kind"]["schema"], PeriodSlice(**at.asDict()) if at else None)
-        found.setdefault(key, []).append(row["top"])
-    ordered = {kind: sorted(paths) for kind, paths in found.items()}
-    return dict(sorted(ordered.items(), key=lambda entry: entry[1]))
+    return _reader(spark).options(**settled).schema(schema).parquet(*map(_literal_path, paths))
 
 
 def _scan_drops(spark: SparkSession, files: DataFrame, disagree: bool) -> Frames:

@@ -275,18 +275,21 @@ def test_file_that_comes_after_the_listing_is_not_read(spark, drop):
     drop("a_2023-01.parquet", VendorID=longs(1))
     root = drop("a_2023-02.parquet", VendorID=doubles(2))
     drop("b/a_2023-03.parquet", VendorID=doubles(3))
-    names = landing._names
+    names = landing._Places._tops
+    months = iter(range(4, 8))
 
     def late(*args):
         found = names(*args)
         time.sleep(0.01)
-        drop("b/a_2023-04.parquet", VendorID=longs(4))
+        drop(f"b/a_2023-{next(months):02d}.parquet", VendorID=longs(4))
         return found
 
     with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(landing, "_names", late)
+        patch.setattr(landing._Places, "_tops", late)
         found = scan(spark, root, CONTRACT)
+        ranged = scan(spark, f"{root}/b", CONTRACT, period=PeriodRange((2023, 1), (2023, 12)))
     assert rows_of(conform_all(found.groups, CONTRACT).rows.select("VendorID", "mes")) == [(1, 1), (2, 2), (3, 3)]
+    assert rows_of(conform_all(ranged.groups, CONTRACT).rows.select("VendorID", "mes")) == [(3, 3), (4, 4)]
 
 
 def test_store_without_a_client_in_the_tasks(spark, drop, monkeypatch):

@@ -465,3 +465,15 @@ def test_scan_of_wanted_files_only(spark, drop, dataset):
     assert found.summary.months == {(2023, 1), (2023, 3)}
     assert sorted(f[-10:-8] for df in found.groups for f in df.inputFiles()) == ["01", "03"]
     assert row_counts(found.groups[0], dataset.contract).count() == 2
+
+
+def test_month_without_rows(spark, drop, dataset):
+    drop("a_2023-01.parquet", x=longs(1))
+    drop("a_2023-02.parquet", x=longs())
+    report = ingest(spark, dataset)
+    assert (report.rows_written, report.months) == (1, {(2023, 1), (2023, 2)})
+    assert months_of(spark, dataset) == {(2023, 1): 1}
+    checked = replace(dataset, expected=Expectations(), location=f"{dataset.location}2", manifest=None,
+                      contract=replace(dataset.contract, name=f"{dataset.contract.name}2"))
+    assert ingest(spark, checked).months == {(2023, 1)}
+    assert months_of(spark, checked) == {(2023, 1): 1}
