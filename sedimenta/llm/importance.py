@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sedimenta.llm import words as W
-from sedimenta.llm.quality import SCALE, trusted_ids
+from sedimenta.llm.quality import FREQUENT, SCALE, trusted_ids
 from sedimenta.llm.rows import ROW, field, packed, unpacked, written
 
 
@@ -36,14 +36,25 @@ class Resampling:
     seed: int = 5
 
 
+#: Parts over which the rows of a hot n-gram are dealt.
+PARTS = 64
+
+
 @dataclass(frozen=True)
 class Model:
     """``counts``: gram, raw and target documents that have it, of n-grams in two documents or more;
-    ``trusted``: ids of the target documents; ``share``: n-grams of target documents among all."""
+    ``trusted``: ids of the target documents; ``share``: n-grams of target documents among all;
+    ``entries``: n-grams of all documents."""
 
     counts: DataFrame
     trusted: DataFrame
     share: float
+    entries: int
+
+    @property
+    def hot(self) -> Column:
+        """Whether an n-gram has more than its share of all entries: fewer than 10,000 have, ever."""
+        return F.col("raw") > FREQUENT * self.entries
 
 
 def distinct_grams(text: Column) -> Column:
@@ -64,23 +75,38 @@ def fit(docs: DataFrame, labels: DataFrame, params: Resampling, text: str = "tex
     )
     kept = written(counts, "grams")
     raws, targets = (seen.get.get(name) or 0 for name in ("raws", "targets"))
-    return Model(kept, trusted, targets / raws if raws else 0.0)
+    return Model(kept, trusted, targets / raws if raws else 0.0, raws)
 
 
 def gram_weights(model: Model, params: Resampling) -> DataFrame:
-    """gram, its scaled log ratio in an unlabelled document, ``own``, and in a trusted one, ``own_trusted``.
+    """gram, ``hot``, its scaled log ratio in an unlabelled document, ``own``, and in a trusted one, ``own_trusted``.
 
     Each is the ratio that the other documents give. Without trusted n-grams every ratio is 0.
     """
     if not model.share:
-        return model.counts.limit(0).select("gram", F.col("raw").alias("own"), F.col("raw").alias("own_trusted"))
+        return model.counts.limit(0).select("gram", model.hot.alias("hot"), F.col("raw").alias("own"), F.col("raw").alias("own_trusted"))
 
     def ratio(target: Column) -> Column:
         expected = F.lit(model.share) * (F.col("raw") - 1)
         return F.round(F.log((target + params.pseudo) / (expected + params.pseudo)) * SCALE).cast("long")
 
     others = F.greatest(F.col("target") - 1, F.lit(0).cast("long"))
-    return model.counts.select("gram", ratio(F.col("target")).alias("own"), ratio(others).alias("own_trusted"))
+    return model.counts.select(
+        "gram", model.hot.alias("hot"), ratio(F.col("target")).alias("own"), ratio(others).alias("own_trusted")
+    )
+
+
+def spread(entries: DataFrame, model: Model) -> DataFrame:
+    """Entries with ``part``: those of an n-gram that many rows have are dealt over the parts."""
+    hot = F.broadcast(model.counts.where(model.hot).select(F.col("gram").alias("hot")))
+    part = F.when(F.col("hot").isNotNull(), F.pmod("row", F.lit(PARTS))).otherwise(F.lit(0))
+    return entries.join(hot, F.col("gram") == F.col("hot"), "left").select("row", "trusted", "gram", part.cast("int").alias("part"))
+
+
+def spread_weights(model: Model, params: Resampling) -> DataFrame:
+    """Weights of n-grams, those of the hot ones once for each part."""
+    parts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    return gram_weights(model, params).withColumn("part", F.explode(parts)).drop("hot")
 
 
 def gumbel(*key: Column) -> Column:
@@ -145,11 +171,11 @@ def resample(
     labelled = rows.select("row", field(id_).alias("id"), field(text).alias("text")).join(
         F.broadcast(model.trusted), F.col("id") == F.col("trusted_id"), "left"
     )
-    # A row has an n-gram once, so the most frequent one has a row's share of all, however hot.
     entries = labelled.select(
         "row", F.col("trusted_id").isNotNull().alias("trusted"), F.explode(distinct_grams(F.col("text"))).alias("gram")
     )
-    found = entries.join(gram_weights(model, params), "gram").select("row", F.when(F.col("trusted"), F.col("own_trusted")).otherwise(F.col("own")).alias("w"))
+    found = spread(entries, model).join(spread_weights(model, params), ["gram", "part"])
+    found = found.select("row", F.when(F.col("trusted"), F.col("own_trusted")).otherwise(F.col("own")).alias("w"))
     totals = found.groupBy(F.col("row").alias("scored")).agg(F.sum("w").alias("total"))
     weight = F.coalesce("total", F.lit(0)) / SCALE
     keys = written(

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import math
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +59,60 @@ def test_good_documents_without_a_label_stay_however_few_have_one(spark, part):
     assert sum(r["log_weight"] > -4 for r in bad) < 0.2 * len(bad) and sum(r["kept"] for r in bad) < 0.4 * len(bad)
 
 
+def brute(rows, trusted, pseudo):
+    """log_weight of each row, and k, by hand; rows: (doc_id, text)."""
+    grams = []
+    for _, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        grams.append({(w,) for w in words} | set(zip(words, words[1:], strict=False)))
+    own = [i in trusted for i, _ in rows]
+    raw = Counter(g for of in grams for g in of)
+    target = Counter(g for of, is_trusted in zip(grams, own, strict=True) if is_trusted for g in of)
+    share = sum(target.values()) / sum(raw.values()) if raw else 0
+
+    def weight(gram, is_trusted):
+        t = target[gram] - is_trusted
+        return round(math.log((t + pseudo) / (share * (raw[gram] - 1) + pseudo)) * 10_000)
+
+    weights = [sum(weight(g, o) for g in of if raw[g] > 1) / 10_000 if share else 0 for of, o in zip(grams, own, strict=True)]
+    return weights, round(sum(min(1.0, math.exp(w)) for w in weights))
+
+
+@pytest.mark.parametrize("pseudo", [20.0, 0.5])
+@pytest.mark.parametrize("odd", [True, False])
+def test_equals_brute_force(spark, odd, pseudo):
+    """Weights, the number drawn, and the rows drawn: those with the largest keys."""
+    docs, lab = (odd_documents(spark), labels(spark)) if odd else corpus(spark)
+    params = Resampling(pseudo=pseudo)
+    got = dicts(resample(docs, fit(docs, lab, params), params))
+    good = {}
+    for r in dicts(lab):
+        good[r["doc_id"]] = good.get(r["doc_id"], True) and r["quality"] == 1 and r["toxic"] == 0
+    trusted = {i for i, fine in good.items() if fine and i is not None}
+    weights, k = brute([(r["doc_id"], r["text"]) for r in got], trusted, pseudo)
+    # Logarithms of two runtimes may round a half apart.
+    assert all(abs(r["log_weight"] - w) <= 1e-4 * max(1, r["n_grams"]) for r, w in zip(got, weights, strict=True))
+    assert sum(abs(r["log_weight"] - w) < 1e-9 for r, w in zip(got, weights, strict=True)) > 0.9 * len(got)
+    assert sum(r["kept"] for r in got) == k
+    drawn = sorted(got, key=lambda r: -r["key"])
+    assert {r["key"] for r in got if r["kept"]} == {r["key"] for r in drawn[:k]}
+    assert any(w > 0 for w in weights) and any(w < 0 for w in weights)
+
+
+def test_hot_grams_are_dealt_over_parts(spark):
+    docs, lab = corpus(spark)
+    model = fit(docs, lab, Resampling())
+    hot = model.counts.where(model.hot).count()
+    assert 0 < hot < 10_000
+    weights = importance.spread_weights(model, Resampling())
+    assert weights.count() == model.counts.count() + hot * (importance.PARTS - 1)
+    entries = docs.select(F.col("doc_id").alias("row"), F.lit(False).alias("trusted"), F.explode(importance.distinct_grams(F.col("text"))).alias("gram"))
+    dealt = importance.spread(entries, model)
+    assert dealt.count() == entries.count()
+    most = dealt.groupBy("gram", "part").count().agg(F.max("count")).first()[0]
+    assert most <= 400 // importance.PARTS + 1
+
+
 def test_evidence_for_the_target_counts(spark):
     """A word that only target documents have weighs for them, even with a large trusted share."""
     rows = [(i, f"same word {'fine' if i % 2 else 'other'}") for i in range(200)]
