@@ -1,9 +1,11 @@
 """Chat formatting: conversations as budgeted windows of whole turns with a loss mask.
 
-A conversation's turns have prefix sums of tokens. Turn by turn the sum before it, divided by the
-stride, names its window, so no turn depends on how an earlier window was packed. A window opens
-with the system turn, repeats the last turns before it as far as the history budget goes, and then
-has its own turns. Loss falls on the assistant texts among its own turns only.
+A conversation's turns have prefix sums of tokens, cut into strides. Turns that lie in one stride
+share a window, and a turn that goes on into the next stride has one of its own, so no turn depends
+on how an earlier window was packed, and the own turns of a window never exceed the stride unless
+one alone does. A window opens with the system turn, repeats the last turns of the window before it
+as far as the history budget goes, and then has its own turns. Loss falls on the assistant texts
+among its own turns only.
 """
 
 from __future__ import annotations
@@ -24,8 +26,11 @@ OPEN, BODY, CLOSE = "<turn ", ">\n", "</turn>\n"
 class Budget:
     """Tokens are words between blanks, and two for the marks of a turn.
 
-    stride   a window's own turns begin within so many tokens
+    stride   a window's own turns have at most so many tokens, but for one longer turn alone
     history  repeated turns before them have at most so many, and no more than ``stride``
+
+    With its system turn a window has at most system + history + stride tokens, or those of the system
+    turn, of the history and of one turn longer than the stride.
     """
 
     stride: int = 512
@@ -56,8 +61,8 @@ def chat_windows(turns: DataFrame, budget: Budget = Budget()) -> DataFrame:
     conv_id, turn, role, text in any order; other columns are ignored. Turns of one number are taken
     by role, then text; a null number comes first; null roles and texts are empty. All rows with a
     null conv_id are one conversation. Repeated rows are turns of their own. The system turn is the
-    first one, if its role is ``system``. A turn is never cut: one longer than the stride ends its
-    window. An empty table has no windows.
+    first one, if its role is ``system``. A turn is never cut: one longer than the stride is the only
+    one of its window. An empty table has no windows.
     """
     if not 0 <= budget.history <= budget.stride:
         raise ValueError("history must lie between 0 and the stride")
@@ -78,8 +83,16 @@ def chat_windows(turns: DataFrame, budget: Budget = Budget()) -> DataFrame:
         "*",
         F.coalesce(F.sum(own_tokens).over(before), F.lit(0).cast("long")).alias("start"),
         F.first(system_turn).over(in_order).alias("system"),
-    ).withColumn("window", F.floor(F.col("start") / budget.stride).cast("long"))
-    # History reaches at most one stride back: only the next window can repeat a turn.
+    )
+    # Two windows for a stride: turns that lie in it, and then the one that goes on beyond it.
+    stride = F.floor(F.col("start") / budget.stride)
+    ends_in = F.floor((F.col("start") + F.col("tokens") - 1) / budget.stride)
+    within = F.col("is_system") | (F.col("start") % budget.stride == 0) | (stride == ends_in)
+    by_stride = Window.partitionBy("conv_id").orderBy("part")
+    summed = summed.withColumn("part", 2 * stride + F.when(within, 0).otherwise(1)).withColumn(
+        "window", (F.dense_rank().over(by_stride) - 1).cast("long")
+    )
+    # Only the next window can repeat a turn.
     following = Window.partitionBy("conv_id").orderBy("window").rangeBetween(1, 1)
     own_start = F.when(~F.col("is_system"), F.col("start"))
     followed = summed.withColumn("next_start", F.min(own_start).over(following))

@@ -52,14 +52,19 @@ WITH given AS (
          row_number() OVER o = 1 AND role = 'system' AS is_system,
          16 + length(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'))
             + length(replace(replace(text, '&', '&amp;'), '<', '&lt;')) AS chars
-  FROM given WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)
+  FROM given WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 ), summed AS (
   SELECT *, coalesce(sum(CASE WHEN is_system THEN 0 ELSE tokens END) OVER (
-    PARTITION BY conv_id ORDER BY turn, role, text
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM placed
 ), named AS (
-  SELECT *, start // 512 AS win FROM summed
+  SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY part) - 1 AS win
+  FROM (
+    SELECT *, 2 * (start // 512) + CASE
+      WHEN is_system OR start % 512 = 0 OR start // 512 = (start + tokens - 1) // 512 THEN 0 ELSE 1
+    END AS part FROM summed
+  )
 ), firsts AS (
   SELECT conv_id, win - 1 AS win, min(start) AS next_start
   FROM named WHERE NOT is_system GROUP BY ALL
@@ -69,8 +74,8 @@ WITH given AS (
   SELECT conv_id, count(DISTINCT win) AS n FROM named WHERE win > 0 GROUP BY ALL
 ), sums AS (
   SELECT conv_id, count(*) AS n_turns,
-         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
          sum(chars) + coalesce(sum(chars) FILTER (
            WHERE NOT is_system AND next_start - start <= 128), 0) AS chars
   FROM named LEFT JOIN firsts USING (conv_id, win) GROUP BY conv_id
