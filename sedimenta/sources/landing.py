@@ -352,7 +352,7 @@ def _read(
     disagree = every and whole is None
     frames = None
     if keep is None and not disagree:
-        frames = places.if_all_agree()
+        frames = places.if_all_agree(whole)
     if frames is None:
         frames = _scan_files(spark, places, disagree, known, keep)
     return frames, summary
@@ -419,13 +419,16 @@ class _Places:
         ordered = {kind: sorted(paths) for kind, paths in found.items()}
         return dict(sorted(ordered.items(), key=lambda entry: entry[1]))
 
-    def if_all_agree(self) -> Frames | None:
+    def if_all_agree(self, whole: DataFrame | None) -> Frames | None:
         """One scan per place of the period, under the merged schema of its files; None if the types
-        of one disagree."""
+        of one disagree. ``whole`` is a scan of the root under a schema that all files agree on."""
         dated = F.col("year").isNotNull() & F.col("month").isNotNull()
         kind = F.struct(F.lit(0).alias("schema"), F.when(dated, F.col(f"at_{self.summary.anchor}")).alias("at"))
         frames: Frames = []
         for (_, at), paths in self._tops(self.files.select("path", F.when(F.col("inside"), kind).alias("kind"))).items():
+            if whole is not None and at is not None:
+                frames.append((_reader_of(self.spark, whole.schema, paths, self.settled), at))
+                continue
             merged = _merged(self.spark, [_literal_path(p) for p in paths], self.settled)
             if merged is None:
                 return None
