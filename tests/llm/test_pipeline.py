@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sedimenta.llm.queries import table
-from tests.llm.cases import dicts, empty_documents
+from tests.llm.cases import dicts, empty_documents, odd_documents
 from tests.llm.test_decontaminate import brute as hits
 from tests.llm.test_neardup import brute as groups
 
@@ -70,5 +73,34 @@ def test_mixture_and_shards(stages):
 
 def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
-        docs = empty_documents(spark).drop("r", "row", "n_words", "spans", "key", "words")
+        docs = empty_documents(spark)
         assert dicts(stage(spark, docs, SF_DIR)) == []
+
+
+#: Names that operators use for columns of their own, and what stands in them here.
+CLASHING = ["size", "SHARD", "n_words", "Kept", "spans", "row", "r", "words", "__copy", "given_3", "component_id", "taken", "key"]
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_odd_rows_and_clashing_names(spark, name):
+    """Columns come back as they were; a row comes back as often as its stage says."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = odd_documents(spark).select("doc_id", *[F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")).alias(c) for c in CLASHING], "text", "source")
+    given, kept = dicts(docs), dicts(stage(spark, docs, SF_DIR))
+    columns = [c for c in docs.columns if name != "sharding" or c != "SHARD"]
+    assert list(kept[0]) == columns + (["shard", "slot"] if name == "sharding" else [])
+    count = lambda rows: Counter(repr([r[c] for c in columns]) for r in rows)
+    before, after = count(given), count(kept)
+    assert set(after) <= set(before)
+    ids = {r["doc_id"] for r in kept}
+    if name == "quality rules":
+        assert all(len((r["text"] or "").split()) >= 50 for r in kept)
+        assert all(after[k] in (0, n) for k, n in before.items())
+    elif name == "near duplicates":
+        assert max(after.values()) == 1 and {r["doc_id"] for r in given if not (r["text"] or "").split()} <= ids
+    elif name == "benchmark decontamination":
+        assert after == before
+    elif name == "mixing to target weights":
+        assert all(after[k] <= 2 * n for k, n in before.items())
+    else:
+        assert after == before
