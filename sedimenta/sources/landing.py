@@ -111,7 +111,7 @@ def file_key() -> Column:
 
 
 def landing_files(spark: SparkSession, root: str, pattern: str = PERIOD_IN_PATH) -> DataFrame:
-    """One row per file: path, drop, bytes, modified, key, year, month, the slice by each anchor.
+    """One row per file: path, uri, drop, bytes, modified, key, year, month.
 
     No file content is read.
     """
@@ -122,13 +122,13 @@ def landing_files(spark: SparkSession, root: str, pattern: str = PERIOD_IN_PATH)
     drop = F.regexp_extract("path", f"^(.*?(?:{pattern})[^/]*)", 1)
     return files.select(
         "path",
+        uri.alias("uri"),
         F.when(drop == "", F.col("path")).otherwise(drop).alias("drop"),
         F.col("length").alias("bytes"),
         F.col("modificationTime").alias("modified"),
         file_key().alias("key"),
         year.alias("year"),
         month.alias("month"),
-        *[slice_of(uri, pattern, anchor).alias(f"at_{anchor}") for anchor in ANCHORS],
     )
 
 
@@ -146,10 +146,17 @@ def _listing_tasks(spark: SparkSession) -> dict[str, str]:
 
 
 def _summarise(
-    spark: SparkSession, files: DataFrame, root: str
+    spark: SparkSession, files: DataFrame, root: str, pattern: str
 ) -> tuple[LandingSummary, str, str, datetime]:
     """What the listing says of the files inside; the first and the last path and the last time of all."""
-    months = _listing(
+
+    def places(anchor: str) -> Column:
+        return F.collect_set(slice_of(F.col("uri"), pattern, anchor)).alias("slices")
+
+    def distinct(rows: list[Row]) -> frozenset[PeriodSlice]:
+        return frozenset(PeriodSlice(**at.asDict()) for row in rows for at in row["slices"])
+
+    every = _listing(
         spark,
         files.groupBy("inside", "year", "month").agg(
             F.count("*").alias("files"),
@@ -157,19 +164,20 @@ def _summarise(
             F.min("path").alias("first"),
             F.max("path").alias("last"),
             F.max("modified").alias("modified"),
-            *[F.collect_set(f"at_{anchor}").alias(f"at_{anchor}") for anchor in ANCHORS],
+            places(ANCHORS[0]),
         ),
     )
-    every, months = months, [m for m in months if m["inside"]]
+    months = [m for m in every if m["inside"]]
     if not months:
         raise EmptyLanding(f"no Parquet file under {root} for the months asked for")
     dated = [m for m in months if m["year"] is not None and m["month"] is not None]
     total = sum(m["files"] for m in months)
-    slices = {
-        anchor: frozenset(PeriodSlice(**at.asDict()) for m in dated for at in m[f"at_{anchor}"])
-        for anchor in ANCHORS
-    }
-    anchor = min(ANCHORS, key=lambda a: len(slices[a]))
+    slices = {ANCHORS[0]: distinct(dated)}
+    if len(slices[ANCHORS[0]]) > 1:
+        inside = files.where("inside AND year IS NOT NULL AND month IS NOT NULL")
+        for anchor in ANCHORS[1:]:
+            slices[anchor] = distinct(_listing(spark, inside.agg(places(anchor))))
+    anchor = min(slices, key=lambda a: len(slices[a]))
     summary = LandingSummary(
         files=total,
         bytes=sum(m["bytes"] for m in months),
@@ -324,7 +332,7 @@ def scan(
         # Asked for each file once: a listing task looks every file up.
         files = files.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            frames, summary = _read(spark, files, root, whole, every, known, keep)
+            frames, summary = _read(spark, files, root, pattern, whole, every, known, keep)
         finally:
             files.unpersist()
 
@@ -339,16 +347,17 @@ def _read(
     spark: SparkSession,
     files: DataFrame,
     root: str,
+    pattern: str,
     whole: DataFrame | None,
     every: bool,
     known: DataFrame | None,
     keep: str | None,
 ) -> tuple[Frames, LandingSummary]:
     """The scans of the files inside: as few as their schemas and places of the period allow."""
-    summary, first, last, modified = _summarise(spark, files, root)
+    summary, first, last, modified = _summarise(spark, files, root, pattern)
     if whole is not None and summary.files_without_period == 0 and len(summary.slices) == 1:
         return [(whole, next(iter(summary.slices)))], summary
-    places = _Places(spark, files, summary, root, first, last, _settled(modified))
+    places = _Places(spark, files, summary, root, pattern, first, last, _settled(modified))
     disagree = every and whole is None
     frames = None
     if keep is None and not disagree:
@@ -374,17 +383,22 @@ class _Places:
     files: DataFrame
     summary: LandingSummary
     root: str
+    pattern: str
     first: str
     last: str
     settled: dict[str, str]  # reader options that leave out files which came after the listing
 
     @property
-    def asked(self) -> DataFrame:
-        """Files inside, with the place of the period: none for files without one."""
+    def _at(self) -> Column:
+        """The place of the period, none for files without one."""
         dated = F.col("year").isNotNull() & F.col("month").isNotNull()
+        return F.when(dated, slice_of(F.col("uri"), self.pattern, self.summary.anchor)).alias("at")
+
+    @property
+    def asked(self) -> DataFrame:
+        """Files inside, with the place of the period."""
         columns = ("path", "bytes", "modified", "year", "month", "drop")
-        place = F.when(dated, F.col(f"at_{self.summary.anchor}")).alias("at")
-        return self.files.where("inside").select(*columns, place)
+        return self.files.where("inside").select(*columns, self._at)
 
     def names(self, grouped: DataFrame) -> dict[tuple[int, PeriodSlice | None], list[str]]:
         """What to read for each schema and place of ``grouped`` (path, schema, at): the highest folders
@@ -422,8 +436,7 @@ class _Places:
     def if_all_agree(self, whole: DataFrame | None) -> Frames | None:
         """One scan per place of the period, under the merged schema of its files; None if the types
         of one disagree. ``whole`` is a scan of the root under a schema that all files agree on."""
-        dated = F.col("year").isNotNull() & F.col("month").isNotNull()
-        kind = F.struct(F.lit(0).alias("schema"), F.when(dated, F.col(f"at_{self.summary.anchor}")).alias("at"))
+        kind = F.struct(F.lit(0).alias("schema"), self._at)
         frames: Frames = []
         for (_, at), paths in self._tops(self.files.select("path", F.when(F.col("inside"), kind).alias("kind"))).items():
             if whole is not None and at is not None:
@@ -484,9 +497,9 @@ def _frames(spark: SparkSession, places: _Places, read: DataFrame, disagree: boo
             return _scan_drops(spark, read, disagree)
         if kind[FAULT] is not None:
             raise ContractError(f"CANNOT_READ_FILE_FOOTER {kind['path']}: {kind[FAULT]}")
-    schemas = _agreeing_kinds(
-        [(k[FINGERPRINT], _reader(spark).parquet(_literal_path(k["path"])).schema) for k in kinds]
-    )
+    with ThreadPoolExecutor(_PROBES_AT_ONCE) as pool:
+        of_one = pool.map(lambda k: _reader(spark).parquet(_literal_path(k["path"])).schema, kinds)
+        schemas = _agreeing_kinds([(k[FINGERPRINT], schema) for k, schema in zip(kinds, of_one)])
     number = reduce(
         lambda rest, kind: F.when(F.col(FINGERPRINT).isin(kind[1][1]), kind[0]).otherwise(rest),
         enumerate(schemas),
