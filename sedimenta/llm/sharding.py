@@ -20,7 +20,10 @@ from sedimenta.llm.words import let
 
 @dataclass(frozen=True)
 class Shuffle:
-    """``shards`` of rows with counts at most one apart; equal seeds give equal results.
+    """``shards`` of rows with counts at most one apart.
+
+    Equal seeds give equal results for input that is read in equal partitions; another split of the same
+    rows is another draw.
 
     fan      children of a node in the tree of partitions
     piece    rows of a shard that are permuted by one task, about
