@@ -21,7 +21,7 @@ from sedimenta.operators.validate import (
 )
 from sedimenta.plans.bronze import report_frame, run_bronze
 from sedimenta.plans.gold import run_gold
-from sedimenta.plans.pipeline import require_loaded
+from sedimenta.plans.pipeline import open_loads, pass_on, require_loaded
 from sedimenta.plans.silver import run_silver
 from sedimenta.plans.trips import trips_pipeline
 from sedimenta.sources.catalog import read_table
@@ -106,8 +106,9 @@ def main(argv: list[str] | None = None) -> None:
         reports = run_bronze(spark, pipeline.bronze, args.bronze_mode, period, args.changed_only)
         report_frame(spark, reports).show(truncate=False)
         require_loaded(reports, args.allow_rejected, args.allow_lossy, args.allow_empty)
-        if args.changed_only:
-            period = MonthSet(frozenset(m for r in reports for m in r.months))
+    loads, changed = open_loads(spark, pipeline)
+    if args.changed_only:
+        period = changed
     silver_mode = args.silver_mode or ("replace_partitions" if period else "replace_all")
     months = period if silver_mode != "replace_all" else None
     nothing = isinstance(months, MonthSet) and not months.months
@@ -120,6 +121,8 @@ def main(argv: list[str] | None = None) -> None:
             if args.csv:
                 name = result.table.split(".")[-1]
                 export_csv(stored[result.table], f"{args.csv.rstrip('/')}/{name}", result.order_by)
+    if {"silver", "gold"} <= set(steps) and (args.changed_only or period is None):
+        pass_on(spark, loads)
     if "validate" in steps:
         faults = []
         for contract in (*(d.contract for d in pipeline.bronze), pipeline.silver.contract):

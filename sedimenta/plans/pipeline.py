@@ -12,6 +12,7 @@ from sedimenta.operators.materialize import MaterializeMode
 from sedimenta.plans.bronze import Dataset, LoadReport, run_bronze
 from sedimenta.plans.gold import GoldResult, IncrementalResult, run_gold
 from sedimenta.plans.silver import PipelineError, SilverLayer, run_silver
+from sedimenta.sources.manifest import Manifest
 
 
 @dataclass(frozen=True)
@@ -62,6 +63,25 @@ def require_loaded(
         raise PipelineError("; ".join(faults))
 
 
+def open_loads(
+    spark: SparkSession, pipeline: Pipeline
+) -> tuple[list[tuple[Manifest, str]], MonthSet]:
+    """Loads that Silver and Gold do not have yet, those of runs that were cut off included."""
+    loads, months = [], set()
+    for dataset in pipeline.bronze:
+        if dataset.manifest:
+            manifest = Manifest(dataset.manifest)
+            for load, of_load in manifest.open_loads(spark).items():
+                loads.append((manifest, load))
+                months |= of_load
+    return loads, MonthSet(frozenset(months))
+
+
+def pass_on(spark: SparkSession, loads: list[tuple[Manifest, str]]) -> None:
+    for manifest, load in loads:
+        manifest.passed_on(spark, load)
+
+
 def run_pipeline(
     spark: SparkSession,
     pipeline: Pipeline,
@@ -78,17 +98,18 @@ def run_pipeline(
 
     Silver is replaced as a whole, or with a ``period`` in its months, unless told otherwise. With
     ``changed_only`` Bronze loads changed months only (see :func:`ingest`), and Silver and the stored
-    states of Gold follow in those months.
+    states of Gold follow in those months, and in months of earlier loads that did not get so far.
     """
     reports = run_bronze(spark, pipeline.bronze, bronze_mode, period, changed_only)
     require_loaded(reports, allow_rejected, allow_lossy, allow_empty)
-    months: Period | None = period
-    if changed_only:
-        months = MonthSet(frozenset(m for r in reports for m in r.months))
+    loads, changed = open_loads(spark, pipeline)
+    months: Period | None = changed if changed_only else period
     silver_mode = silver_mode or ("replace_partitions" if months else "replace_all")
     if silver_mode == "replace_all":
         months = None
     if not isinstance(months, MonthSet) or months.months:
         run_silver(spark, pipeline.silver, silver_mode, months)
     stored = run_gold(spark, pipeline.gold, pipeline.silver.contract.name, gold_mode, months)
+    if changed_only or period is None:
+        pass_on(spark, loads)
     return RunResult(tuple(reports), stored)

@@ -2,7 +2,8 @@
 
 A load first writes the files that it is going to read, with their fingerprints, then its table,
 and last one row that says it is done. Files of a load without that row count as not loaded: a load
-that was cut off is done again.
+that was cut off is done again. Another row says that later layers have its months, so that a run
+that was cut off behind Bronze is caught up by the next.
 """
 
 from __future__ import annotations
@@ -71,8 +72,29 @@ class Manifest:
         return last.select("path", "state.*").where("bytes IS NOT NULL").select(*STATE.names)
 
     def done(self, spark: SparkSession, load: str) -> None:
+        self._note(spark, self._done, load)
+
+    def passed_on(self, spark: SparkSession, load: str) -> None:
+        """Later layers have what the load has written."""
+        self._note(spark, self._passed_on, load)
+
+    def open_loads(self, spark: SparkSession) -> dict[str, frozenset[tuple[int, int]]]:
+        """Loads that are done but not passed on to later layers, with their months."""
+        schema = T.StructType([*STATE.fields, T.StructField("load", T.StringType())])
+        files = _table(spark, f"{self.folder.rstrip('/')}/files", schema)
+        done = _table(spark, self._done, _DONE).select("load").distinct()
+        left = done.join(_table(spark, self._passed_on, _DONE).select("load"), "load", "left_anti")
+        months = F.collect_set(F.when(F.col("month").isNotNull(), F.struct("year", "month")))
+        rows = left.join(files, "load", "left").groupBy("load").agg(months.alias("months")).collect()
+        return {r["load"]: frozenset(tuple(m) for m in r["months"]) for r in rows}
+
+    @property
+    def _passed_on(self) -> str:
+        return f"{self.folder.rstrip('/')}/passed_on"
+
+    def _note(self, spark: SparkSession, folder: str, load: str) -> None:
         row = spark.sql("SELECT :load AS load, current_timestamp() AS done_at", args={"load": load})
-        row.write.mode("append").parquet(self._done)
+        row.write.mode("append").parquet(folder)
 
 
 def changes(listed: DataFrame, known: DataFrame) -> DataFrame:

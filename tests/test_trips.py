@@ -15,13 +15,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobs import trips as job
-from sedimenta.functions.period import PeriodRange
+from sedimenta.functions.period import MonthSet, PeriodRange
 from sedimenta.operators.means import mean_by_hour, mean_by_period
 from sedimenta.operators.unify import SourceMapping, map_source, unify
 from sedimenta.operators.validate import ValidationError
 from sedimenta.plans import trips
 from sedimenta.plans.bronze import Dataset, report_frame, run_bronze
-from sedimenta.plans.pipeline import Pipeline, run_pipeline
+from sedimenta.plans import pipeline as pipeline_module
+from sedimenta.plans.pipeline import Pipeline, open_loads, run_pipeline
 from sedimenta.plans.silver import PipelineError, SilverLayer, run_silver, unified
 from sedimenta.plans.trips import trips_pipeline
 from sedimenta.sources.rejects import rejected
@@ -192,6 +193,27 @@ def test_job_script_over_changed_files_only(spark, lake, tmp_path):
     assert spark.table(trips.TRIPS_TABLE).count() == len(yellow) + len(green)
 
 
+def test_run_that_was_cut_off_behind_bronze_is_caught_up(spark, lake, tmp_path, monkeypatch):
+    _, yellow, green, roots = lake
+    pipeline = trips_pipeline(**roots, manifest=str(tmp_path / "manifest"))
+    check_gold(run_pipeline(spark, pipeline, changed_only=True).gold, yellow, green)
+    more = make_trips(tmp_path, "yellow", "tpep", {(2023, 1): pa.float64()}, 7)
+    yellow = [r for r in yellow if r[:2] != (2023, 1)] + more
+
+    def fails(*args, **kwargs):
+        raise OSError("lost")
+
+    for step in ("run_silver", "run_gold"):
+        with monkeypatch.context() as patch:
+            patch.setattr(pipeline_module, step, fails)
+            with pytest.raises(OSError, match="lost"):
+                run_pipeline(spark, pipeline, changed_only=True)
+    run = run_pipeline(spark, pipeline, changed_only=True)
+    assert [r.status for r in run.reports] == ["unchanged", "unchanged"]
+    check_gold(run.gold, yellow, green)
+    assert open_loads(spark, pipeline) == ([], MonthSet(frozenset()))
+
+
 def test_job_script_fails_where_a_rule_does(spark, lake):
     _, _, _, roots = lake
     arguments = [x for n, path in roots.items() for x in (f"--{n}", path)]
