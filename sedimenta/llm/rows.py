@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimenta.session import shared_folder
+from sedimenta.session import session_conf, shared_folder
 
 ROW = "r"
+#: Spark's own setting: shuffle files go when the query ends, not when the driver's JVM collects garbage.
+CLEANED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def field(name: str) -> Column:
@@ -40,10 +42,14 @@ def unpacked(df: DataFrame, **new: Column) -> DataFrame:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the folder that all executors share: lineage ends here."""
+    """The rows as a table in the folder that all executors share: lineage ends here.
+
+    What was shuffled for it is removed as soon as it is written.
+    """
     spark: SparkSession = df.sparkSession
     path = shared_folder(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    with session_conf(spark, CLEANED):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

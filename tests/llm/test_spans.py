@@ -1,11 +1,25 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
-
-from sedimenta.llm.spans import SentenceSpans, remove_repeated_spans, sentences, span_hashes, spans_of
+from pyspark.sql import functions as F
+
+from sedimenta.llm.rows import CLEANED, written
+from sedimenta.llm.spans import (
+    SentenceSpans,
+    least_runs,
+    lists,
+    remove_repeated_spans,
+    sentences,
+    span_hashes,
+    spans_of,
+    window_places,
+    word_values,
+)
 from tests.llm.cases import dicts, empty_documents, odd_documents, odd_texts, sentence
 
 
@@ -134,3 +148,53 @@ def test_odd_rows(spark):
     assert sorted(len(r["text"]) for r in by_id[2])[:2] == [0, 0] and len(by_id[2]) == 3
     assert all(r["r"] in ("y", None) and r["key"] in ("k", None) for r in got)
     assert dicts(remove_repeated_spans(empty_documents(spark))) == []
+
+
+def test_sentences_of_only_blanks_and_stops_split_as_described():
+    text = 'a.b  c... "d?!" )\n\n e \t\x0b\n f.'
+    assert [text[a:b] for a, b in sentences(text)] == ["a.b  c... ", '"d?!" ', ")\n\n ", "e \t\x0b\n ", "f."]
+
+
+NONE = np.empty((0, 2), np.int64)
+
+
+def test_lists_of_rows():
+    column = pa.array([[{"a": 1, "b": 2}], None, [], [{"a": 3, "b": 4}, {"a": 5, "b": 6}]])
+    assert [x.tolist() for x in lists(column)] == [[[1, 2]], [], [], [[3, 4], [5, 6]]]
+    assert [x.tolist() for x in lists(column.slice(1))] == [[], [], [[3, 4], [5, 6]]]
+    assert [x.tolist() for x in lists(pa.array([None, [1], [2, 3]], pa.list_(pa.int32())))] == [[], [1], [2, 3]]
+    assert [x.tolist() for x in lists(column.slice(1, 1))] == [[]] and list(lists(column[:0])) == []
+
+
+def test_windows_are_those_whose_least_run_repeats():
+    """Only they can repeat: equal windows have their least run at the same place."""
+    values = word_values([f"w{i}" for i in range(40)])
+    hashes, least = least_runs(values, 5)
+    assert len(hashes) == 36 and len(least) == 31
+    assert least.tolist() == [i + int(hashes[i : i + 6].argmin()) for i in range(31)]
+    run = min(least.tolist(), key=least.tolist().count)
+    want = [i for i in range(31) if least[i] == run]
+    assert window_places(least, 5, [run], NONE).tolist() == want and len(want) < 6
+    assert window_places(least, 5, [run], np.array([(want[0], want[0] + 10)])).tolist() == want[1:]
+    assert window_places(least, 5, [], NONE).tolist() == [] and least_runs(values[:9], 5)[1].tolist() == []
+
+
+def test_word_values_tell_words_apart():
+    words = ["a", "b", "ab", "ba", "é", "a", "ab" * 40, "\x00", "\x00\x00"]
+    got = word_values(words).tolist()
+    assert len(got) == 9 and got[0] == got[5] and len(set(got)) == 8 and word_values([]).tolist() == []
+
+
+def shuffle_files(spark):
+    return str(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()).count("shuffle_")
+
+
+def test_tables_in_between_leave_no_shuffle_files(spark):
+    """What is shuffled for a table goes once it is written, so that disk holds one step's shuffle at a time."""
+    before = shuffle_files(spark)
+    counted = written(spark.range(1000).repartition(5).groupBy((F.col("id") % 7).alias("k")).count(), "counted")
+    deadline = time.monotonic() + 20
+    while shuffle_files(spark) > before and time.monotonic() < deadline:
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= before and counted.count() == 7
+    assert all(spark.conf.get(key) == "false" for key in CLEANED)
