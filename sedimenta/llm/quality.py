@@ -3,11 +3,15 @@
 Two multinomials over hashed words and word pairs: one of trusted texts, one of the raw corpus. A
 document's score is the mean logarithm of their ratio over its n-grams. Everything is built-in
 column expressions; the model is a table of the corpus's n-grams, joined to the documents.
+
+N-grams are shuffled one slice of their hashes after the other, so that a part of them is on disk at
+a time. For scoring, the hashes of the words are kept, few distinct ones, and paired again for each.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +42,10 @@ class QualityRules:
 
 #: An n-gram with more than this share of all occurrences is frequent: fewer than 10,000 are, ever.
 FREQUENT = 1e-4
+#: Slices of the n-grams, counted and scored one after the other.
+COUNTED, SCORED = 2, 4
+#: Distinct word hashes of a file, so many bytes of them, are written once and then numbered.
+NUMBERED = {"parquet.dictionary.page.size": str(8 << 20)}
 SCALE = 10_000  # log ratios are whole ten-thousandths: sums do not depend on the order of rows
 
 
@@ -57,7 +65,7 @@ def log_ratios(counts: DataFrame, prior: float) -> DataFrame:
     target ones, smooth each bucket, so that of an n-gram not counted is 0. Without any trusted
     n-gram every ratio is 0.
     """
-    totals = counts.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))
+    totals = written(counts.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets")), "sums")
     share = F.try_divide(F.col("targets").cast("double"), F.col("raws"))
     ratio = F.log(
         (F.col("target") + F.lit(prior) * share) / (share * (F.col("raw") + F.lit(prior)))
@@ -69,19 +77,25 @@ def log_ratios(counts: DataFrame, prior: float) -> DataFrame:
     ).where("w != 0")
 
 
-def buckets(text: Column, bits: int) -> Column:
-    """The upper ``bits`` of the hash of every n-gram occurrence."""
-    hashed = W.grams(W.word_hashes(W.words(text)))
-    return F.transform(hashed, lambda g: F.shiftrightunsigned(g, 64 - bits))
+def buckets(df: DataFrame, hashes: Column, bits: int, *kept: Column) -> DataFrame:
+    """bucket, the upper ``bits`` of its hash, of every n-gram occurrence, after the columns ``kept``."""
+    grams = df.select(*kept, F.explode(W.grams(hashes)).alias("gram"))
+    return grams.withColumn("bucket", F.shiftrightunsigned("gram", 64 - bits)).drop("gram")
+
+
+def slices(n: int) -> list[Column]:
+    """Conditions of which each bucket meets one."""
+    return [F.pmod("bucket", F.lit(n)) == i for i in range(n)]
 
 
 def gram_counts(docs: DataFrame, trusted: Column, bits: int, text: str = "text") -> DataFrame:
     """bucket, raw, target: n-gram occurrences in all texts and in those where ``trusted`` holds."""
-    return (
-        docs.select(trusted.alias("trusted"), F.explode(buckets(F.col(text), bits)).alias("bucket"))
-        .groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("raw"), F.count_if("trusted").alias("target"))
-    )
+    entries = buckets(docs, W.word_hashes(W.words(F.col(text))), bits, trusted.alias("trusted"))
+    counts = [
+        entries.where(part).groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count_if("trusted").alias("target"))
+        for part in slices(COUNTED)
+    ]
+    return reduce(DataFrame.union, [written(c, "grams") for c in counts])
 
 
 def fit(docs: DataFrame, labels: DataFrame, rules: QualityRules, text: str = "text") -> DataFrame:
@@ -91,20 +105,23 @@ def fit(docs: DataFrame, labels: DataFrame, rules: QualityRules, text: str = "te
         F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left"
     )
     counts = gram_counts(marked, F.col("trusted_id").isNotNull(), rules.bits, text)
-    return log_ratios(written(counts, "grams"), rules.prior)
+    return log_ratios(counts, rules.prior)
 
 
-def totals(texts: DataFrame, model: DataFrame, bits: int) -> DataFrame:
-    """scored, total: the sum of the scaled log ratios of each ``row``'s n-grams in ``text``, if any.
+def totals(hashed: DataFrame, model: DataFrame, bits: int) -> DataFrame:
+    """scored, total: the sum of the scaled log ratios of each ``row``'s n-grams, if any; of its words, ``hashes``.
 
     Frequent n-grams meet a broadcast table of bounded size, so that no join key is hot.
     """
-    entries = texts.select("row", F.explode(buckets(F.col("text"), bits)).alias("bucket"))
-    frequent = F.broadcast(model.where("frequent").select("bucket", "w"))
-    common = entries.join(frequent, "bucket").groupBy("row").agg(F.sum("w").alias("w"))
-    others = entries.join(frequent, "bucket", "left_anti").join(model.where("NOT frequent"), "bucket")
-    rare = others.groupBy("row").agg(F.sum("w").alias("w"))
-    return common.union(rare).groupBy(F.col("row").alias("scored")).agg(F.sum("w").alias("total"))
+    entries = buckets(hashed, F.col("hashes"), bits, F.col("row"))
+    often = written(model.where("frequent").select("bucket", "w"), "frequent")
+    frequent = F.broadcast(often)
+    found = [entries.join(frequent, "bucket")]
+    for part in slices(SCORED):
+        others = entries.where(part).join(frequent, "bucket", "left_anti")
+        found.append(others.join(model.where("NOT frequent").where(part), "bucket"))
+    sums = [written(f.groupBy("row").agg(F.sum("w").alias("w")), "sums") for f in found]
+    return reduce(DataFrame.union, sums).groupBy(F.col("row").alias("scored")).agg(F.sum("w").alias("total"))
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -160,6 +177,7 @@ def quality_rules(
             F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
             W.let(W.windows(hashes, 3), repeated_words).cast("long").alias("n_repeat_words"),
             F.size(grams).cast("long").alias("n_grams"),
+            hashes.alias("hashes"),
         )
 
     counts = W.let(
@@ -176,8 +194,8 @@ def quality_rules(
         duplicate_lines(F.col(text)).cast("long").alias("n_dup_lines"),
         counts.alias("of_words"),
     ).select("row", ROW, "n_symbols", "n_dup_lines", "of_words.*")
-    rows = written(counted, "counted")
-    sums = totals(rows.select("row", field(text).alias("text")), model, rules.bits)
+    rows = written(counted, "counted", **NUMBERED)
+    sums = totals(rows.select("row", "hashes"), model, rules.bits)
     measured = rows.join(sums, F.col("row") == F.col("scored"), "left").na.fill(0, ["total"])
     failed = (F.col("n_words") < rules.least_words) | (
         100 * F.col("n_repeat_words") > rules.most_repeated * F.col("n_words")

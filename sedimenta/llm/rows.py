@@ -41,15 +41,15 @@ def unpacked(df: DataFrame, **new: Column) -> DataFrame:
     )
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     """The rows as a table in the folder that all executors share: lineage ends here.
 
-    What was shuffled for it is removed as soon as it is written.
+    What was shuffled for it is removed as soon as it is written. ``options`` are those of the writer.
     """
     spark: SparkSession = df.sparkSession
     path = shared_folder(spark, label)
     with session_conf(spark, CLEANED):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

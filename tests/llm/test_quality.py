@@ -106,3 +106,19 @@ def test_no_python_in_the_plan(spark):
     docs = odd_documents(spark)
     plan = quality.quality_rules(docs, quality.fit(docs, labels(spark), RULES), RULES)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_slices_shuffle_a_part_each_and_give_the_whole_counts(spark, monkeypatch):
+    docs = odd_documents(spark)
+    labelled = labels(spark)
+    sizes = []
+    kept = quality.written
+    monkeypatch.setattr(quality, "written", lambda df, label, **o: (sizes.append((label, kept(df, label, **o))), sizes[-1][1])[1])
+    rules = QualityRules()
+    dicts(quality.quality_rules(docs, quality.fit(docs, labelled, rules), rules))
+    slices = [df for label, df in sizes if label == "grams"]
+    raw = Counter(b for r in dicts(docs) for b in map(signed, buckets(r["text"], 64)))
+    got = [{r["bucket"]: r["raw"] for r in dicts(df)} for df in slices]
+    assert len(slices) == quality.COUNTED > 1
+    assert sum(map(len, got)) == len(raw) and {b: n for g in got for b, n in g.items()} == raw
+    assert max(map(len, got)) < 0.75 * len(raw)
