@@ -79,8 +79,13 @@ def log_ratios(counts: DataFrame, prior: float) -> DataFrame:
 
 def buckets(df: DataFrame, hashes: Column, bits: int, *kept: Column) -> DataFrame:
     """bucket, the upper ``bits`` of its hash, of every n-gram occurrence, after the columns ``kept``."""
-    grams = df.select(*kept, F.explode(W.grams(hashes)).alias("gram"))
-    return grams.withColumn("bucket", F.shiftrightunsigned("gram", 64 - bits)).drop("gram")
+    given = df.select(*kept, hashes.alias("hashes"))
+    after = F.slice("hashes", F.lit(2), F.greatest(F.size("hashes") - 1, F.lit(0))).alias("after")
+    pairs = given.select(*[c for c in given.columns if c != "hashes"], F.inline(F.arrays_zip(F.col("hashes").alias("word"), after)))
+    *names, word, after = pairs.columns
+    pair = F.when(F.col(after).isNotNull(), F.xxhash64(word, after))
+    grams = pairs.select(*names, F.explode(F.array(F.col(word), pair)).alias("gram"))
+    return grams.where("gram IS NOT NULL").select(*names, F.shiftrightunsigned("gram", 64 - bits).alias("bucket"))
 
 
 def slices(n: int) -> list[Column]:
