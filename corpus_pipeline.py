@@ -43,9 +43,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Null, empty and short texts go; repeated rows are kept or go together.
     """
-    rules, given = quality.QualityRules(), _carried(docs)
-    model = quality.fit(given, table(spark, sf_dir, "labels"), rules)
-    return _as_given(quality.quality_rules(given, model, rules).where("kept"), docs)
+    judged = quality.judge(_carried(docs), table(spark, sf_dir, "labels"))
+    return _as_given(judged.where("kept"), docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

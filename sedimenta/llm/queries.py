@@ -31,9 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rules = quality.QualityRules()
-    model = quality.fit(docs, table(spark, sf_dir, "labels"), rules)
-    return quality.quality_rules(docs, model, rules).drop("text")
+    return quality.judge(docs, table(spark, sf_dir, "labels"), with_text=False)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,18 +44,35 @@ def unpacked(df: DataFrame, **new: Column) -> DataFrame:
     )
 
 
-def written(df: DataFrame, label: str, **options: str) -> DataFrame:
+def written(df: DataFrame, label: str, path: str | None = None, **options: str) -> DataFrame:
     """The rows as a table in the folder that all executors share: lineage ends here.
 
     What was shuffled for it is removed as soon as it is written. ``options`` are those of the writer.
     """
     spark: SparkSession = df.sparkSession
-    path = shared_folder(spark, label)
+    path = path or shared_folder(spark, label)
     with session_conf(spark, CLEANED):
         df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
+    """``written`` for tables that nothing reads after the block: then they are emptied.
+
+    What outlives the block is written inside it, or does not read these tables.
+    """
+    paths: list[str] = []
+
+    def kept(df: DataFrame, label: str, **options: str) -> DataFrame:
+        paths.append(shared_folder(spark, label))
+        return written(df, label, paths[-1], **options)
+
+    yield kept
+    for path in paths:
+        spark.range(0).write.mode("overwrite").parquet(path)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Packed rows with a number ``row`` each, written once so that the numbers never change."""
     return written(packed(df, F.monotonically_increasing_id().alias("row")), label)

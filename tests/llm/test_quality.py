@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import math
+import os
 import re
 from collections import Counter
 
+import pytest
 import xxhash
 
-from sedimenta.llm import quality
+from sedimenta.llm import quality, rows
 from sedimenta.llm.quality import SCALE, QualityRules
 from tests.llm.cases import dicts, empty_documents, labels, odd_documents
 
@@ -122,3 +124,46 @@ def test_slices_shuffle_a_part_each_and_give_the_whole_counts(spark, monkeypatch
     assert len(slices) == quality.COUNTED > 1
     assert sum(map(len, got)) == len(raw) and {b: n for g in got for b, n in g.items()} == raw
     assert max(map(len, got)) < 0.75 * len(raw)
+
+
+@pytest.mark.parametrize(
+    ("rules", "often"), [(RULES, 0.01), (QualityRules(prior=5.0, least_mean=-0.05), 0.01), (QualityRules(prior=0.5), 2.0), (QualityRules(), quality.OFTEN)]
+)
+def test_fitted_documents_are_judged_in_one_exchange_as_in_two_steps(spark, monkeypatch, rules, often):
+    """Whatever is taken as frequent, with or without trusted texts; scratch tables are emptied."""
+    monkeypatch.setattr(quality, "OFTEN", often)
+    monkeypatch.setattr(quality, "JUDGED", 2)
+    docs = odd_documents(spark).coalesce(2)
+    of = lambda found: sorted((tuple(r.items()) for r in dicts(found)), key=repr)
+    known = labels(spark)
+    two_steps = of(quality.quality_rules(docs, quality.fit(docs, known, rules), rules))
+    assert of(quality.judge(docs, known, rules)) == two_steps
+
+
+def test_judging_odd_tables(spark, monkeypatch):
+    monkeypatch.setattr(quality, "JUDGED", 2)
+    docs, none = odd_documents(spark), labels(spark).limit(0)
+    without = quality.judge(docs, none, with_text=False)
+    assert "text" not in without.columns and without.count() == docs.count()
+    assert all(not r["mean_log_ratio"] for r in dicts(without))
+    assert dicts(quality.judge(empty_documents(spark), labels(spark))) == []
+
+
+def test_judging_keeps_no_ngrams_and_no_scratch_tables(spark, monkeypatch):
+    tables = []
+    keep = rows.written
+
+    def noted(df, label, path=None, **options):
+        made = keep(df, label, path, **options)
+        tables.append((label, made, made.count()))
+        return made
+
+    monkeypatch.setattr(rows, "written", noted)
+    docs = odd_documents(spark)
+    found = quality.judge(docs, labels(spark))
+    assert "Python" not in found._jdf.queryExecution().toString()
+    sums = [(df, n) for label, df, n in tables if label == "sums"]
+    assert len(sums) == quality.JUDGED + 1 and all(n <= docs.count() for _, n in sums)
+    assert not any("grams" in label for label, *_ in tables)
+    assert any(n for label, _, n in tables if label == "counted")
+    assert not any(os.path.exists(f.removeprefix("file://")) for _, df, _ in tables for f in df.inputFiles())
