@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm import words as W
 from sedimenta.llm.components import components
-from sedimenta.llm.rows import field, staged, unpacked, written
+from sedimenta.llm.rows import field, scratch, staged, unpacked, written
 from sedimenta.llm.shingles import WordHashes, lowered_words, shingle_set, signature
 
 
@@ -252,27 +252,29 @@ def near_duplicates(
     """
     rows = staged(docs, "documents")
     texts = rows.select("row", field(text).alias("text"))
-    sketches = written(
-        texts.mapInArrow(
-            _sketches(params), "row long, n long, sign binary, sketch array<long>"
-        ),
-        "sketches",
-    )
-    ids = rows.select("row", field(id_).alias("id"))
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
-    classes = written(
-        sketches.join(ids, "row").groupBy("sign").agg(F.min("row").alias("node"), first), "classes"
-    )
-    chosen = classes.select(F.col("node").alias("row"))
-    chosen = F.broadcast(chosen) if classes.count() <= MOST_SENT else chosen
-    distinct = sketches.join(chosen, "row", "left_semi").where("n > 0")
-    groups = similar_groups(distinct, texts, params)
-    grouped = classes.join(groups, "node", "left").select(
-        "sign", "first", F.coalesce("component", "node").alias("component")
-    )
-    leaders = grouped.groupBy("component").agg(F.min("first").alias("leader"))
-    named = grouped.join(leaders, "component").select("sign", "leader")
-    found = sketches.select("row", "n", "sign").join(named, "sign").select("row", "n", "leader")
+    with scratch(docs.sparkSession) as kept:
+        sketches = kept(
+            texts.mapInArrow(
+                _sketches(params), "row long, n long, sign binary, sketch array<long>"
+            ),
+            "sketches",
+        )
+        ids = rows.select("row", field(id_).alias("id"))
+        first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
+        classes = kept(
+            sketches.join(ids, "row").groupBy("sign").agg(F.min("row").alias("node"), first), "classes"
+        )
+        chosen = classes.select(F.col("node").alias("row"))
+        chosen = F.broadcast(chosen) if classes.count() <= MOST_SENT else chosen
+        distinct = sketches.join(chosen, "row", "left_semi").where("n > 0")
+        groups = similar_groups(distinct, texts, params)
+        grouped = classes.join(groups, "node", "left").select(
+            "sign", "first", F.coalesce("component", "node").alias("component")
+        )
+        leaders = grouped.groupBy("component").agg(F.min("first").alias("leader"))
+        named = grouped.join(leaders, "component").select("sign", "leader")
+        judged = sketches.select("row", "n", "sign").join(named, "sign").select("row", "n", "leader")
+        found = written(judged, "judged")
     return unpacked(
         rows.join(found, "row"),
         n_shingles=F.col("n"),

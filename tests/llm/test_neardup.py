@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 import re
 from itertools import combinations
@@ -7,7 +8,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from sedimenta.llm import neardup
+from sedimenta.llm import neardup, rows
 from sedimenta.llm.components import components
 from sedimenta.llm.neardup import NearDuplicates, near_duplicates
 from tests.llm.cases import dicts, empty_documents, odd_documents
@@ -110,3 +111,20 @@ def test_components_of_a_long_chain_and_a_star(spark):
     got = {r["node"]: r["component"] for r in dicts(components(links))}
     assert got == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 160)}
     assert dicts(components(links.limit(0))) == []
+
+
+def test_sketches_are_emptied_before_the_result_is_read(spark, monkeypatch):
+    tables = []
+    keep = rows.written
+
+    def noted(df, label, path=None, **options):
+        made = keep(df, label, path, **options)
+        tables.append((label, made.count(), made.inputFiles()))
+        return made
+
+    monkeypatch.setattr(rows, "written", noted)
+    docs = odd_documents(spark)
+    found = near_duplicates(docs)
+    assert found.count() == docs.count()
+    files = [f for label, n, of in tables if label == "sketches" and n for f in of]
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)
