@@ -98,9 +98,7 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    params = importance.Resampling()
-    model = importance.fit(docs, table(spark, sf_dir, "labels"), params)
-    return importance.resample(docs, model, params).drop("text")
+    return importance.draw(docs, table(spark, sf_dir, "labels"), with_text=False)
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

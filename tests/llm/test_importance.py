@@ -4,12 +4,14 @@ import math
 import random
 import re
 from collections import Counter
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
 from sedimenta.llm import importance
 from sedimenta.llm.importance import Resampling, fit, resample, top
+from sedimenta.session import session_conf
 from tests.llm.cases import dicts, empty_documents, labels, odd_documents
 
 
@@ -152,3 +154,43 @@ def test_odd_rows(spark):
     assert all(r["key"] is not None for r in got)
     none = empty_documents(spark)
     assert dicts(resample(none, fit(none, labels(spark), Resampling()))) == []
+
+
+@pytest.mark.parametrize(("odd", "often"), [(True, 5e-6), (False, 1e-3), (False, 2.0)])
+def test_drawn_in_slices_equals_fit_and_resample(spark, monkeypatch, odd, often):
+    """Whether no n-gram, some or all are looked up, and whatever batch the rows of one end in."""
+    monkeypatch.setattr(importance, "OFTEN", often)
+    monkeypatch.setattr(importance, "DRAWN", 2)
+    docs, lab = (odd_documents(spark), labels(spark)) if odd else corpus(spark)
+    params = Resampling(pseudo=0.5)
+    wanted = resample(docs, fit(docs, lab, params), params)
+    with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "7"}):
+        got = importance.draw(docs, lab, params).collect()
+        bare = importance.draw(docs, lab, params, with_text=False)
+        assert bare.columns == wanted.drop("text").columns and bare.count() == len(got)
+    assert got and sorted(map(repr, got)) == sorted(map(repr, wanted.collect()))
+
+
+def test_drawing_without_rows_or_trusted_documents(spark):
+    docs, _ = corpus(spark)
+    none = labels(spark).limit(0)
+    assert {r["log_weight"] for r in dicts(importance.draw(docs, none, k=10))} == {0.0}
+    empty = empty_documents(spark)
+    assert dicts(importance.draw(empty, labels(spark))) == []
+
+
+def test_no_whole_shuffle_of_ngrams(spark, monkeypatch):
+    """Slices are written one after the other, and no text is."""
+    labelled, seen = importance.scratch, []
+
+    @contextmanager
+    def watched(session):
+        with labelled(session) as kept:
+            yield lambda df, label, **options: seen.append((label, df.columns)) or kept(df, label, **options)
+
+    monkeypatch.setattr(importance, "scratch", watched)
+    monkeypatch.setattr(importance, "DRAWN", 3)
+    docs, lab = corpus(spark)
+    importance.draw(docs, lab, with_text=False).collect()
+    assert [label for label, _ in seen].count("sums") == importance.DRAWN + 1
+    assert [columns for label, columns in seen if label == "numbered"] == [["row", "r", "noise", "trusted", "hashes", "firsts", "n"]]
